@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitparade import fixed
@@ -28,69 +28,99 @@ def read_snapshots(spark: SparkSession, pattern: str, line_breaks_in_fields: boo
     known to have no such fields.
     """
     if line_breaks_in_fields:
-        rows = _records(spark.read.text(pattern).select("value", "_metadata"))
-        rows = rows.select(F.from_csv("text", RAW_SNAPSHOT.simpleString()[7:-1].replace(":", " "), {"escape": '"'}).alias("row"), "file")
-        rows = rows.select("row.*", "file")
+        records = _records(spark.read.text(pattern).select("value", "_metadata"))
+        parsed = F.from_csv("text", RAW_SNAPSHOT.simpleString(), {"escape": '"'})
+        rows = records.select(parsed.alias("row"), "file").select("row.*", "file")
     else:
         rows = spark.read.schema(RAW_SNAPSHOT).csv(pattern, header=True, escape='"')
         rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
     return rows.withColumn("country", F.regexp_extract("file", r"([^/]+)videos\.csv$", 1)).drop("file")
 
 
+def _ends_inside(text: Column) -> tuple[Column, Column]:
+    """Does a line end inside a quoted field, if it starts outside of one, and if it starts inside?
+
+    Doubled quotes go first: they leave either state as it is. A quote opens a field only at its start.
+    """
+    single = F.replace(text, F.lit('""'), F.lit(""))
+
+    def from_outside(line):
+        return F.regexp_replace(line, '(^|,)"[^"]*"[^,]*', "$1").rlike('(^|,)"')
+
+    rest = F.regexp_replace(single, '^[^"]*"[^,]*', "")
+    from_inside = F.when(F.contains(single, F.lit('"')), from_outside(rest)).otherwise(True)
+    return from_outside(single).cast("int"), from_inside.cast("int")
+
+
+def _with_states(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Rows with the state before them, if their sequence starts outside (0) or inside (1) of a field.
+
+    A row either fixes the state that follows it or keeps or flips it, so that the state is the one last fixed,
+    flipped as often as rows since then do.
+    """
+    earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    flips = F.when((F.col("from_outside") == 1) & (F.col("from_inside") == 0), 1).otherwise(0)
+    fixes = F.col("from_outside") == F.col("from_inside")
+    rows = rows.withColumn("flips", F.coalesce(F.sum(flips).over(earlier), F.lit(0)))
+    last_fixed = F.last(F.when(fixes, F.col("from_outside") + F.col("flips")), ignorenulls=True).over(earlier)
+    return (
+        rows.withColumn("fixed", last_fixed)
+        .withColumn("if_outside", (F.coalesce("fixed", F.lit(0)) + F.col("flips")) % 2)
+        .withColumn("if_inside", (F.coalesce("fixed", F.lit(1)) + F.col("flips")) % 2)
+        .drop("flips", "fixed")
+    )
+
+
 def _records(scanned: DataFrame) -> DataFrame:
     """CSV records (file, text) without headers, put together from the lines of a text scan.
 
-    A line starts a record where an even number of quotes precedes it in its file. Quotes are summed
-    within file blocks, then over the few rows per block, so that no task sees a whole file.
+    A line starts a record where it starts outside of quoted fields. That is worked out within file blocks
+    for both possible states at the block's start, then over the few rows per block, so that no task sees
+    a whole file.
     """
-    quotes = F.length("text") - F.length(F.replace("text", F.lit('"'), F.lit("")))
-    lines = (
-        scanned.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("line"),
-            F.col("value").alias("text"),
-        )
-        .withColumn("odd", quotes % 2)
-        .repartition("file", "block")
+    lines = scanned.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        F.col("value").alias("text"),
     )
+    from_outside, from_inside = _ends_inside(F.col("text"))
+    lines = lines.withColumns({"from_outside": from_outside, "from_inside": from_inside}).repartition("file", "block")
+    lines = _with_states(lines, ["file", "block"], "line")
 
-    in_block = Window.partitionBy("file", "block").orderBy("line")
-    earlier_lines = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    counted = lines.withColumn("odd_before", F.coalesce(F.sum("odd").over(earlier_lines), F.lit(0)) % 2)
+    def after(state):
+        return F.when(F.col(state) == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
 
-    # Per block: is it entered inside a field, and which line started the record it is entered in?
+    def last_start(state):
+        return F.max(F.when(F.col(state) == 0, F.col("line")))
+
+    blocks = lines.groupBy("file", "block").agg(
+        F.max_by(after("if_outside"), "line").alias("from_outside"),
+        F.max_by(after("if_inside"), "line").alias("from_inside"),
+        last_start("if_outside").alias("start_if_outside"),
+        last_start("if_inside").alias("start_if_inside"),
+    )
     earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.when(F.col("entered") == 0, F.col("start_if_outside")).otherwise(F.col("start_if_inside"))
     blocks = (
-        counted.groupBy("file", "block")
-        .agg(
-            F.sum("odd").alias("odd_lines"),
-            F.max(F.when(F.col("odd_before") == 0, F.col("line"))).alias("last_start_if_closed"),
-            F.max(F.when(F.col("odd_before") == 1, F.col("line"))).alias("last_start_if_open"),
-        )
-        .withColumn("entered_open", F.coalesce(F.sum("odd_lines").over(earlier_blocks), F.lit(0)) % 2)
-        .withColumn(
-            "last_start",
-            F.when(F.col("entered_open") == 0, F.col("last_start_if_closed")).otherwise(F.col("last_start_if_open")),
-        )
-        .withColumn("entered_record", F.last("last_start", ignorenulls=True).over(earlier_blocks))
-        .select("file", "block", "entered_open", "entered_record")
+        _with_states(blocks, ["file"], "block")
+        .withColumnRenamed("if_outside", "entered")
+        .withColumn("entered_record", F.last(start, ignorenulls=True).over(earlier_blocks))
+        .select("file", "block", "entered", "entered_record")
     )
 
-    is_start = F.col("odd_before") == F.col("entered_open")
-    is_header = (F.col("block") == 0) & (F.row_number().over(in_block) == 1)
+    in_block = Window.partitionBy("file", "block").orderBy("line")
+    up_to_line = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    state = F.when(F.col("entered") == 0, F.col("if_outside")).otherwise(F.col("if_inside"))
+    started = F.when(state == 0, F.col("line"))
     placed = (
-        counted.join(blocks, ["file", "block"])
-        .withColumn("is_start", is_start)
-        .withColumn("is_header", is_header)
-        .withColumn(
-            "record",
-            F.coalesce(F.last(F.when(is_start, F.col("line")), ignorenulls=True).over(in_block), F.col("entered_record")),
-        )
+        lines.join(blocks, ["file", "block"])
+        .withColumn("record", F.coalesce(F.last(started, ignorenulls=True).over(up_to_line), F.col("entered_record")))
+        .withColumn("is_header", (F.col("block") == 0) & (F.row_number().over(in_block) == 1))
         .filter(~F.col("is_header"))
     )
 
-    is_whole = F.col("is_start") & (F.col("odd") == 0)
+    is_whole = (F.col("record") == F.col("line")) & (F.col("from_outside") == 0)
     whole = placed.filter(is_whole & (F.trim("text") != "")).select("file", "text")
     joined = (
         placed.filter(~is_whole)

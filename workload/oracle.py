@@ -331,6 +331,8 @@ _BODIES = {
       round(ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)), 9) AS idf
       FROM (SELECT unnest(list_distinct(string_split_regex(lower(text), '\\s'))) AS term FROM documents)
       WHERE term <> '' AND term NOT IN ({_listed(fixed.TITLE_STOP_WORDS)}) GROUP BY term""",
+    "train_test_split": """SELECT video_id,
+      CAST('0x' || substr(md5(video_id || '-42'), 1, 8) AS BIGINT) % 10 < 8 AS in_training_set FROM longevity""",
     "regression_metrics": _metrics(
         f"SELECT days_in_trending AS y, round({HEURISTIC.format(v='greatest(CAST(views AS DOUBLE), 1e0)')}, 2) AS p"
         " FROM longevity",
