@@ -1,6 +1,7 @@
 """Daily snapshot CSV files, one file per country."""
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from hitparade import fixed
 from hitparade.functions.times import trending_date
 from hitparade.schemas import RAW_SNAPSHOT
+from hitparade.sources.files import decoded
 
 
 def country_directories(base: str, countries=fixed.COUNTRIES) -> str:
@@ -34,7 +36,8 @@ def read_snapshots(spark: SparkSession, pattern: str, line_breaks_in_fields: boo
     else:
         rows = spark.read.schema(RAW_SNAPSHOT).csv(pattern, header=True, escape='"')
         rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
-    return rows.withColumn("country", F.regexp_extract("file", r"([^/]+)videos\.csv$", 1)).drop("file")
+    country = F.regexp_extract(decoded(F.col("file")), r"([^/]+)videos\.csv$", 1)
+    return rows.withColumn("country", country).drop("file")
 
 
 def _ends_inside(text: Column) -> tuple[Column, Column]:
@@ -140,7 +143,7 @@ def load_filter(rows: DataFrame) -> DataFrame:
 
 def missing_countries(rows: DataFrame, countries=fixed.COUNTRIES) -> list[str]:
     """Countries without a file behind these rows, from the file list of the scan."""
-    paths = rows.inputFiles()
+    paths = [unquote(path) for path in rows.inputFiles()]
     return [country for country in countries if not any(path.endswith(f"/{country}videos.csv") for path in paths)]
 
 
