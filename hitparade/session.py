@@ -17,6 +17,8 @@ def local_session(cpus: int | str = "*", app_name: str = "hitparade", **settings
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # Files are compressed; without this, tables several times over the broadcast threshold pass its size check.
+        .config("spark.sql.sources.fileCompressionFactor", "4")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -335,7 +335,7 @@ def scaled_features(spark, sf_dir):
 
 @query
 def term_idf(spark, sf_dir):
-    rows = a.table(spark, sf_dir, "documents")
+    rows = a.spread(a.table(spark, sf_dir, "documents"), "doc_id")
     return rounded(training.term_idf(rows, "text", fixed.TITLE_STOP_WORDS), 9, "idf")
 
 
@@ -346,7 +346,7 @@ def tfidf_title(spark, sf_dir):
 
 @query
 def tfidf_description(spark, sf_dir):
-    rows = a.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("description"))
+    rows = a.spread(a.table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.col("text").alias("description"))
     return training.description_weights(rows).drop("description")
 
 
