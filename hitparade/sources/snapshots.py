@@ -22,37 +22,58 @@ def flat_directory(base: str, countries=fixed.COUNTRIES) -> str:
     return f"{base}/{{{','.join(countries)}}}videos.csv"
 
 
-def read_snapshots(spark: SparkSession, pattern: str, line_breaks_in_fields: bool = True) -> DataFrame:
-    """All files of the pattern as one scan, with the country taken from the file name.
+def read_snapshots(spark: SparkSession, pattern: str, look_for_line_breaks: bool = True) -> DataFrame:
+    """All files of the pattern, with the country taken from the file name; absent files are left out.
 
-    Files that do not exist are left out. Tasks share every file, also where quoted fields
-    hold line breaks; that costs one shuffle by file block, which can be switched off for feeds
-    known to have no such fields.
+    Tasks share every file. Files with line breaks inside quoted fields take a shuffle by file block for that; a light
+    scan finds them, which can be switched off for feeds known to have none.
     """
-    if line_breaks_in_fields:
-        records = _records(spark.read.text(pattern).select("value", "_metadata"))
-        parsed = F.from_csv("text", RAW_SNAPSHOT.simpleString(), {"escape": '"'})
-        rows = records.select(parsed.alias("row"), "file").select("row.*", "file")
-    else:
-        rows = spark.read.schema(RAW_SNAPSHOT).csv(pattern, header=True, escape='"')
-        rows = rows.select("*", F.col("_metadata.file_path").alias("file"))
+    breaks = _files(spark, pattern) if look_for_line_breaks else {}
+    if not any(breaks.values()):
+        return _with_country(_plain(spark, pattern))
+    broken = [path for path, found in breaks.items() if found]
+    plain = [path for path, found in breaks.items() if not found]
+    parsed = F.from_csv("text", RAW_SNAPSHOT.simpleString(), {"escape": '"'})
+    records = _records(spark.read.text(broken).select("value", "_metadata"))
+    rows = records.select(parsed.alias("row"), "file").select("row.*", "file")
+    return _with_country(union_sources(rows, _plain(spark, plain)) if plain else rows)
+
+
+def _plain(spark, paths):
+    rows = spark.read.schema(RAW_SNAPSHOT).csv(paths, header=True, escape='"')
+    return rows.select("*", F.col("_metadata.file_path").alias("file"))
+
+
+def _with_country(rows):
     country = F.regexp_extract(decoded(F.col("file")), r"([^/]+)videos\.csv$", 1)
     return rows.withColumn("country", country).drop("file")
 
 
+def _files(spark, pattern) -> dict[str, bool]:
+    """Does a file hold a line that ends inside a quoted field? Without one, every line is a record."""
+    ends_inside, _ = _ends_inside(F.col("value"))
+    lines = spark.read.text(pattern).select(decoded(F.col("_metadata.file_path")).alias("file"), ends_inside.alias("i"))
+    return {r.file: bool(r.found) for r in lines.groupBy("file").agg(F.max("i").alias("found")).collect()}
+
+
 def _ends_inside(text: Column) -> tuple[Column, Column]:
     """Does a line end inside a quoted field, if it starts outside of one, and if it starts inside?
 
     Doubled quotes go first: they leave either state as it is. A quote opens a field only at its start.
+    Most lines are settled by a plain search for a quote.
     """
+    quote = F.lit('"')
     single = F.replace(text, F.lit('""'), F.lit(""))
 
     def from_outside(line):
-        return F.regexp_replace(line, '(^|,)"[^"]*"[^,]*', "$1").rlike('(^|,)"')
+        opened = F.regexp_replace(line, '(^|,)"[^"]*"[^,]*', "$1").rlike('(^|,)"')
+        return F.when(F.contains(line, quote), opened).otherwise(False)
 
     rest = F.regexp_replace(single, '^[^"]*"[^,]*', "")
-    from_inside = F.when(F.contains(single, F.lit('"')), from_outside(rest)).otherwise(True)
-    return from_outside(single).cast("int"), from_inside.cast("int")
+    from_inside = F.when(F.contains(single, quote), from_outside(rest)).otherwise(True)
+    outside = F.when(F.contains(text, quote), from_outside(single)).otherwise(False)
+    inside = F.when(F.contains(text, quote), from_inside).otherwise(True)
+    return outside.cast("int"), inside.cast("int")
 
 
 def _with_states(rows: DataFrame, keys: list[str], order: str) -> DataFrame:

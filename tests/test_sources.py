@@ -36,7 +36,7 @@ def test_directories_and_missing_countries(spark, tmp_path):
 def test_flat_directory(spark, tmp_path):
     write(tmp_path / "KRvideos.csv", [row("a"), row("b")])
     write(tmp_path / "XXvideos.csv", [row("c")])
-    rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path), line_breaks_in_fields=False)
+    rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path), look_for_line_breaks=False)
     assert {(r.video_id, r.country, r.views, r.ratings_disabled) for r in rows.collect()} == {
         ("a", "KR", 5, True),
         ("b", "KR", 5, True),
@@ -69,6 +69,7 @@ def test_records_across_blocks_match_a_whole_file_reader(spark, tmp_path, seed):
                 csv.writer(file, lineterminator="\n", quoting=quoting).writerow(row(f"{country}{i}", text, rnd.choice(texts)))
                 if rnd.random() < 0.1:
                     file.write(f'{country}s{i},17.14.11,a 5" screen,ch,1,x,a|b,1,2,3,4,l,False,True,False,d "x y\n')
+    write(tmp_path / "FRvideos.csv", [row(f"FR{i}", 'no "breaks", here') for i in range(50)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
     try:
         pattern = snapshots.flat_directory(tmp_path)
