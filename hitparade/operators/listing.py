@@ -8,7 +8,7 @@ from hitparade.functions.numbers import clamp, compact, engagement_or_zero, one_
 from hitparade.functions.texts import or_default, watch_link
 from hitparade.operators.lookups import with_category_name
 from hitparade.schemas import TOP_VIDEO
-from hitparade.sources.results import with_document_date
+from hitparade.sources.results import on_date, with_document_date
 
 SORT_COLUMNS = {"views": "views", "likes": "likes", "comments": "comment_count", "engagement": "engagement"}
 KEY_COLUMNS = ("video_id", "country", "date")
@@ -22,12 +22,11 @@ def listing_rows(
     documents: DataFrame, country: str | None = None, category: str | int | None = None, date: str | None = None
 ) -> DataFrame:
     """One row per listed video; documents without videos give none."""
-    documents = with_document_date(documents)
     if country:
         documents = documents.filter(F.col("country") == country)
     if date and date.strip():
-        documents = documents.filter(F.col("date") == date)
-    rows = documents.select(F.inline("top_videos"), "country", "date", "processed_at")
+        documents = on_date(documents, date)
+    rows = with_document_date(documents).select(F.inline("top_videos"), "country", "date", "processed_at")
     if category not in (None, ""):
         rows = rows.filter(F.col("category_id") == int(category))
     return rows

@@ -6,11 +6,11 @@ from hitparade.operators import listing as op
 from hitparade.operators.scoring import score_both
 from hitparade.operators.statistics import statistics, table_counts
 from hitparade.operators.words import wordcloud
-from hitparade.sources.results import load_models, read_table, with_document_date
+from hitparade.sources.results import load_models, read_table
 
 
 def documents(spark: SparkSession, root: str) -> DataFrame:
-    return with_document_date(read_table(spark, root, "trending_results"))
+    return read_table(spark, root, "trending_results")
 
 
 def countries(spark: SparkSession, root: str) -> DataFrame:

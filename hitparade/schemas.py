@@ -78,3 +78,41 @@ SCORING_REQUEST = _fields(
     ("publish_hour", T.IntegerType()),
     ("video_age_proxy", T.IntegerType()),
 )
+
+WORD_DOCUMENT = _fields(
+    ("country", T.StringType()),
+    ("date", T.StringType()),
+    ("processed_at", T.StringType()),
+    ("words", T.ArrayType(_fields(("text", T.StringType()), ("value", T.LongType())))),
+)
+
+FEATURE_ROW = _fields(
+    ("video_id", T.StringType()),
+    ("country", T.StringType()),
+    ("trending_date", T.StringType()),
+    ("views", T.LongType()),
+    ("likes", T.LongType()),
+    ("dislikes", T.LongType()),
+    ("comment_count", T.LongType()),
+    ("category_id", T.IntegerType()),
+    ("like_ratio", T.DoubleType()),
+    ("dislike_ratio", T.DoubleType()),
+    ("comment_ratio", T.DoubleType()),
+    ("engagement_score", T.DoubleType()),
+    ("title_length", T.IntegerType()),
+    ("tag_count", T.IntegerType()),
+    ("publish_hour", T.IntegerType()),
+    ("publish_day_of_week", T.IntegerType()),
+    ("video_age_days", T.IntegerType()),
+    ("video_age_proxy", T.IntegerType()),
+    ("log_views", T.DoubleType()),
+    ("processed_at", T.StringType()),
+)
+
+# Stored tables. Older trend documents carry trending_date instead of date.
+TABLES = {
+    "raw_videos": T.StructType([*OBSERVATION.fields, T.StructField("trending_date_parsed", T.StringType(), True)]),
+    "trending_results": T.StructType([*TREND_DOCUMENT.fields, T.StructField("trending_date", T.StringType(), True)]),
+    "wordcloud_data": WORD_DOCUMENT,
+    "ml_features": FEATURE_ROW,
+}

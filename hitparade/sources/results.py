@@ -1,15 +1,20 @@
 """Stored tables: results, features and models."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitparade.schemas import TABLES
+
 NUMBER_COLUMNS = ("views", "likes", "dislikes", "comment_count", "category_id")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}")
+    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
 
 
 def with_document_date(documents: DataFrame) -> DataFrame:
@@ -21,6 +26,12 @@ def with_document_date(documents: DataFrame) -> DataFrame:
     return documents.withColumn("date", F.coalesce("date", "trending_date")).drop("trending_date")
 
 
+def on_date(documents: DataFrame, date: str) -> DataFrame:
+    """Documents of a date, under either name; both comparisons can reach the files."""
+    columns = [F.col(name) == date for name in ("date", "trending_date") if name in documents.columns]
+    return documents.filter(reduce(or_, columns))
+
+
 def training_input(features: DataFrame) -> DataFrame:
     """Feature rows with null counters as 0 and null text as ''."""
     texts = [name for name, kind in features.dtypes if kind == "string" and name not in NUMBER_COLUMNS]

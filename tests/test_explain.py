@@ -2,7 +2,8 @@
 
 import pytest
 
-from hitparade.operators import listing
+from hitparade.plans import serving
+from hitparade.sinks.tables import overwrite_raw
 from tests.conftest import SMALL
 from workload.queries import QUERIES
 
@@ -37,13 +38,20 @@ def test_no_cross_joins(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
+def formatted(frame):
+    return frame._jdf.queryExecution().explainString(frame._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
 def test_columns_and_filters_reach_the_stored_tables(spark, tmp_path):
-    path = str(tmp_path / "documents")
+    from workload.adapters import cleaned
     from workload.queries import documents
 
-    documents(spark, SMALL).write.parquet(path)
-    stored = spark.read.parquet(path)
-    text = plan(listing.listing(stored, country="ASIA", date="2017-03-01"))
-    assert "EqualTo(country,ASIA)" in text and "EqualTo(date,2017-03-01)" in text
-    assert "total_views" not in text
-    assert "ReadSchema: struct<country:string>" in plan(listing.countries(stored))
+    documents(spark, SMALL).write.parquet(f"{tmp_path}/trending_results")
+    overwrite_raw(cleaned(spark, SMALL).drop("l_orderkey", "l_linenumber"), str(tmp_path))
+    listed = formatted(serving.trending(spark, str(tmp_path), country="ASIA", date="2017-03-01"))
+    assert "EqualTo(country,ASIA)" in listed and "Or(EqualTo(date,2017-03-01),EqualTo(trending_date,2017-03-01))" in listed
+    assert "total_views" not in listed
+    assert "ReadSchema: struct<country:string>" in formatted(serving.countries(spark, str(tmp_path)))
+    totals = formatted(serving.country_statistics(spark, str(tmp_path), "ASIA"))
+    assert "ReadSchema: struct<views:bigint,likes:bigint,comment_count:bigint>" in totals
+    assert "PartitionFilters: [isnotnull(country" in totals
