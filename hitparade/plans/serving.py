@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 from hitparade.operators import listing as op
 from hitparade.operators.scoring import score_both
 from hitparade.operators.statistics import statistics, table_counts
+from hitparade.operators.trends import trend_for
 from hitparade.operators.words import wordcloud
+from hitparade.plans.batch import stored_observations
 from hitparade.sources.results import load_models, read_table
 
 
@@ -29,8 +31,13 @@ def trending(spark: SparkSession, root: str, **arguments) -> DataFrame:
     return op.listing(documents(spark, root), **arguments)
 
 
+def group(spark: SparkSession, root: str, country: str, date: str) -> DataFrame:
+    """The document of one country and date, worked out from its observations alone."""
+    return trend_for(stored_observations(spark, root, country, date), country, date)
+
+
 def country_statistics(spark: SparkSession, root: str, country: str | None = None) -> DataFrame:
-    return statistics(read_table(spark, root, "raw_videos"), country)
+    return statistics(stored_observations(spark, root, country))
 
 
 def words(spark: SparkSession, root: str, country: str | None = None, date: str | None = None) -> DataFrame:

@@ -10,10 +10,15 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def shared(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared):
     from hitparade.session import local_session
 
-    session = local_session(8, **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session(8, **{"spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared})
     yield session
     session.stop()
 

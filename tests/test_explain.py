@@ -55,3 +55,5 @@ def test_columns_and_filters_reach_the_stored_tables(spark, tmp_path):
     totals = formatted(serving.country_statistics(spark, str(tmp_path), "ASIA"))
     assert "ReadSchema: struct<views:bigint,likes:bigint,comment_count:bigint>" in totals
     assert "PartitionFilters: [isnotnull(country" in totals
+    single = formatted(serving.group(spark, str(tmp_path), "ASIA", "2017-03-01"))
+    assert "EqualTo(trending_date_parsed,2017-03-01)" in single and "PartitionFilters: [isnotnull(country" in single

@@ -8,6 +8,7 @@ from hitparade.plans import serving
 from hitparade.plans.batch import run_batch, stored_observations
 from hitparade.plans.training import run_training
 from hitparade.schemas import RAW_SNAPSHOT
+from hitparade.session import cut_lineage, shared_folder
 from hitparade.sinks.tables import normalised, overwrite_unless_empty
 from hitparade.sources.snapshots import flat_directory
 from tests.conftest import SMALL
@@ -75,6 +76,8 @@ def test_questions(spark, stored):
     assert same(QUERIES["statistics_country"](spark, SMALL), serving.country_statistics(spark, root, "ASIA"))
     assert same(QUERIES["table_counts"](spark, SMALL), serving.sizes(spark, root))
     assert serving.words(spark, root, "ASIA").count() == 1
+    single = trends.flattened(serving.group(spark, root, "ASIA", "2017-03-01"))
+    assert same(QUERIES["trend_for_group"](spark, SMALL), single)
 
 
 def test_training_and_scoring(spark, stored):
@@ -116,6 +119,23 @@ def test_empty_results_keep_the_old_table(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 3
 
 
+def test_a_run_without_rows_empties_only_the_observations(spark, tmp_path):
+    source, root = tmp_path / "csv", str(tmp_path / "tables")
+    source.mkdir()
+    header = ",".join(RAW_SNAPSHOT.names) + "\n"
+    (source / "USvideos.csv").write_text(header + "a,17.14.11,red car,ch,1,x,t,5,1,1,1,l,False,True,False,d\n")
+    assert run_batch(spark, flat_directory(source), root)["trending_results"]
+    (source / "USvideos.csv").write_text(header + "a,17.14.11,red car,ch,1,x,t,-5,1,1,1,l,False,True,False,d\n")
+    summary = run_batch(spark, flat_directory(source), root)
+    assert (summary["observations"], summary["ml_features"], summary["wordcloud_data"]) == (0, False, False)
+    assert serving.documents(spark, root).count() == 1 and serving.country_statistics(spark, root).collect() == []
+
+
+def test_lineage_is_cut_in_the_folder_that_the_session_names(spark, shared):
+    assert shared_folder(spark) == shared
+    assert cut_lineage(spark.range(3)).inputFiles()[0].startswith(f"file://{shared}/hitparade/")
+
+
 def test_normalised(spark):
     rows = spark.range(1).select(F.lit(float("nan")).alias("x"), F.to_date(F.lit("2018-01-02")).alias("d"))
     assert tuple(normalised(rows).first()) == (None, "2018-01-02")
