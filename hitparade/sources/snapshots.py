@@ -11,6 +11,9 @@ from hitparade.functions.times import trending_date
 from hitparade.schemas import RAW_SNAPSHOT
 from hitparade.sources.files import decoded
 
+# More lines than any field of a snapshot holds.
+MAX_RECORD_LINES = 100_000
+
 
 def country_directories(base: str, countries=fixed.COUNTRIES) -> str:
     """Path pattern for {base}/{country}/{country}videos.csv."""
@@ -95,7 +98,7 @@ def _with_states(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     )
 
 
-def _records(scanned: DataFrame) -> DataFrame:
+def _records(scanned: DataFrame, max_record_lines: int = MAX_RECORD_LINES) -> DataFrame:
     """CSV records (file, text) without headers, put together from the lines of a text scan.
 
     A line starts a record where it starts outside of quoted fields. That is worked out within file blocks
@@ -146,8 +149,17 @@ def _records(scanned: DataFrame) -> DataFrame:
 
     is_whole = (F.col("record") == F.col("line")) & (F.col("from_outside") == 0)
     whole = placed.filter(is_whole & (F.trim("text") != "")).select("file", "text")
+    pieces = placed.filter(~is_whole).select("file", "record", "line", "text")
+    # A quote that is never closed would make one record of the rest of its file: there, lines count as records.
+    overlong = (
+        pieces.groupBy("file", "record")
+        .agg(F.count("*").alias("lines"))
+        .filter(F.col("lines") > max_record_lines)
+        .select("file", "record", F.lit(True).alias("overlong"))
+    )
     joined = (
-        placed.filter(~is_whole)
+        pieces.join(overlong, ["file", "record"], "left")
+        .withColumn("record", F.when(F.col("overlong"), F.col("line")).otherwise(F.col("record")))
         .groupBy("file", "record")
         .agg(F.array_sort(F.collect_list(F.struct("line", "text"))).alias("parts"))
         .select("file", F.concat_ws("\n", F.col("parts.text")).alias("text"))

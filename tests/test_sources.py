@@ -83,6 +83,15 @@ def test_records_across_blocks_match_a_whole_file_reader(spark, tmp_path, seed):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_a_quote_that_never_closes_does_not_swallow_its_file(spark, tmp_path):
+    path = tmp_path / "USvideos.csv"
+    lines = [f"v{i},17.14.11,t,ch,1,x,a,{i},1,1,1,l,False,True,False,d" for i in range(60)]
+    lines[9] = 'v9,17.14.11,"t,ch,1,x,a,9,1,1,1,l,False,True,False,d'
+    path.write_text("\n".join([HEADER, *lines]) + "\n")
+    records = snapshots._records(spark.read.text(str(path)).select("value", "_metadata"), max_record_lines=20)
+    assert sorted(r.text for r in records.collect()) == sorted(lines)
+
+
 def test_load_filter(observe):
     rows = observe(
         {"video_id": "ok", "trending_date": "17.14.11"},
