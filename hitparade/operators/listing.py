@@ -102,16 +102,20 @@ def display(rows: DataFrame) -> DataFrame:
 
 
 def countries(documents: DataFrame) -> DataFrame:
-    return documents.select("country").distinct().orderBy("country")
+    """The countries in order. There are few, so one row holds them all, without a second shuffle to sort."""
+    return documents.agg(F.sort_array(F.collect_set("country")).alias("all")).select(F.explode("all").alias("country"))
 
 
 def dates(documents: DataFrame, country: str | None = None) -> DataFrame:
-    """All dates of both generations of documents, latest first, blanks left out."""
+    """All dates of both generations of documents, latest first, blanks left out; one row holds these few, too."""
     if country:
         documents = documents.filter(F.col("country") == country)
     columns = [name for name in ("date", "trending_date") if name in documents.columns]
-    found = documents.select(F.explode(F.array(*columns)).alias("date"))
-    return found.filter(F.col("date") != "").distinct().orderBy(F.col("date").desc())
+    found = [F.collect_set(F.nullif(F.col(name), F.lit(""))) for name in columns]
+    every = F.flatten(F.array(*found))
+    return documents.agg(F.sort_array(F.array_distinct(every), asc=False).alias("all")).select(
+        F.explode("all").alias("date")
+    )
 
 
 def categories(documents: DataFrame, names: DataFrame, country: str | None = None) -> DataFrame:
