@@ -35,12 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
-    """A scan of fewer splits than cores over all cores; one of many splits stays as it is.
+    """A table of fewer files than cores over all cores; one of many files stays as it is.
 
     The test tables are files of a single row group, which one task would read and process alone.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
