@@ -17,7 +17,7 @@ MAX_RECORD_LINES = 100_000
 
 def country_directories(base: str, countries=fixed.COUNTRIES) -> str:
     """Path pattern for {base}/{country}/{country}videos.csv."""
-    return f"{base}/{{{','.join(countries)}}}/{{{','.join(countries)}}}videos.csv"
+    return f"{base}/{{{','.join(f'{country}/{country}videos.csv' for country in countries)}}}"
 
 
 def flat_directory(base: str, countries=fixed.COUNTRIES) -> str:

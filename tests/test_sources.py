@@ -28,6 +28,7 @@ def write(path, rows, quoting=csv.QUOTE_MINIMAL):
 def test_directories_and_missing_countries(spark, tmp_path):
     for country in ("US", "GB"):
         write(tmp_path / country / f"{country}videos.csv", [row(f"{country}1")])
+    write(tmp_path / "US" / "GBvideos.csv", [row("stray")])
     rows = snapshots.read_snapshots(spark, snapshots.country_directories(tmp_path))
     assert {(r.video_id, r.country) for r in rows.collect()} == {("US1", "US"), ("GB1", "GB")}
     assert snapshots.missing_countries(rows) == ["CA", "DE", "FR", "IN", "JP", "KR", "MX", "RU"]
