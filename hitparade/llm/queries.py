@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitparade.llm import decontamination, line_dedup, packing, quality, token_counts, token_files
+from hitparade.llm import decontamination, line_dedup, near_dedup, packing, quality, suffix_dedup, token_counts, token_files
 from hitparade.llm.stored import new_folder, stored
 from hitparade.llm.workers import reach
 
@@ -21,6 +21,11 @@ def definition(name: str) -> str:
         return file.read()
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The passages of 50 words and more that repeat an earlier place, with that place."""
+    return suffix_dedup.repeated(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place in the token files, its number of ids and their checksum, as read back from the files."""
     path = new_folder(spark, "token-files")
@@ -69,15 +74,22 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated(line_dedup.units(table(spark, sf_dir, "documents")))
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under four-word shingles."""
+    return near_dedup.components_of(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_suffix_dedup,
         op3_token_files,
         op4_decontamination,
         op5_packing,
         op6_token_counts,
         op7_quality_rules,
         op9_line_dedup,
+        op10_near_dedup,
     )
 }
 

@@ -34,24 +34,33 @@ def with_lengths(changed: DataFrame, documents: DataFrame) -> DataFrame:
     return changed.select(*(column.cast(documents.schema[name].dataType).alias(name) for name, column in columns.items()))
 
 
-def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        row = batch.column("row")
-        names = [field.name for field in row.type]
-        columns = dict(zip(names, row.flatten()))
-        columns["text"] = pa.array(
-            [
-                text if text is None or not spans else cut(text, ((s["start"], s["end"]) for s in spans))
-                for text, spans in zip(columns["text"].to_pylist(), batch.column("spans").to_pylist())
-            ],
-            pa.string(),
-        )
-        yield pa.record_batch([columns[name] for name in names], names)
-
-
-def cut_out(rows: DataFrame, documents: DataFrame) -> DataFrame:
-    """rows has documents' rows as the struct row and the spans (start, end in code points) to cut out of their texts."""
-    return with_lengths(rows.select("row", "spans").mapInArrow(_cut_rows, rows.schema["row"].dataType), documents)
+def _cut_rows(drop_emptied: bool):
+    def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column("row")
+            names = [field.name for field in row.type]
+            columns = dict(zip(names, row.flatten()))
+            texts, stays = [], []
+            for text, spans in zip(columns["text"].to_pylist(), batch.column("spans").to_pylist()):
+                if text is not None and spans:
+                    text = cut(text, ((s["start"], s["end"]) for s in spans))
+                    stays.append(bool(text.strip()) or not drop_emptied)
+                else:
+                    stays.append(True)
+                texts.append(text)
+            columns["text"] = pa.array(texts, pa.string())
+            yield pa.record_batch([columns[name] for name in names], names).filter(pa.array(stays, pa.bool_()))
+
+    return cut_rows
+
+
+def cut_out(rows: DataFrame, documents: DataFrame, drop_emptied: bool = False) -> DataFrame:
+    """rows has documents' rows as the struct row and the spans (start, end in code points) to cut out of their texts.
+
+    drop_emptied leaves out the rows of which nothing but white space remains.
+    """
+    changed = rows.select("row", "spans").mapInArrow(_cut_rows(drop_emptied), rows.schema["row"].dataType)
+    return with_lengths(changed, documents)
 
 
 def as_rows(documents: DataFrame) -> DataFrame:
