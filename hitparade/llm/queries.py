@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitparade.llm import decontamination, line_dedup, near_dedup, packing, quality, suffix_dedup, token_counts, token_files
+from hitparade.llm import (
+    decontamination,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    packing,
+    quality,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    url_filter,
+)
 from hitparade.llm.stored import new_folder, stored
 from hitparade.llm.workers import reach
 
@@ -21,6 +32,11 @@ def definition(name: str) -> str:
         return file.read()
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses found in the documents."""
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages of 50 words and more that repeat an earlier place, with that place."""
     return suffix_dedup.repeated(table(spark, sf_dir, "documents")).drop("text_hash")
@@ -50,11 +66,17 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed(documents: DataFrame) -> DataFrame:
+    """The pieces of the documents with their places in sequences of 4096 ids, and the checksums of their ids."""
+    cut = stored(packing.pieces(documents, definition("word_bpe_49k.json")), "pieces")
+    length, checksum = F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32")
+    own = cut.select("part", "row", "doc_id", "piece", "start", length, checksum)
+    return own.join(packing.pack(cut), ["part", "row"]).drop("part", "row")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The place of every piece of a document in sequences of 4096 ids."""
-    cut = stored(packing.pieces(table(spark, sf_dir, "documents"), definition("word_bpe_49k.json")), "pieces")
-    own = cut.select("part", "row", "doc_id", "piece", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"))
-    return own.join(packing.pack(cut), ["part", "row"]).drop("part", "row")
+    return packed(table(spark, sf_dir, "documents"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +91,25 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("__row.doc_id").alias("doc_id"), *measures, "base_failed", "kept")
 
 
+URL_RULES = tuple(
+    url_filter.Rule(pattern, verdict)
+    for pattern, verdict in (
+        ("org/", "allow"),
+        ("example.org/es/", "block"),
+        ("example.org/en/1", "block"),
+        ("com/fr/", "allow"),
+        ("com/de/", "block"),
+    )
+)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page by rules, else by trees fitted on urls that a seed list labels."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labelled = url_filter.with_parts(pages).where("host != ''").withColumn("label", url_filter.seed_label(F.col("host")))
+    return url_filter.judged(pages, URL_RULES, url_filter.fit(labelled)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines that repeat an earlier one, with the place of the one that stays."""
     return line_dedup.repeated(line_dedup.units(table(spark, sf_dir, "documents")))
@@ -82,12 +123,14 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_license_scan,
         op2_suffix_dedup,
         op3_token_files,
         op4_decontamination,
         op5_packing,
         op6_token_counts,
         op7_quality_rules,
+        op8_url_filter,
         op9_line_dedup,
         op10_near_dedup,
     )
