@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitparade.llm import words
@@ -30,6 +30,9 @@ MARGIN = 0.25
 #: Random places that an empty register tries to borrow from before it takes the next filled one.
 TRIES = 64
 
+#: Rows of ids that are broadcast at most: about 10 MB.
+SENT_ROWS = 250_000
+
 LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 SKETCH = "doc_id long, n_shingles long, set_key binary, registers binary"
 
@@ -169,12 +172,55 @@ def _verified(size: int, percent: int):
     return verified
 
 
+def _texts(asked: DataFrame, documents: DataFrame) -> DataFrame:
+    """asked (doc_id and other columns) with the texts. Up to SENT_ROWS rows of ids are sent to the texts; more are joined
+    by a shuffle."""
+    asked = stored(asked, "asked")
+    return _narrow(documents).join(F.broadcast(asked) if asked.count() <= SENT_ROWS else asked, "doc_id")
+
+
+def _exploded(size: int):
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.slices(batches):
+            sets = list(shingle_sets(batch.column("text"), size))
+            counts = np.array([len(own) for own in sets], np.int64)
+            owner = pa.array(np.repeat(np.arange(len(sets)), counts))
+            shingles = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+            columns = [*(batch.column(c).take(owner) for c in ("node", "label", "text_hash")), pa.array(np.repeat(counts, counts)), pa.array(shingles)]
+            yield pa.record_batch(columns, ["node", "label", "text_hash", "size", "shingle"])
+
+    return exploded
+
+
+def _prefix_pairs(rest: DataFrame, documents: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of nodes (a, b) with different labels that share a shingle among their rarest, where its places in both orders
+    leave room for enough others. rest has node, label and doc."""
+    texts = _texts(rest.select(F.col("doc").alias("doc_id"), "node", "label"), documents)
+    texts = texts.select("node", "label", F.xxhash64("text").alias("text_hash"), "text").distinct()
+    found = texts.mapInArrow(_exploded(size), "node long, label long, text_hash long, size long, shingle long")
+    found = stored(found, "shingles")
+    # Shingles of one text come first in its order and join nothing, so only the others move.
+    often = found.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    own = Window.partitionBy("node", "text_hash")
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "shingle")) - 1
+    shared = found.join(often, "shingle").withColumn("place", place)
+    prefix = stored(shared.where(100 * F.col("place") <= (100 - percent) * F.col("size")), "prefixes")
+    side = lambda s: prefix.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "size", "place")))
+    a, b = F.col("size_a"), F.col("size_b")
+    room = F.least(a - F.col("place_a"), b - F.col("place_b"))
+    enough = (100 + percent) * room >= percent * (a + b)
+    ratio = (100 * a >= percent * b) & (100 * b >= percent * a)
+    across = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
+    joined = side("a").join(side("b"), "shingle").where(across & ratio & enough)
+    return joined.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b: nodes) whose full sets are similar enough."""
     rated = _sides(pairs, nodes, "node", "registers", "n_shingles", "doc")
     likely = stored(rated.mapInArrow(_likely(percent / 100 - MARGIN), "a long, b long, doc_a long, doc_b long"), "likely")
     asked = [likely.select(F.col(f"doc_{s}").alias("doc_id"), "a", "b", F.lit(s).alias("side")) for s in ("a", "b")]
-    texts = asked[0].unionByName(asked[1]).join(_narrow(documents), "doc_id")
+    texts = _texts(asked[0].unionByName(asked[1]), documents)
     of = lambda side: F.collect_set(F.when(F.col("side") == side, F.col("text"))).alias(f"texts_{side}")
     return stored(texts.groupBy("a", "b").agg(of("a"), of("b")).mapInArrow(_verified(size, percent), "a long, b long"), "links")
 
@@ -187,9 +233,10 @@ def components_of(documents: DataFrame, size: int = 5, percent: int = 80) -> Dat
     component_id, and are kept. Rows that repeat a doc_id are the same document.
 
     Equal sets are first taken together, so groups of copies cost one node. The nodes of a bucket of a band are compared
-    with its first node; what these links leave in several components is compared with each other, where sizes allow a link
-    at all. So a group of near copies, however large, costs one comparison for each member and bucket, and no link between
-    components is lost.
+    with its first node, so a group of near copies costs one comparison for each member and bucket. Where these links leave
+    a bucket in several components, its nodes are joined by their rarest shingles: two sets that are similar enough share
+    one among so many of their rarest that the rest could not make up the similarity. So no link between components is
+    lost, and texts that only share a frequent passage give no pairs.
     """
     found = stored(sketches(documents, size), "sketches")
     sets = found.where("set_key is not null and doc_id is not null").groupBy("set_key")
@@ -198,27 +245,23 @@ def components_of(documents: DataFrame, size: int = 5, percent: int = 80) -> Dat
 
     width = 2 * BAND
     slices = F.array(*(F.substring("registers", 1 + width * i, width) for i in range(REGISTERS // BAND)))
-    bands = nodes.select("node", "n_shingles", F.posexplode(slices).alias("band", "slice"))
-    bands = bands.select(F.xxhash64("slice", "band").alias("key"), "node", "n_shingles")
+    bands = nodes.select("node", F.posexplode(slices).alias("band", "slice"))
+    bands = bands.select(F.xxhash64("slice", "band").alias("key"), "node")
     buckets = bands.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
     members = stored(bands.join(buckets, "key"), "members")
-    ratio = lambda x, y: (100 * F.col(x) >= percent * F.col(y)) & (100 * F.col(y) >= percent * F.col(x))
 
     pairs = members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(pairs, nodes, documents, size, percent)
     labels = components(links)
 
-    # Buckets of three and more whose members are in several components: every other pair across components.
-    rest = members.where("n > 2 and node != first").join(labels, "node", "left")
-    rest = rest.select("key", "node", "n_shingles", F.coalesce("label", "node").alias("label"))
+    # Buckets of three and more whose members are in several components may hold more links.
+    rest = members.where("n > 2").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     several = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    rest = stored(rest.join(several.select("key"), "key"), "open-buckets")
-    if not rest.isEmpty():
-        x = rest.select("key", F.col("node").alias("a"), F.col("n_shingles").alias("size_a"), F.col("label").alias("label_a"))
-        y = rest.select("key", F.col("node").alias("b"), F.col("n_shingles").alias("size_b"), F.col("label").alias("label_b"))
-        across = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & ratio("size_a", "size_b"))
-        more = _links(across.select("a", "b").distinct(), nodes, documents, size, percent)
-        labels = components(links.unionByName(more))
+    rest = rest.join(several.select("key"), "key").select("node", "label").distinct()
+    rest = stored(rest.join(nodes.select("node", "doc"), "node"), "open")
+    across = stored(_prefix_pairs(rest, documents, size, percent), "across")
+    if not across.isEmpty():
+        labels = components(links.unionByName(_links(across, nodes, documents, size, percent)))
 
     labelled = nodes.select("set_key", "doc", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = labelled.groupBy("label").agg(F.min("doc").alias("component"))
