@@ -1,0 +1,97 @@
+"""Every query over a whole table against the brute-force version."""
+
+import duckdb
+import pytest
+
+from hitparade.llm.queries import QUERIES
+from tests.conftest import SMALL
+from tests.llm import brute
+
+
+@pytest.fixture(scope="module")
+def texts():
+    return duckdb.sql(f"SELECT doc_id, text FROM '{SMALL}/documents.parquet' ORDER BY doc_id").fetchall()
+
+
+def rows(spark, name, *columns):
+    return sorted(map(tuple, QUERIES[name](spark, SMALL).select(*columns).collect()))
+
+
+def test_token_files(spark, texts):
+    assert rows(spark, "op3_token_files", "doc_id", "start", "n_tokens", "ids_crc32") == brute.token_files(texts)
+
+
+def test_token_counts(spark, texts):
+    assert rows(spark, "op6_token_counts", "doc_id", "n_bytes", "n_tokens", "over_limit") == brute.token_counts(texts)
+
+
+def test_packing(spark, texts):
+    found = QUERIES["op5_packing"](spark, SMALL).collect()
+    names = "doc_id", "piece", "start", "length", "ids_crc32"
+    assert sorted(tuple(r[n] for n in names) for r in found) == sorted(brute.pieces(texts))
+    sequences = {}
+    for r in found:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in sequences.values():
+        ends = [0]
+        for offset, length in sorted(own):
+            assert offset == ends[-1]
+            ends.append(offset + length)
+        assert ends[-1] <= 4096
+    assert len(sequences) == -(-sum(r["length"] for r in found) // 4096)
+
+
+def test_decontamination(spark, texts):
+    items = duckdb.sql(f"SELECT item_id, text FROM '{SMALL}/benchmark.parquet'").fetchall()
+    columns = "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
+    found = rows(spark, "op4_decontamination", *columns)
+    assert found == brute.decontamination(texts, items) and any(r[-1] for r in found)
+
+
+def test_quality_rules(spark, texts):
+    columns = "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"
+    assert rows(spark, "op7_quality_rules", *columns) == brute.quality_base(texts)
+    good = duckdb.sql(f"SELECT doc_id FROM '{SMALL}/labels.parquet' WHERE quality = 1").fetchall()
+    found = {r["doc_id"]: r for r in QUERIES["op7_quality_rules"](spark, SMALL).collect()}
+    assert all(found[i]["kept"] for (i,) in good if not found[i]["base_failed"])
+    assert not any(r["base_failed"] and r["kept"] for r in found.values())
+
+
+def test_line_dedup(spark, texts):
+    columns = "doc_id", "unit", "start", "end", "n_words", "kept_doc_id", "kept_start"
+    assert rows(spark, "op9_line_dedup", *columns) == sorted(brute.repeated_lines(texts))
+
+
+def test_suffix_dedup(spark, texts):
+    found = {}
+    for r in QUERIES["op2_suffix_dedup"](spark, SMALL).collect():
+        found.setdefault(r["doc_id"], set()).update(range(r["first_word"], r["end_word"]))
+        own = dict(texts)[r["doc_id"]]
+        assert own[r["start"] : r["end"]].split() == own.split()[r["first_word"] : r["end_word"]]
+    assert found == brute.repeated_words(texts) and found
+
+
+def test_near_dedup(spark, texts):
+    columns = "doc_id", "n_shingles", "component_id", "kept"
+    found = rows(spark, "op10_near_dedup", *columns)
+    assert found == brute.near_duplicates(texts) and not all(r[-1] for r in found)
+
+
+def test_license_scan(spark, texts):
+    found = {(r["doc_id"], r["license"]): dict(texts)[r["doc_id"]][r["start"] : r["end"]] for r in QUERIES["op1_license_scan"](spark, SMALL).collect()}
+    phrases = {"MIT-notice": "the MIT License", "Apache-2.0-notice": "the Apache License, Version 2.0", "GPL-3.0-notice": "GNU General Public License", "CC-BY-NC-4.0-notice": "CC BY-NC 4.0"}
+    assert {(i, name) for i, t in texts for name, phrase in phrases.items() if phrase in t} == set(found)
+    assert all(phrases[name] in text for (_, name), text in found.items())
+
+
+def test_url_filter(spark):
+    found = QUERIES["op8_url_filter"](spark, SMALL).collect()
+    urls = dict(duckdb.sql(f"SELECT page_id, url FROM '{SMALL}/pages.parquet'").fetchall())
+    rules = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+    assert len(found) == len(urls)
+    for r in found:
+        host, _, path = urls[r["page_id"]].split("://", 1)[1].split("#")[0].split("?")[0].partition("/")
+        assert (r["host"], r["path"]) == (host.lower(), "/" + path)
+        fits = [p for p in rules if f".{host.lower()}".endswith("." + p.split("/")[0]) and f"/{path}".startswith("/" + p.split("/", 1)[1])]
+        assert r["rule"] == (max(fits, key=len) if fits else None)
+        assert r["verdict"] in ("allow", "block") and (not fits or r["verdict"] == rules[r["rule"]])
