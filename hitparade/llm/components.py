@@ -19,7 +19,7 @@ def components(links: DataFrame) -> DataFrame:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large, "large-star")
         # Small star: neighbours below a node, and the node, are linked to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))

@@ -9,6 +9,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -156,22 +157,35 @@ def _likely(least: float):
 
 
 def _verified(size: int, percent: int):
+    def alike(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = [batch.column(f"texts_{s}") for s in ("a", "b")]
-            linked = np.zeros(batch.num_rows, bool)
-            for row in range(batch.num_rows):
-                # One text a side, unless rows repeat a doc_id with other texts.
-                own = [list(shingle_sets(pa.array(side[row].as_py(), pa.string()), size)) for side in sides]
-                for x in own[0]:
-                    for y in own[1]:
-                        both = len(np.intersect1d(x, y, assume_unique=True))
-                        linked[row] |= both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(linked))
+        for whole in batches:
+            bytes_ = sum(_list_bytes(whole.column(f"texts_{s}")) for s in ("a", "b"))
+            for batch in words.runs(whole, bytes_):
+                # One text a side, unless rows repeat a doc_id with other texts. Each distinct text is cut up once.
+                sides = [batch.column(f"texts_{s}") for s in ("a", "b")]
+                coded = pa.concat_arrays([side.flatten() for side in sides]).dictionary_encode()
+                sets = list(shingle_sets(coded.dictionary, size))
+                codes = coded.indices.to_pylist()
+                ends = np.cumsum([0, *(n for side in sides for n in pc.list_value_length(side).to_pylist())]).tolist()
+                n = batch.num_rows
+                own = [[codes[ends[i] : ends[i + 1]] for i in range(first, first + n)] for first in (0, n)]
+                linked = [any(alike(sets[x], sets[y]) for x in xs for y in ys) for xs, ys in zip(*own)]
+                yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return verified
 
 
+def _list_bytes(lists: pa.Array) -> np.ndarray:
+    """Bytes of the texts in each list."""
+    total = np.r_[0, np.cumsum(pc.binary_length(lists.flatten()).to_numpy(zero_copy_only=False))]
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return np.diff(total[np.r_[0, ends]])
+
+
 def _texts(asked: DataFrame, documents: DataFrame) -> DataFrame:
     """asked (doc_id and other columns) with the texts. Up to SENT_ROWS rows of ids are sent to the texts; more are joined
     by a shuffle."""
@@ -225,6 +239,27 @@ def _links(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int,
     return stored(texts.groupBy("a", "b").agg(of("a"), of("b")).mapInArrow(_verified(size, percent), "a long, b long"), "links")
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """key, node and label of the members of buckets of three and more that are in several components."""
+    rows = members.where("n > 2").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    several = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    return stored(rows.join(several.select("key"), "key"), "open")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels (node, label) after more links: components that meet take the label of the smallest."""
+    if links.isEmpty():
+        return labels
+    of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+    label = lambda side: F.coalesce(F.col(f"label_{side}"), F.col(side)).alias(side)
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(label("a"), label("b"))
+    found = components(between).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    changed = labels.join(found, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    new = found.where("label != to").select(F.col("label").alias("node"), F.col("to").alias("label"))
+    new = new.join(labels.select("node"), "node", "left_anti")
+    return stored(changed.unionByName(new), "labels")
+
+
 def components_of(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row.
 
@@ -233,14 +268,18 @@ def components_of(documents: DataFrame, size: int = 5, percent: int = 80) -> Dat
     component_id, and are kept. Rows that repeat a doc_id are the same document.
 
     Equal sets are first taken together, so groups of copies cost one node. The nodes of a bucket of a band are compared
-    with its first node, so a group of near copies costs one comparison for each member and bucket. Where these links leave
-    a bucket in several components, its nodes are joined by their rarest shingles: two sets that are similar enough share
+    with its first node, and with the one that has most links, so a group of near copies costs two comparisons for each
+    member and bucket. Where these links leave a bucket in several components, its nodes are joined by their rarest
+    shingles: two sets that are similar enough share
     one among so many of their rarest that the rest could not make up the similarity. So no link between components is
     lost, and texts that only share a frequent passage give no pairs.
     """
     found = stored(sketches(documents, size), "sketches")
     sets = found.where("set_key is not null and doc_id is not null").groupBy("set_key")
     nodes = sets.agg(F.min("doc_id").alias("doc"), F.max("registers").alias("registers"), F.max("n_shingles").alias("n_shingles"))
+    # Numbered in the order of doc_id, so that the first node of a bucket is the earliest, which copies tend to come from.
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    nodes = nodes.repartitionByRange(parts, "doc").sortWithinPartitions("doc")
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
     width = 2 * BAND
@@ -254,14 +293,22 @@ def components_of(documents: DataFrame, size: int = 5, percent: int = 80) -> Dat
     links = _links(pairs, nodes, documents, size, percent)
     labels = components(links)
 
-    # Buckets of three and more whose members are in several components may hold more links.
-    rest = members.where("n > 2").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    several = rest.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    rest = rest.join(several.select("key"), "key").select("node", "label").distinct()
+    # Again with the node of each bucket that has most links so far, for members that are still in another component.
+    rest = _open(members, labels)
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+    degrees = ends.groupBy("node").agg(F.count("*").alias("degree"))
+    ranked = rest.join(degrees, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("last"), "label")).alias("hub"))
+    hub = -F.col("hub.last")
+    pairs = rest.join(hubs, "key").where("label != hub.label")
+    pairs = pairs.select(F.least(hub, "node").alias("a"), F.greatest(hub, "node").alias("b")).distinct()
+    labels = _merged(labels, _links(pairs, nodes, documents, size, percent))
+
+    # What is left in several components is joined by its rarest shingles.
+    rest = _open(members, labels).select("node", "label").distinct()
     rest = stored(rest.join(nodes.select("node", "doc"), "node"), "open")
     across = stored(_prefix_pairs(rest, documents, size, percent), "across")
-    if not across.isEmpty():
-        labels = components(links.unionByName(_links(across, nodes, documents, size, percent)))
+    labels = _merged(labels, _links(across, nodes, documents, size, percent))
 
     labelled = nodes.select("set_key", "doc", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = labelled.groupBy("label").agg(F.min("doc").alias("component"))

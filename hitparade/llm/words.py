@@ -23,11 +23,16 @@ def texts_of(batch: pa.RecordBatch) -> pa.Array:
 def slices(batches: Iterator[pa.RecordBatch], slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of the batches in runs of about slice_bytes of text; a longer text is a run of its own."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(texts_of(batch)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        run = (np.cumsum(sizes) - sizes) // slice_bytes
-        starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else []
-        for start, end in zip(starts, [*starts[1:], batch.num_rows]):
-            yield batch.slice(int(start), int(end - start))
+        yield from runs(batch, pc.fill_null(pc.binary_length(texts_of(batch)), 0).to_numpy(zero_copy_only=False), slice_bytes)
+
+
+def runs(batch: pa.RecordBatch, sizes: np.ndarray, slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in runs of about slice_bytes, by the size of each row."""
+    sizes = sizes.astype(np.int64)
+    run = (np.cumsum(sizes) - sizes) // slice_bytes
+    starts = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else []
+    for start, end in zip(starts, [*starts[1:], batch.num_rows]):
+        yield batch.slice(int(start), int(end - start))
 
 
 def translated(texts: pa.Array, table: bytes) -> pa.Array:
