@@ -5,8 +5,9 @@ further up in the same one. Words are runs of other characters than ASCII white
 
 Suffixes are kept only where a minimiser lies: the smallest hash of GRAM words among the first SPREAD places of a window of
 `length` words. Equal windows have their minimiser at the same place, and the suffix from there shares at least
-length - SPREAD + 1 words. So suffixes are put in order by these words, those that have an equal neighbour are extended to
-the left and right to all windows of which they are the minimiser, and these are compared as a whole.
+length - SPREAD + 1 words. So suffixes are put in order by these words, and those that have an equal neighbour are extended
+to the left and right to the run of all windows of which they are the minimiser. Runs that are equal as a whole are settled
+at once; what differs, as at the ends of a passage, is compared window by window.
 """
 
 from collections.abc import Iterator
@@ -23,11 +24,16 @@ from hitparade.llm.spans import as_rows, cut_out
 from hitparade.llm.stored import stored
 
 LENGTH = 50
-SPREAD = 24
+SPREAD = 30
 GRAM = 8
 
 SUFFIXES = "doc_id long, prefix long, place int, whole binary, text_hash long, n_words int, n_chars int"
-WINDOWS = "doc_id long, text_hash long, place int, start int, end int, high long, low long"
+RUNS = "doc_id long, text_hash long, first int, n int, high long, low int, windows binary"
+SPANS = "doc_id long, text_hash long, first_word int, end_word int, start int, end int, kept_doc_id long, kept_word int"
+#: A window's two hashes, as they lie in the bytes of a run.
+WINDOW = np.dtype([("high", "<i8"), ("low", "<i4")])
+#: Rows of places or spans that are sent to the texts at most, one for each document: about 20 MB.
+SENT_ROWS = 100_000
 
 
 def _minimisers(word_hashes: np.ndarray, offsets: np.ndarray, length: int, spread: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,8 +93,8 @@ def _suffixes(length: int, spread: int):
     return suffixes
 
 
-def _windows(length: int, spread: int):
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _runs(length: int, spread: int):
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches):
             doc_ids, texts, places = (batch.column(c) for c in ("doc_id", "text", "places"))
             word_hashes, offsets = _hashed(texts)
@@ -98,19 +104,45 @@ def _windows(length: int, spread: int):
             at = places.flatten().to_numpy(zero_copy_only=False) + np.repeat(offsets[:-1], counts)
             # A row that repeats a doc_id may be shorter than the one that a place belongs to.
             shared[at[at < np.repeat(offsets[1:], counts)]] = True
-            first = first[shared[place]] if len(first) else first
-            owner = np.searchsorted(offsets, first, "right") - 1
-            high = words.run_hashes(word_hashes, length)[first] if len(first) else np.empty(0, np.uint64)
-            low = words.run_hashes(words.mix(word_hashes + np.uint64(1)), length)[first] if len(first) else high
-            starts, ends = np.zeros(len(word_hashes), np.int32), np.zeros(len(word_hashes), np.int32)
-            for row in np.unique(owner).tolist():
-                found = word_spans(texts[row].as_py())
-                starts[offsets[row] : offsets[row + 1]], ends[offsets[row] : offsets[row + 1]] = found
-            last = first + length - 1
-            columns = [doc_ids.take(pa.array(owner)), batch.column("text_hash").take(pa.array(owner)), (first - offsets[owner]).astype(np.int32), starts[first], ends[last], high.view(np.int64), low.view(np.int64)]
-            yield pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["doc_id", "text_hash", "place", "start", "end", "high", "low"])
+            keep = shared[place]
+            first, place = first[keep], place[keep]
+            begins = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (first[1:] != first[:-1] + 1)]) if len(first) else first
+            sizes = np.diff(np.r_[begins, len(first)])
+            windows = np.zeros(len(first), WINDOW)
+            if len(first):
+                windows["high"] = words.run_hashes(word_hashes, length)[first].view(np.int64)
+                other = words.run_hashes(words.mix(word_hashes + np.uint64(1)), length)[first]
+                windows["low"] = (other >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            raw = windows.tobytes()
+            ends = np.r_[0, np.cumsum(sizes)] * WINDOW.itemsize
+            own = [raw[x:y] for x, y in zip(ends.tolist(), ends[1:].tolist())]
+            digests = [xxhash.xxh3_128_digest(x) for x in own]
+            keys = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2) if own else np.zeros((0, 2), np.int64)
+            owner = np.searchsorted(offsets, first[begins], "right") - 1
+            rows = pa.array(owner)
+            columns = [
+                doc_ids.take(rows),
+                batch.column("text_hash").take(rows),
+                pa.array((first[begins] - offsets[owner]).astype(np.int32)),
+                pa.array(sizes.astype(np.int32)),
+                pa.array(np.ascontiguousarray(keys[:, 0])),
+                pa.array((keys[:, 1] >> 32).astype(np.int32)),
+                pa.array(own, pa.binary()),
+            ]
+            yield pa.record_batch(columns, ["doc_id", "text_hash", "first", "n", "high", "low", "windows"])
+
+    return runs
 
-    return windows
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of runs, one row each."""
+    for batch in batches:
+        n = batch.column("n").to_numpy().astype(np.int64)
+        owner = pa.array(np.repeat(np.arange(len(n)), n))
+        windows = np.frombuffer(b"".join(batch.column("windows").to_pylist()), WINDOW)
+        place = words.gathered(batch.column("first").to_numpy().astype(np.int64), n).astype(np.int32)
+        columns = [batch.column("doc_id").take(owner), batch.column("text_hash").take(owner), *map(pa.array, (place, windows["high"].copy(), windows["low"].copy()))]
+        yield pa.record_batch(columns, ["doc_id", "text_hash", "place", "high", "low"])
 
 
 def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -122,17 +154,19 @@ def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _merged(length: int):
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.slices(batches):
             rows = []
-            for doc_id, text_hash, windows in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "windows"))):
-                windows.sort(key=lambda w: w["place"])
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "covers"))
+            for doc_id, text_hash, text, covers in zip(*columns):
+                starts, ends = word_spans(text)
                 span: list = []
-                for w in windows:
-                    if span and w["place"] <= span[3]:
-                        span[3], span[5] = w["place"] + length, w["end"]
+                for cover in sorted(covers, key=lambda c: (c["first"], -c["end"])):
+                    if span and cover["first"] <= span[3]:
+                        span[3] = max(span[3], cover["end"])
                     else:
-                        span = [doc_id, text_hash, w["place"], w["place"] + length, w["start"], w["end"], w["first"]["doc_id"], w["first"]["place"]]
+                        span = [doc_id, text_hash, cover["first"], cover["end"], 0, 0, cover["kept"]["doc_id"], cover["kept"]["first"]]
                         rows.append(span)
+                    span[4], span[5] = int(starts[span[2]]), int(ends[span[3] - 1])
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
             columns = zip(*rows) if rows else [[]] * 8
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in SPANS.split(", ")])
@@ -140,7 +174,13 @@ def _merged(length: int):
     return merged
 
 
-SPANS = "doc_id long, text_hash long, first_word int, end_word int, start int, end int, kept_doc_id long, kept_word int"
+def _with_texts(asked: DataFrame, documents: DataFrame, *keys: str) -> DataFrame:
+    """documents (doc_id, text, text_hash) with the columns of asked, joined null-safely by keys. Up to SENT_ROWS rows are
+    sent to the texts; more are joined by a shuffle."""
+    asked = stored(asked.withColumnsRenamed({key: f"of_{key}" for key in keys}), "asked")
+    side = F.broadcast(asked) if asked.count() <= SENT_ROWS else asked
+    same = [F.col(key).eqNullSafe(F.col(f"of_{key}")) for key in keys]
+    return documents.join(side, same).drop(*(f"of_{key}" for key in keys))
 
 
 def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
@@ -151,7 +191,8 @@ def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -
     of doc_id (none is the smallest), a hash of the text, and the word, so rows that repeat a doc_id with another text are
     compared like other documents, and equal rows are the same place. Groups are counted before the shuffle, and a group
     gives one row for each of its members, so a passage in a third of all documents needs no task of its own. Null texts
-    and texts of fewer than `length` words have no windows. A document's windows are collected: at most one for each word.
+    and texts of fewer than `length` words have no windows. A document's places and spans are collected: at most one for
+    each word.
     """
     chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = chosen.withColumn("text_hash", F.xxhash64("text"))
@@ -175,14 +216,24 @@ def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -
     shared = suffixes.groupBy("prefix").agg(F.count("*").alias("n"))
     shared = suffixes.join(shared.where("n > 1").select("prefix"), "prefix", "left_semi")
     places = shared.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    texts = chosen.join(places.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of"))).drop("of")
-    windows = stored(texts.mapInArrow(_windows(length, spread), WINDOWS), "windows")
-
-    order = F.struct("doc_id", "text_hash", "place")
-    groups = windows.groupBy("high", "low").agg(F.min(order).alias("first"), F.max(order).alias("last")).where("first != last")
-    again = windows.join(groups.select("high", "low", "first"), ["high", "low"]).where(order != F.col("first"))
-    again = again.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "start", "end", "first")).alias("windows"))
-    return again.mapInArrow(_merged(length), SPANS).unionByName(as_spans)
+    runs = stored(_with_texts(places, chosen, "doc_id").mapInArrow(_runs(length, spread), RUNS), "runs")
+
+    # Runs that are equal as a whole repeat the first of them; the earliest place of any window is in one that is first.
+    key, at = ["high", "low"], F.struct("doc_id", "text_hash", "first")
+    firsts = runs.groupBy(*key).agg(F.min(at).alias("kept"), F.count("*").alias("size")).where("size > 1").drop("size")
+    firsts = stored(firsts, "firsts")
+    covers = runs.drop("windows").join(firsts, key).where(at != F.col("kept"))
+    covers = covers.select("doc_id", "text_hash", "first", (F.col("first") + F.col("n") + length - 1).alias("end"), "kept")
+    fresh = runs.join(firsts, key, "left").where(F.col("kept").isNull() | (at == F.col("kept"))).drop("kept", *key)
+    windows = stored(fresh.mapInArrow(_exploded, "doc_id long, text_hash long, place int, high long, low int"), "windows")
+    at = F.struct("doc_id", "text_hash", F.col("place").alias("first"))
+    groups = windows.groupBy(*key).agg(F.min(at).alias("kept"), F.count("*").alias("size")).where("size > 1").drop("size")
+    again = windows.join(groups, key).where(at != F.col("kept"))
+    again = again.select("doc_id", "text_hash", F.col("place").alias("first"), (F.col("place") + length).alias("end"), "kept")
+
+    every = covers.unionByName(again).select("doc_id", "text_hash", F.struct("first", "end", "kept").alias("cover"))
+    spans = every.groupBy("doc_id", "text_hash").agg(F.collect_list("cover").alias("covers"))
+    return _with_texts(spans, chosen, "doc_id", "text_hash").mapInArrow(_merged(length), SPANS).distinct().unionByName(as_spans)
 
 
 def deduplicated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
