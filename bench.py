@@ -51,6 +51,8 @@ def write_snapshots(spark, sf_dir: str, folder: str) -> tuple[str, ...]:
         (written,) = Path(folder, region).glob("*.csv")
         Path(folder, f"{region}videos.csv").hardlink_to(written)
     rows.unpersist()
+    for row in adapters.category_files(spark, sf_dir).collect():
+        Path(folder, row["file"]).write_text(json.dumps({"items": [item.asDict(True) for item in row["items"]]}))
     return regions
 
 
@@ -68,12 +70,11 @@ def main() -> None:
 
     regions = write_snapshots(spark, sf_dir, folder)
     summary = {}
-    seconds["batch"] = timed(lambda: summary.update(run_batch(spark, flat_directory(folder, regions), root, regions)))
+    seconds["batch"] = timed(lambda: summary.update(run_batch(spark, flat_directory(folder, regions), root, regions, folder)))
     print("batch", seconds["batch"], file=sys.stderr)
-    names = adapters.names(spark, sf_dir)
     questions = {
         "countries": lambda: serving.countries(spark, root),
-        "categories": lambda: serving.categories(spark, root, names),
+        "categories": lambda: serving.categories(spark, root),
         "dates": lambda: serving.dates(spark, root),
         "trending": lambda: serving.trending(spark, root, country=regions[0], sort_by="engagement"),
         "statistics": lambda: serving.country_statistics(spark, root, regions[0]),

@@ -102,28 +102,29 @@ def display(rows: DataFrame) -> DataFrame:
 
 
 def countries(documents: DataFrame) -> DataFrame:
-    """The countries in order. There are few, so one row holds them all, without a second shuffle to sort."""
-    return documents.agg(F.sort_array(F.collect_set("country")).alias("all")).select(F.explode("all").alias("country"))
+    """The countries in order."""
+    return documents.select("country").where("country is not null").distinct().orderBy("country")
 
 
 def dates(documents: DataFrame, country: str | None = None) -> DataFrame:
-    """All dates of both generations of documents, latest first, blanks left out; one row holds these few, too."""
+    """All dates of both generations of documents, latest first, blanks left out."""
     if country:
         documents = documents.filter(F.col("country") == country)
     columns = [name for name in ("date", "trending_date") if name in documents.columns]
-    found = [F.collect_set(F.nullif(F.col(name), F.lit(""))) for name in columns]
-    every = F.flatten(F.array(*found))
-    return documents.agg(F.sort_array(F.array_distinct(every), asc=False).alias("all")).select(
-        F.explode("all").alias("date")
-    )
+    either = F.explode(F.array(*columns)).alias("date")
+    return documents.select(either).where("date != ''").distinct().orderBy(F.col("date").desc())
+
+
+def listed_categories(documents: DataFrame) -> DataFrame:
+    """(country, category_id) of the listed videos, each once."""
+    return documents.select("country", F.explode("top_videos.category_id").alias("category_id")).distinct()
 
 
-def categories(documents: DataFrame, names: DataFrame, country: str | None = None) -> DataFrame:
-    """The categories of the listed videos with their names, by id."""
+def categories(found: DataFrame, names: DataFrame, country: str | None = None) -> DataFrame:
+    """The listed categories, of all countries or of one, with their names, by id."""
     if country:
-        documents = documents.filter(F.col("country") == country)
-    found = documents.select(F.explode("top_videos.category_id").alias("category_id")).distinct()
-    return with_category_name(found, names).orderBy("category_id")
+        found = found.filter(F.col("country") == country)
+    return with_category_name(found.select("category_id").distinct(), names).orderBy("category_id")
 
 
 def summary(rows: DataFrame) -> DataFrame:
@@ -138,19 +139,16 @@ def summary(rows: DataFrame) -> DataFrame:
     return numbers.withColumns({"mean_engagement_text": percent(F.col("mean_engagement")), **texts})
 
 
-def category_share(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Rows and percentage per category of the dictionary (category_id, category_name).
+def category_share(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows and percentage per category of the listing, with its name.
 
-    The percentage is of all rows, also those of categories outside the dictionary. The total is summed
-    over the counts, one row per category, not over the listing.
+    The percentage is of all rows, also those without a category, which have no name to show.
     """
     counts = rows.groupBy("category_id").agg(F.count("*").alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
-    return (
-        counts.withColumn("percentage", one_decimal(F.col("count") / total * 100))
-        .join(dictionary, "category_id")
-        .select("category_id", "category_name", "count", "percentage")
-    )
+    share = F.col("count") / rows.agg(F.count("*")).scalar() * 100
+    # Formatted above the join, so that the total stands in the plan once.
+    shares = with_category_name(counts.where("category_id is not null").withColumn("share", share), names)
+    return shares.select("category_id", "category_name", "count", one_decimal(F.col("share")).alias("percentage"))
 
 
 def scatter_points(
@@ -170,12 +168,12 @@ def scatter_points(
     )
 
 
-def scatter_groups(points: DataFrame, dictionary: DataFrame, k: int = fixed.SCATTER_GROUPS) -> DataFrame:
-    """The points of the k largest categories; equal sizes go by first appearance."""
+def scatter_groups(points: DataFrame, names: DataFrame, k: int = fixed.SCATTER_GROUPS) -> DataFrame:
+    """The points of the k largest categories; equal sizes go by first appearance. There are few points."""
     by_name = Window.partitionBy("name")
     by_size = Window.partitionBy().orderBy(F.col("size").desc(), "first_position")
     return (
-        points.join(dictionary, "category_id", "left")
+        with_category_name(points, names)
         .withColumn("name", F.coalesce("category_name", F.lit(fixed.OTHER_CATEGORY)))
         .withColumns({"size": F.count("*").over(by_name), "first_position": F.min("position").over(by_name)})
         .withColumn("group", F.dense_rank().over(by_size))

@@ -10,25 +10,11 @@ from hitparade.functions.texts import tag_count
 from hitparade.functions.times import age_bucket, has_offset, whole_days_between, written_hour
 from hitparade.operators.lookups import cluster_name
 
-REQUEST_DEFAULTS = {
-    "views": 0,
-    "likes": 0,
-    "comment_count": 0,
-    "category_id": 0,
-    "tags": "",
-    "description": "",
-    "channel_title": "",
-    "duration": "",
-    "publish_hour": 12,
-    "video_age_proxy": 2,
-}
-
-
 def with_request_defaults(requests: DataFrame) -> DataFrame:
     """Requests with every field; missing columns and nulls take the field's default."""
     filled = {
         name: F.coalesce(F.col(name), F.lit(default)) if name in requests.columns else F.lit(default)
-        for name, default in REQUEST_DEFAULTS.items()
+        for name, default in fixed.REQUEST_DEFAULTS.items()
     }
     return requests.withColumns(filled)
 
@@ -59,7 +45,7 @@ def _at_least_one(views: Column) -> Column:
 
 def model_inputs(requests: DataFrame, names) -> DataFrame:
     """(request, inputs...): the requests as given, and the named model inputs as doubles."""
-    field = {name: F.col(f"request.{name}") for name in ("title", *REQUEST_DEFAULTS)}
+    field = {name: F.col(f"request.{name}") for name in ("title", *fixed.REQUEST_DEFAULTS)}
     views = _at_least_one(field["views"])
     likes, comments = field["likes"].cast("double"), field["comment_count"].cast("double")
     inputs = {

@@ -143,39 +143,44 @@ def model_metrics(
     clustering: DataFrame, regression: DataFrame, features: DataFrame, stamp: str | None = None
 ) -> DataFrame:
     """One row: both models' metrics, the time and the number of feature rows."""
-    size = features.agg(F.count("*").alias("dataset_size"))
-    parts = [
-        clustering.select(F.struct("*").alias("clustering")),
-        regression.select(F.struct("*").alias("regression")),
-        size,
-    ]
-    # One row each, so they are put side by side by a constant key.
-    keyed = [part.withColumn("run", F.lit(0)) for part in parts]
-    joined = keyed[0].join(keyed[1], "run").join(keyed[2], "run")
-    return joined.select(
-        "clustering", "regression", processed_at(stamp).alias("training_timestamp"), "dataset_size"
+    clusters = clustering.select(F.struct("*")).scalar()
+    errors = regression.select(F.struct("*")).scalar()
+    return features.agg(F.count("*").alias("dataset_size")).select(
+        clusters.alias("clustering"),
+        errors.alias("regression"),
+        processed_at(stamp).alias("training_timestamp"),
+        "dataset_size",
     )
 
 
-def feature_importance(model: PipelineModel) -> DataFrame:
-    """(feature, importance) of a fitted forest, most important first."""
+def feature_importance(model: PipelineModel, n: int | None = None) -> DataFrame:
+    """(feature, importance) of a fitted forest, most important first: all of them, or the first n."""
     names = model.stages[0].getInputCols()
     values = model.stages[-1].featureImportances.toArray().tolist()
     rows = SparkSession.active().createDataFrame(list(zip(names, values)), "feature string, importance double")
-    return rows.orderBy(F.col("importance").desc(), "feature")
+    ranked = rows.orderBy(F.col("importance").desc(), "feature")
+    return ranked if n is None else ranked.limit(n)
+
+
+def _counting(text: str, output: str, buckets: int) -> list:
+    """Tokens without stop words, hashed to buckets."""
+    return [
+        Tokenizer(inputCol=text, outputCol=f"{output}_tokens"),
+        StopWordsRemover(inputCol=f"{output}_tokens", outputCol=f"{output}_kept", stopWords=list(fixed.ENGLISH_STOP_WORDS)),
+        HashingTF(inputCol=f"{output}_kept", outputCol=f"{output}_counts", numFeatures=buckets),
+    ]
 
 
 def fit_text_weights(rows: DataFrame, text: str, output: str, buckets: int) -> PipelineModel:
-    """Tokens without stop words, hashed to buckets, weighted by inverse document frequency."""
-    tokens, kept, counts = f"{output}_tokens", f"{output}_kept", f"{output}_counts"
-    return Pipeline(
-        stages=[
-            Tokenizer(inputCol=text, outputCol=tokens),
-            StopWordsRemover(inputCol=tokens, outputCol=kept),
-            HashingTF(inputCol=kept, outputCol=counts, numFeatures=buckets),
-            IDF(inputCol=counts, outputCol=output),
-        ]
-    ).fit(rows)
+    """Bucket counts of the text, weighted by inverse document frequency."""
+    return Pipeline(stages=[*_counting(text, output, buckets), IDF(inputCol=f"{output}_counts", outputCol=output)]).fit(rows)
+
+
+def text_counts(rows: DataFrame, text: str, buckets: int) -> DataFrame:
+    """Rows with the number of tokens kept and the sum of their bucket counts, as the text weights count them."""
+    counted = PipelineModel(_counting(text, "text", buckets)).transform(rows.na.fill("", [text]))
+    total = F.aggregate(vector_to_array("text_counts"), F.lit(0.0), lambda total, n: total + n)
+    return counted.select(*rows.columns, F.size("text_kept").cast("bigint").alias("kept"), total.alias("counted"))
 
 
 def text_weights(rows: DataFrame, text: str, output: str, buckets: int) -> DataFrame:

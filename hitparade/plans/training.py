@@ -1,5 +1,6 @@
 """Training: stored feature rows to stored models and metrics."""
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -8,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hitparade import fixed
 from hitparade.operators import training as op
 from hitparade.operators.statistics import training_gate
-from hitparade.session import cut_lineage
+from hitparade.session import scratch
 from hitparade.sinks.tables import save_model, write_metrics
 from hitparade.sources.results import read_training_input
 
@@ -21,14 +22,18 @@ class Trained:
     predicted: DataFrame
 
 
+def inputs(features: DataFrame, cut: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The inputs of both models, each sorted and stored once: fits read them several times, and always in one order."""
+    cluster_rows = op.cluster_features(features).sortWithinPartitions(*fixed.CLUSTER_FEATURES)
+    return cut(cluster_rows), cut(op.longevity_features(features).sortWithinPartitions("video_id"))
+
+
 def train(cluster_rows: DataFrame, longevity_rows: DataFrame) -> Trained:
     """Both models, the clustering of its input and the longevity predictions for the held-out videos.
 
-    Fits read their input several times, so it should be a stored table. Sorting within partitions
-    makes the sums in a fit run in one order.
+    The rows are stored tables, as inputs() gives them.
     """
-    cluster_rows = cluster_rows.sortWithinPartitions(*fixed.CLUSTER_FEATURES)
-    fitting, held_out = op.train_test_split(longevity_rows.sortWithinPartitions("video_id"))
+    fitting, held_out = op.train_test_split(longevity_rows)
     clustering = op.fit_clusters(cluster_rows)
     longevity = op.fit_longevity(fitting)
     return Trained(clustering, longevity, clustering.transform(cluster_rows), longevity.transform(held_out))
@@ -39,12 +44,13 @@ def run_training(spark: SparkSession, root: str, stamp: str | None = None) -> di
     features = read_training_input(spark, root)
     if features is None or not training_gate(features).first()["enough"]:
         return None
-    trained = train(op.cluster_features(features), cut_lineage(op.longevity_features(features)))
-    save_model(trained.clustering, root, "clustering")
-    save_model(trained.longevity, root, "days_regression")
-    metrics = op.model_metrics(
-        op.cluster_quality(trained.assigned), op.regression_quality(trained.predicted), features, stamp
-    )
-    row = cut_lineage(metrics)
-    write_metrics(row, root)
-    return row.first().asDict(recursive=True)
+    with scratch(spark) as cut:
+        trained = train(*inputs(features, cut))
+        save_model(trained.clustering, root, "clustering")
+        save_model(trained.longevity, root, "days_regression")
+        metrics = op.model_metrics(
+            op.cluster_quality(trained.assigned), op.regression_quality(trained.predicted), features, stamp
+        )
+        row = cut(metrics)
+        write_metrics(row, root)
+        return row.first().asDict(recursive=True)

@@ -65,20 +65,6 @@ TREND_DOCUMENT = _fields(
     ("top_videos", T.ArrayType(TOP_VIDEO)),
 )
 
-SCORING_REQUEST = _fields(
-    ("title", T.StringType()),
-    ("views", T.LongType()),
-    ("likes", T.LongType()),
-    ("comment_count", T.LongType()),
-    ("category_id", T.IntegerType()),
-    ("tags", T.StringType()),
-    ("description", T.StringType()),
-    ("channel_title", T.StringType()),
-    ("duration", T.StringType()),
-    ("publish_hour", T.IntegerType()),
-    ("video_age_proxy", T.IntegerType()),
-)
-
 WORD_DOCUMENT = _fields(
     ("country", T.StringType()),
     ("date", T.StringType()),
@@ -109,10 +95,26 @@ FEATURE_ROW = _fields(
     ("processed_at", T.StringType()),
 )
 
+CATEGORY_NAME = _fields(("country", T.StringType()), ("category_id", T.StringType()), ("category_name", T.StringType()))
+
+LISTED_CATEGORY = _fields(("country", T.StringType()), ("category_id", T.IntegerType()))
+
+COUNTRY_TOTALS = _fields(
+    ("country", T.StringType()),
+    ("total_videos", T.LongType()),
+    ("max_views", T.LongType()),
+    ("total_views", T.LongType()),
+    ("total_likes", T.LongType()),
+    ("total_comments", T.LongType()),
+)
+
 # Stored tables. Older trend documents carry trending_date instead of date.
 TABLES = {
     "raw_videos": T.StructType([*OBSERVATION.fields, T.StructField("trending_date_parsed", T.StringType(), True)]),
     "trending_results": T.StructType([*TREND_DOCUMENT.fields, T.StructField("trending_date", T.StringType(), True)]),
     "wordcloud_data": WORD_DOCUMENT,
     "ml_features": FEATURE_ROW,
+    "category_names": CATEGORY_NAME,
+    "listed_categories": LISTED_CATEGORY,
+    "country_totals": COUNTRY_TOTALS,
 }

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,3 +49,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/hitparade/{uuid.uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that cuts lineage as cut_lineage does; what it has written is deleted at the end."""
+    folder = f"{shared_folder(spark)}/hitparade/{uuid.uuid4()}"
+
+    def cut(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4()}"
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    try:
+        yield cut
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from hitparade import fixed
 from hitparade.functions.times import trending_date
 from hitparade.schemas import RAW_SNAPSHOT
+from hitparade.session import cut_lineage
 from hitparade.sources.files import decoded
 
-# More lines than any field of a snapshot holds.
-MAX_RECORD_LINES = 100_000
+# Blocks of files whose states are sent to all tasks at most; each is a few numbers and the header.
+SENT_BLOCKS = 50_000
 
 
 def country_directories(base: str, countries=fixed.COUNTRIES) -> str:
@@ -25,38 +26,73 @@ def flat_directory(base: str, countries=fixed.COUNTRIES) -> str:
     return f"{base}/{{{','.join(countries)}}}videos.csv"
 
 
-def read_snapshots(spark: SparkSession, pattern: str, look_for_line_breaks: bool = True) -> DataFrame:
+def read_snapshots(spark: SparkSession, pattern: str) -> DataFrame:
     """All files of the pattern, with the country taken from the file name; absent files are left out.
 
-    Tasks share every file. Files with line breaks inside quoted fields take a shuffle by file block for that; a light
-    scan finds them, which can be switched off for feeds known to have none.
+    A first scan works out for each file block whether a quoted field with line breaks is open where it starts or is opened
+    in it. Lines of other blocks are records, and go straight to the parser. Only blocks with such fields are shuffled, block
+    by block, and only the lines of such records are put together.
     """
-    breaks = _files(spark, pattern) if look_for_line_breaks else {}
-    if not any(breaks.values()):
-        return _with_country(_plain(spark, pattern))
-    broken = [path for path, found in breaks.items() if found]
-    plain = [path for path, found in breaks.items() if not found]
+    lines = _lines(spark, pattern)
+    blocks = cut_lineage(_block_states(lines))
+    few = blocks.count() <= SENT_BLOCKS
+    placed = lines.join(F.broadcast(blocks) if few else blocks, ["file", "block"])
+    placed = placed.filter((F.trim("text") != "") | F.col("broken")).filter((F.col("block") > 0) | (F.col("text") != F.col("header")))
+    records = placed.filter(~F.col("broken")).select("file", "text")
+    if not blocks.filter("broken").isEmpty():
+        records = records.union(_records(placed.filter("broken")))
     parsed = F.from_csv("text", RAW_SNAPSHOT.simpleString(), {"escape": '"'})
-    records = _records(spark.read.text(broken).select("value", "_metadata"))
-    rows = records.select(parsed.alias("row"), "file").select("row.*", "file")
-    return _with_country(union_sources(rows, _plain(spark, plain)) if plain else rows)
+    country = F.regexp_extract(F.col("file"), r"([^/]+)videos\.csv$", 1)
+    return records.select(parsed.alias("row"), country.alias("country")).select("row.*", "country")
 
 
-def _plain(spark, paths):
-    rows = spark.read.schema(RAW_SNAPSHOT).csv(paths, header=True, escape='"')
-    return rows.select("*", F.col("_metadata.file_path").alias("file"))
-
+def _lines(spark, pattern) -> DataFrame:
+    """(file, block, line, text): line rises within a block."""
+    return spark.read.text(pattern).select(
+        decoded(F.col("_metadata.file_path")).alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        F.col("value").alias("text"),
+    )
 
-def _with_country(rows):
-    country = F.regexp_extract(decoded(F.col("file")), r"([^/]+)videos\.csv$", 1)
-    return rows.withColumn("country", country).drop("file")
 
+def _block_states(lines: DataFrame) -> DataFrame:
+    """One row per file block: is a quoted field open where it starts (entered), and in which block that record started
+    (entered_block); is the block broken, that is, touched by a record of several lines; the block in which a record starts
+    that its file never closes (unclosed_block); and the header, the first line of its file that is not blank.
 
-def _files(spark, pattern) -> dict[str, bool]:
-    """Does a file hold a line that ends inside a quoted field? Without one, every line is a record."""
-    ends_inside, _ = _ends_inside(F.col("value"))
-    lines = spark.read.text(pattern).select(decoded(F.col("_metadata.file_path")).alias("file"), ends_inside.alias("i"))
-    return {r.file: bool(r.found) for r in lines.groupBy("file").agg(F.max("i").alias("found")).collect()}
+    Lines without a quote keep the state, so only those with one are collected, two states each; a block bounds them.
+    """
+    outside, inside = _ends_inside(F.col("text"))
+    mark = F.when(F.contains(F.col("text"), F.lit('"')), F.struct("line", outside.alias("outside"), inside.alias("inside")))
+    first_line = F.min_by("text", F.when(F.trim("text") != "", F.col("line")))
+    marks = lines.groupBy("file", "block").agg(F.array_sort(F.collect_list(mark)).alias("marks"), first_line.alias("first_line"))
+
+    def folded(state):
+        start = F.struct(F.lit(state).alias("state"), F.lit(False).alias("opened"))
+        step = lambda s, m: F.struct(
+            F.when(s["state"] == 0, m["outside"]).otherwise(m["inside"]).alias("state"),
+            (s["opened"] | ((s["state"] == 0) & (m["outside"] == 1))).alias("opened"),
+        )
+        return F.aggregate("marks", start, step)
+
+    blocks = marks.select("file", "block", "first_line", folded(0).alias("a"), folded(1).alias("b"))
+    blocks = blocks.withColumns({"from_outside": F.col("a.state"), "from_inside": F.col("b.state")})
+    blocks = _with_states(blocks, ["file"], "block").withColumnRenamed("if_outside", "entered")
+    opened = F.when(F.col("entered") == 0, F.col("a.opened")).otherwise(F.col("b.opened"))
+    left = F.when(F.col("entered") == 0, F.col("a.state")).otherwise(F.col("b.state"))
+    in_file = Window.partitionBy("file").orderBy("block")
+    earlier, whole = in_file.rowsBetween(Window.unboundedPreceding, -1), in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    start = F.when(opened, F.col("block"))
+    return blocks.select(
+        "file",
+        "block",
+        "entered",
+        F.last(start, ignorenulls=True).over(earlier).alias("entered_block"),
+        (opened | (F.col("entered") == 1)).alias("broken"),
+        F.when(F.last(left).over(whole) == 1, F.last(start, ignorenulls=True).over(whole)).alias("unclosed_block"),
+        F.first("first_line", ignorenulls=True).over(whole).alias("header"),
+    )
 
 
 def _ends_inside(text: Column) -> tuple[Column, Column]:
@@ -98,73 +134,44 @@ def _with_states(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     )
 
 
-def _records(scanned: DataFrame, max_record_lines: int = MAX_RECORD_LINES) -> DataFrame:
-    """CSV records (file, text) without headers, put together from the lines of a text scan.
+def _records(placed: DataFrame) -> DataFrame:
+    """CSV records (file, text) from the lines of broken blocks.
 
-    A line starts a record where it starts outside of quoted fields. That is worked out within file blocks
-    for both possible states at the block's start, then over the few rows per block, so that no task sees
-    a whole file.
+    A line starts a record where it starts outside of quoted fields. A record that goes on in later blocks is named by the
+    block it starts in, any other by its line. A quote that is never closed would make one record of the rest of its file:
+    there, lines count as records.
     """
-    lines = scanned.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-        F.col("value").alias("text"),
-    )
-    from_outside, from_inside = _ends_inside(F.col("text"))
-    lines = lines.withColumns({"from_outside": from_outside, "from_inside": from_inside}).repartition("file", "block")
-    lines = _with_states(lines, ["file", "block"], "line")
-
-    def after(state):
-        return F.when(F.col(state) == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
-
-    def last_start(state):
-        return F.max(F.when(F.col(state) == 0, F.col("line")))
-
-    blocks = lines.groupBy("file", "block").agg(
-        F.max_by(after("if_outside"), "line").alias("from_outside"),
-        F.max_by(after("if_inside"), "line").alias("from_inside"),
-        last_start("if_outside").alias("start_if_outside"),
-        last_start("if_inside").alias("start_if_inside"),
-    )
-    earlier_blocks = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.when(F.col("entered") == 0, F.col("start_if_outside")).otherwise(F.col("start_if_inside"))
-    blocks = (
-        _with_states(blocks, ["file"], "block")
-        .withColumnRenamed("if_outside", "entered")
-        .withColumn("entered_record", F.last(start, ignorenulls=True).over(earlier_blocks))
-        .select("file", "block", "entered", "entered_record")
-    )
-
+    outside, inside = _ends_inside(F.col("text"))
+    lines = placed.withColumns({"from_outside": outside, "from_inside": inside})
+    lines = _with_states(lines.repartition("file", "block"), ["file", "block"], "line")
     in_block = Window.partitionBy("file", "block").orderBy("line")
-    up_to_line = in_block.rowsBetween(Window.unboundedPreceding, 0)
+    up_to_line, whole = (in_block.rowsBetween(Window.unboundedPreceding, end) for end in (0, Window.unboundedFollowing))
     state = F.when(F.col("entered") == 0, F.col("if_outside")).otherwise(F.col("if_inside"))
+    after = F.when(state == 0, F.col("from_outside")).otherwise(F.col("from_inside"))
     started = F.when(state == 0, F.col("line"))
-    placed = (
-        lines.join(blocks, ["file", "block"])
-        .withColumn("record", F.coalesce(F.last(started, ignorenulls=True).over(up_to_line), F.col("entered_record")))
-        .withColumn("is_header", (F.col("block") == 0) & (F.row_number().over(in_block) == 1))
-        .filter(~F.col("is_header"))
-    )
-
-    is_whole = (F.col("record") == F.col("line")) & (F.col("from_outside") == 0)
-    whole = placed.filter(is_whole & (F.trim("text") != "")).select("file", "text")
-    pieces = placed.filter(~is_whole).select("file", "record", "line", "text")
-    # A quote that is never closed would make one record of the rest of its file: there, lines count as records.
-    overlong = (
-        pieces.groupBy("file", "record")
-        .agg(F.count("*").alias("lines"))
-        .filter(F.col("lines") > max_record_lines)
-        .select("file", "record", F.lit(True).alias("overlong"))
+    lines = lines.withColumns(
+        {
+            "start": F.last(started, ignorenulls=True).over(up_to_line),
+            "goes_on": (F.last(after).over(whole) == 1) & (F.last(started, ignorenulls=True).over(whole).eqNullSafe(F.last(started, ignorenulls=True).over(up_to_line))),
+            "alone": (state == 0) & (after == 0),
+        }
     )
-    joined = (
-        pieces.join(overlong, ["file", "record"], "left")
-        .withColumn("record", F.when(F.col("overlong"), F.col("line")).otherwise(F.col("record")))
-        .groupBy("file", "record")
-        .agg(F.array_sort(F.collect_list(F.struct("line", "text"))).alias("parts"))
+    start_block = F.when(F.col("start").isNotNull(), F.col("block")).otherwise(F.col("entered_block"))
+    crossing = F.col("start").isNull() | F.col("goes_on")
+    lines = lines.select(
+        "file", "block", "line", "text", "alone",
+        start_block.alias("start_block"),
+        F.when(~crossing, F.col("start")).alias("start"),
+        (crossing & start_block.eqNullSafe(F.col("unclosed_block"))).alias("unclosed"),
+    )
+    single = F.col("alone") | F.col("unclosed")
+    records = (
+        lines.filter(~single)
+        .groupBy("file", "start_block", "start")
+        .agg(F.array_sort(F.collect_list(F.struct("block", "line", "text"))).alias("parts"))
         .select("file", F.concat_ws("\n", F.col("parts.text")).alias("text"))
     )
-    return whole.union(joined)
+    return lines.filter(single & (F.trim("text") != "")).select("file", "text").union(records)
 
 
 def load_filter(rows: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ def test_no_python_in_any_plan(spark):
 
 
 def test_no_cross_joins(spark):
-    for name in ("trend_documents", "category_share", "scatter_groups", "term_idf", "listing_named", "regression_metrics"):
+    for name in ("trend_documents", "category_share", "scatter_groups", "term_idf", "listing_named", "regression_metrics", "model_metrics"):
         text = explain(spark, name)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
@@ -52,8 +52,30 @@ def test_columns_and_filters_reach_the_stored_tables(spark, tmp_path):
     assert "EqualTo(country,ASIA)" in listed and "Or(EqualTo(date,2017-03-01),EqualTo(trending_date,2017-03-01))" in listed
     assert "total_views" not in listed
     assert "ReadSchema: struct<country:string>" in formatted(serving.countries(spark, str(tmp_path)))
-    totals = formatted(serving.country_statistics(spark, str(tmp_path), "ASIA"))
-    assert "ReadSchema: struct<views:bigint,likes:bigint,comment_count:bigint>" in totals
-    assert "PartitionFilters: [isnotnull(country" in totals
+
+
+@pytest.mark.parametrize("name", ["countries", "dates", "dates_of_both_generations"])
+def test_no_set_of_a_whole_table_in_one_row(spark, name):
+    assert "collect_set" not in explain(spark, name)
+
+
+def test_category_share_reads_the_line_items_twice(spark):
+    def scans(text):
+        return sum("FileScan" in line and "/lineitem.parquet" in line for line in text.splitlines())
+
+    # Twice for the counts and twice in the scalar total, which runs on the same exchanges.
+    assert scans(explain(spark, "category_share")) == 4
+    assert scans(explain(spark, "scatter_groups")) == 2
+
+
+def test_observations_are_not_dealt_out_anew(spark):
+    for name in ("scan_observations", "trend_documents", "tfidf_description"):
+        assert "REPARTITION" not in explain(spark, name)
+
+
+def test_filters_reach_the_stored_observations(spark, tmp_path):
+    from workload.adapters import cleaned
+
+    overwrite_raw(cleaned(spark, SMALL).drop("l_orderkey", "l_linenumber"), str(tmp_path))
     single = formatted(serving.group(spark, str(tmp_path), "ASIA", "2017-03-01"))
     assert "EqualTo(trending_date_parsed,2017-03-01)" in single and "PartitionFilters: [isnotnull(country" in single

@@ -192,17 +192,18 @@ def test_names_and_categories(documents, names):
     rows = listing.named(listing.listing_rows(documents), names)
     found = {r.video_id: (r.category_name, r.chart_category, r.table_category) for r in rows.collect()}
     assert found["c"] == ("Category 999", "Other", "Unknown") and found["a"] == ("Film", "Film", "Film")
-    categories = listing.categories(documents, names)
+    found = listing.listed_categories(documents)
+    categories = listing.categories(found, names)
     assert [tuple(r) for r in categories.collect()] == [(1, "Film"), (2, "Cars"), (999, "Category 999")]
-    assert [r.category_id for r in listing.categories(documents, names, "GB").collect()] == [2]
+    assert [r.category_id for r in listing.categories(found, names, "GB").collect()] == [2]
     british = lookups.with_category_name(listing.listing_rows(documents), names, mapping_country="GB")
     assert {r.category_name for r in british.collect()} == {"Movies", "Category 2", "Category 999"}
 
 
 def test_share_counts_all_rows(documents, names):
     rows = listing.listing_rows(documents)
-    dictionary = listing.categories(documents, names).filter("category_id < 3")
-    found = {r.category_name: (r["count"], r.percentage) for r in listing.category_share(rows, dictionary).collect()}
+    rows = rows.withColumn("category_id", F.when(F.col("category_id") != 999, F.col("category_id")))
+    found = {r.category_name: (r["count"], r.percentage) for r in listing.category_share(rows, names).collect()}
     assert found == {"Film": (1, "25.0"), "Cars": (2, "50.0")}
 
 
@@ -221,7 +222,7 @@ def test_scatter(documents, names):
     rows = listing.listing_rows(documents)
     points = listing.scatter_points(rows, n=3)
     assert [(p.position, p.x, p.z) for p in points.orderBy("position").collect()] == [(1, 300, 10), (2, 100, 10), (3, 100, 10)]
-    groups = listing.scatter_groups(points, listing.categories(documents, names), k=1)
+    groups = listing.scatter_groups(points, names, k=1)
     assert {(g["group"], g["name"], g["size"], g["position"]) for g in groups.collect()} == {(1, "Cars", 2, 1), (1, "Cars", 2, 3)}
 
 

@@ -6,11 +6,13 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import compare
 from tests.conftest import SMALL
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
-ROWS_ONLY = set(queries()) - set(oracle_sql())
+ROWS_ONLY = set(QUERIES) - set(ORACLE)
 
 
 @pytest.fixture(scope="module")
@@ -21,9 +23,9 @@ def connection():
     return connection
 
 
-@pytest.mark.parametrize("name", oracle_sql())
+@pytest.mark.parametrize("name", ORACLE)
 def test_query(spark, connection, name):
-    assert compare(queries()[name](spark, SMALL), connection.sql(oracle_sql()[name])).startswith("ok")
+    assert compare(QUERIES[name](spark, SMALL), connection.sql(ORACLE[name])).startswith("ok")
 
 
 def test_only_fits_and_hashed_text_go_without_sql():

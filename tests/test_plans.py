@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,12 +9,12 @@ from hitparade.plans import serving
 from hitparade.plans.batch import run_batch, stored_observations
 from hitparade.plans.training import run_training
 from hitparade.schemas import RAW_SNAPSHOT
-from hitparade.session import cut_lineage, shared_folder
+from hitparade.session import cut_lineage, scratch, shared_folder
 from hitparade.sinks.tables import normalised, overwrite_unless_empty
 from hitparade.sources.snapshots import flat_directory
 from tests.conftest import SMALL
 from workload import adapters
-from workload.queries import QUERIES
+from workload.queries import AS_OF, QUERIES, requests
 
 REGIONS = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
 
@@ -28,7 +29,11 @@ def stored(spark, tmp_path_factory):
         for name in ("category_id", "views", "likes"):
             part[name] = part[name].astype("Int64")
         part.to_csv(source / f"{region}videos.csv", index=False)
-    summary = run_batch(spark, flat_directory(source, (*REGIONS, "NOWHERE")), root, (*REGIONS, "NOWHERE"))
+    for file in adapters.category_files(spark, SMALL).collect():
+        items = [{"id": i["id"], "snippet": {"title": i["snippet"]["title"]}} for i in file["items"]]
+        (source / file["file"]).write_text(json.dumps({"items": items}))
+    countries = (*REGIONS, "NOWHERE")
+    summary = run_batch(spark, flat_directory(source, countries), root, countries, categories=str(source))
     return root, summary
 
 
@@ -68,31 +73,51 @@ def test_stored_results(spark, stored):
 
 def test_questions(spark, stored):
     root, _ = stored
-    names = adapters.names(spark, SMALL)
     assert [r.country for r in serving.countries(spark, root).collect()] == list(REGIONS)
-    assert same(QUERIES["categories"](spark, SMALL), serving.categories(spark, root, names))
+    assert same(QUERIES["categories"](spark, SMALL), serving.categories(spark, root))
     assert same(QUERIES["dates"](spark, SMALL), serving.dates(spark, root))
     assert same(QUERIES["listing_by_likes"](spark, SMALL), serving.trending(spark, root, sort_by="likes"))
     assert same(QUERIES["statistics_country"](spark, SMALL), serving.country_statistics(spark, root, "ASIA"))
     assert same(QUERIES["table_counts"](spark, SMALL), serving.sizes(spark, root))
     assert serving.words(spark, root, "ASIA").count() == 1
+    assert same(QUERIES["statistics_all"](spark, SMALL), serving.country_statistics(spark, root))
+    page = serving.page(spark, root, 3)
+    assert same(QUERIES["listing_page"](spark, SMALL), page) and page.columns[-1] == "table_category"
+    assert same(QUERIES["listing_pages"](spark, SMALL), serving.pages(spark, root))
+    assert same(QUERIES["category_share"](spark, SMALL), serving.category_share(spark, root))
+    assert same(QUERIES["listing_words"](spark, SMALL), serving.title_words(spark, root))
+    assert same(QUERIES["scatter_groups"](spark, SMALL), serving.scatter(spark, root))
+    whole = QUERIES["listing_summary"](spark, SMALL).drop("mean_engagement")
+    assert same(whole, serving.summary(spark, root))
+    asian = serving.filtered(spark, root, country="ASIA", category=7)
+    assert same(QUERIES["listing_filtered"](spark, SMALL), asian.orderBy(F.col("views").desc()).limit(200))
     single = trends.flattened(serving.group(spark, root, "ASIA", "2017-03-01"))
     assert same(QUERIES["trend_for_group"](spark, SMALL), single)
 
 
-def test_training_and_scoring(spark, stored):
+def test_training_and_scoring(spark, stored, shared):
     root, _ = stored
     before = len(_history(spark, root))
     metrics = run_training(spark, root, stamp="2020-01-01T00:00:00")
     assert metrics["dataset_size"] == 5832 and metrics["training_timestamp"] == "2020-01-01T00:00:00"
     assert -1 <= metrics["clustering"]["silhouette_score"] <= 1 and metrics["clustering"]["num_clusters"] == 3
     assert metrics["regression"]["rmse"] >= metrics["regression"]["mae"]
+    left = [p for p in Path(shared, "hitparade").rglob("*.parquet")] if Path(shared, "hitparade").exists() else []
     run_training(spark, root)
+    after = [p for p in Path(shared, "hitparade").rglob("*.parquet")]
+    assert len(after) == len(left)
     assert len(_history(spark, root)) == before + 2
     latest = spark.read.text(f"{root}/metrics/latest").collect()
     assert len(latest) == 1 and json.loads(latest[0].value)["dataset_size"] == 5832
     scored = serving.predictions(adapters.metadata(spark, SMALL).drop("tag_list"), root)
     assert scored.filter("predicted_days >= 0 and cluster between 0 and 2").count() == 5832
+    resolved = serving.metadata_predictions(adapters.metadata(spark, SMALL), root, AS_OF)
+    inputs = "video_id", "country", "views", "tags", "publish_hour", "video_age_proxy"
+    assert same(requests(spark, SMALL).select(*inputs), resolved.select(*inputs))
+    assert [r.importance for r in serving.importance(root, 3).collect()] == [r.importance for r in serving.importance(root).collect()][:3]
+    assert serving.metrics(spark, root).first()["dataset_size"] == 5832
+    history = serving.metrics_history(spark, root).collect()
+    assert len(history) == before + 2 and history[-1]["training_timestamp"] == "2020-01-01T00:00:00"
 
 
 def _history(spark, root):
@@ -136,6 +161,14 @@ def test_lineage_is_cut_in_the_folder_that_the_session_names(spark, shared):
     assert cut_lineage(spark.range(3)).inputFiles()[0].startswith(f"file://{shared}/hitparade/")
 
 
+def test_scratch_tables_are_deleted(spark, shared):
+    with scratch(spark) as cut:
+        rows = cut(spark.range(3))
+        path = Path(rows.inputFiles()[0].removeprefix("file://")).parent
+        assert rows.count() == 3 and path.is_relative_to(shared)
+    assert not path.exists() and not path.parent.exists()
+
+
 def test_normalised(spark):
     rows = spark.range(1).select(F.lit(float("nan")).alias("x"), F.to_date(F.lit("2018-01-02")).alias("d"))
     assert tuple(normalised(rows).first()) == (None, "2018-01-02")

@@ -37,7 +37,7 @@ def test_directories_and_missing_countries(spark, tmp_path):
 def test_flat_directory(spark, tmp_path):
     write(tmp_path / "KRvideos.csv", [row("a"), row("b")])
     write(tmp_path / "XXvideos.csv", [row("c")])
-    rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path), look_for_line_breaks=False)
+    rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path))
     assert {(r.video_id, r.country, r.views, r.ratings_disabled) for r in rows.collect()} == {
         ("a", "KR", 5, True),
         ("b", "KR", 5, True),
@@ -89,8 +89,26 @@ def test_a_quote_that_never_closes_does_not_swallow_its_file(spark, tmp_path):
     lines = [f"v{i},17.14.11,t,ch,1,x,a,{i},1,1,1,l,False,True,False,d" for i in range(60)]
     lines[9] = 'v9,17.14.11,"t,ch,1,x,a,9,1,1,1,l,False,True,False,d'
     path.write_text("\n".join([HEADER, *lines]) + "\n")
-    records = snapshots._records(spark.read.text(str(path)).select("value", "_metadata"), max_record_lines=20)
-    assert sorted(r.text for r in records.collect()) == sorted(lines)
+    rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path))
+    assert sorted(r.video_id for r in rows.collect()) == sorted(f"v{i}" for i in range(60))
+
+
+def test_a_field_of_many_lines_comes_back_whole(spark, tmp_path):
+    text = "\n".join(f"line {i}" for i in range(120_000))
+    write(tmp_path / "USvideos.csv", [row("a"), row("long", text), row("b", "x\ny"), row("c")])
+    (tmp_path / "GBvideos.csv").write_text(f"\n \n{HEADER}\n\ng1,17.14.11,t,ch,1,x,a,1,1,1,1,l,False,True,False,d\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path))
+        assert {r.video_id: r.description for r in rows.collect()} == {"a": "d", "long": text, "b": "x\ny", "c": "d", "g1": "d"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_lines_of_clean_blocks_are_not_shuffled(spark, tmp_path):
+    write(tmp_path / "USvideos.csv", [row(f"v{i}", 'a "quoted", word') for i in range(50)])
+    plan = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
 
 
 def test_load_filter(observe):

@@ -34,15 +34,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, key: str) -> DataFrame:
-    """A table of fewer files than cores over all cores; one of many files stays as it is.
-
-    The test tables are files of a single row group, which one task would read and process alone.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, key) if len(rows.inputFiles()) < cores else rows
-
-
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as videos trending in the buyer's region in the month of shipping.
 
@@ -59,7 +50,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = t["part"].select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     sellers = t["supplier"].select("s_suppkey", "s_name")
     items = (
-        spread(t["lineitem"], "l_orderkey")
+        t["lineitem"]
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -125,7 +116,7 @@ def daily_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def title_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as titles, with language and source as the group."""
-    return spread(table(spark, sf_dir, "documents"), "doc_id").select(
+    return table(spark, sf_dir, "documents").select(
         F.col("lang").alias("country"), F.col("source").alias("trending_date_parsed"), F.col("text").alias("title")
     )
 

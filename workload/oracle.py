@@ -5,7 +5,14 @@ from workload.queries import AS_OF, CATEGORY, COUNTRY, DATE, PAGE
 
 
 def _listed(words) -> str:
-    return ", ".join(f"'{word}'" for word in words)
+    return ", ".join("'{}'".format(word.replace("'", "''")) for word in words)
+
+
+def _kept(text: str) -> str:
+    """Tokens of a text that are no stop words: split at each white space, blanks at the end left out."""
+    tokens = f"string_split_regex(regexp_replace(lower(coalesce({text}, '')), '\\s+$', ''), '\\s')"
+    kept = f"len(list_filter({tokens}, lambda w: w NOT IN ({_listed(fixed.ENGLISH_STOP_WORDS)})))"
+    return f"{kept} AS kept, CAST({kept} AS DOUBLE) AS counted"
 
 
 RAW_COLUMNS = """video_id, trending_date, title, channel_title, category_id, publish_time, tags, views, likes,
@@ -292,6 +299,11 @@ _BODIES = {
     "countries": "SELECT DISTINCT country FROM listed",
     "categories": "SELECT * FROM dictionary",
     "dates": "SELECT DISTINCT date FROM listed",
+    "dates_of_both_generations": """SELECT DISTINCT unnest(CASE WHEN n % 2 = 0 AND n % 3 <> 0 THEN [date, older]
+        WHEN n % 2 = 0 THEN [date] WHEN n % 3 <> 0 THEN [older] ELSE [] END) AS date
+      FROM (SELECT date, substr(date, 1, 8) || '28' AS older,
+          CAST(substr(date, 9, 2) AS INTEGER) + CAST(substr(date, 6, 2) AS INTEGER) AS n
+        FROM (SELECT DISTINCT strftime(trending_date_parsed, '%Y-%m-%d') AS date FROM stats))""",
     "category_share": f"""SELECT category_id, category_name, count(*) AS count,
       {_fixed_one("CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM listed) * 100e0")} AS percentage
       FROM listed JOIN dictionary USING (category_id) GROUP BY category_id, category_name""",
@@ -310,7 +322,7 @@ _BODIES = {
     "category_distribution": "SELECT category_id, count(*) AS count FROM features GROUP BY category_id",
     "text_presence": """SELECT count(*) FILTER (title <> '') AS titles,
       count(*) FILTER (description <> '') AS descriptions, count(*) AS rows FROM clean""",
-    "training_gate": """SELECT least(count(*), 1000) AS rows_seen, CAST(1000 AS INTEGER) AS required,
+    "training_gate": """SELECT count(*) AS rows_seen, CAST(1000 AS INTEGER) AS required,
       count(*) >= 1000 AS enough FROM features""",
     "ml_features": "SELECT * REPLACE (round(log_views, 9) AS log_views) FROM features",
     "training_input": """SELECT video_id, country, trending_date, coalesce(channel_title, '') AS channel_title,
@@ -323,14 +335,30 @@ _BODIES = {
     "longevity_features": "SELECT * FROM longevity",
     "scaled_features": "SELECT "
     + ", ".join(
-        f"round({name} / (SELECT stddev_samp({name}) FROM cluster_inputs), 4) AS {name}"
+        f"round({name} / (SELECT stddev_samp({name}) FROM cluster_inputs), 6) AS {name}"
         for name in fixed.CLUSTER_FEATURES
     )
     + " FROM cluster_inputs",
     "term_idf": f"""SELECT term, count(*) AS documents,
       round(ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)), 9) AS idf
       FROM (SELECT unnest(list_distinct(string_split_regex(lower(text), '\\s'))) AS term FROM documents)
-      WHERE term <> '' AND term NOT IN ({_listed(fixed.TITLE_STOP_WORDS)}) GROUP BY term""",
+      WHERE term <> '' AND term NOT IN ({_listed(fixed.ENGLISH_STOP_WORDS)}) GROUP BY term""",
+    "description_counts": f"SELECT doc_id, {_kept('text')} FROM documents",
+    "title_counts": f"SELECT video_id, country, trending_date, title, {_kept('title')} FROM clean",
+    "cluster_assign_inputs": """SELECT * REPLACE (round(log_views, 9) AS log_views, round(log_likes, 9) AS log_likes,
+      round(log_comments, 9) AS log_comments) FROM cluster_inputs""",
+    "cluster_quality_facts": f"""SELECT CAST({fixed.CLUSTERS} AS INTEGER) AS num_clusters,
+      '{" ".join(fixed.CLUSTER_FEATURES)}' AS features_used""",
+    "regression_quality_facts": f"""SELECT '{fixed.LONGEVITY_LABEL}' AS label,
+      '{" ".join(fixed.LONGEVITY_FEATURES)}' AS features_used""",
+    "feature_importance_names": f"SELECT unnest([{_listed(fixed.LONGEVITY_FEATURES)}]) AS feature",
+    "model_metrics_facts": f"""SELECT count(*) AS dataset_size, CAST({fixed.CLUSTERS} AS INTEGER) AS num_clusters,
+      '{fixed.LONGEVITY_LABEL}' AS label FROM features""",
+    "score_days_facts": """SELECT video_id, country, views, 'high' AS confidence, 'spark_mllib' AS days_method
+      FROM scoring""",
+    "score_cluster_facts": "SELECT video_id, country, views, 'spark_mllib' AS cluster_method FROM scoring",
+    "score_both_facts": """SELECT video_id, country, title, views, likes, comment_count, category_id, tags, publish_hour,
+      'high' AS confidence, 'spark_mllib' AS days_method, 'spark_mllib' AS cluster_method FROM scoring""",
     "train_test_split": """SELECT video_id,
       CAST('0x' || substr(md5(video_id || '-42'), 1, 8) AS BIGINT) % 10 < 8 AS in_training_set FROM longevity""",
     "regression_metrics": _metrics(

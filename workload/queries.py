@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hitparade import fixed
 from hitparade.functions.texts import link_video_id
 from hitparade.operators import cleaning, features, listing, lookups, scoring, statistics, training, trends, words
-from hitparade.plans.training import Trained, train
+from hitparade.plans.training import Trained, inputs, train
 from hitparade.session import cut_lineage
 from hitparade.sinks.tables import normalised
 from hitparade.sources import results, snapshots
@@ -232,7 +232,7 @@ def countries(spark, sf_dir):
 
 @query
 def categories(spark, sf_dir):
-    return listing.categories(documents(spark, sf_dir), a.names(spark, sf_dir))
+    return listing.categories(listing.listed_categories(documents(spark, sf_dir)), a.names(spark, sf_dir))
 
 
 @query
@@ -240,9 +240,19 @@ def dates(spark, sf_dir):
     return listing.dates(documents(spark, sf_dir))
 
 
+@query
+def dates_of_both_generations(spark, sf_dir):
+    """Half of the documents with their date under the older name, some with both and some with a blank."""
+    number = F.dayofmonth("date") + F.month("date")
+    older = F.when(number % 3 != 0, F.concat(F.substring("date", 1, 8), F.lit("28")))
+    newer = F.when(number % 2 == 0, F.col("date")).when(number % 5 == 0, "")
+    both = documents(spark, sf_dir).withColumns({"trending_date": older, "date": newer})
+    return listing.dates(both)
+
+
 @query
 def category_share(spark, sf_dir):
-    return listing.category_share(listed(spark, sf_dir), categories(spark, sf_dir))
+    return listing.category_share(listed(spark, sf_dir), a.names(spark, sf_dir))
 
 
 @query
@@ -253,7 +263,7 @@ def scatter_points(spark, sf_dir):
 @query
 def scatter_groups(spark, sf_dir):
     points = listing.scatter_points(listed(spark, sf_dir))
-    return listing.scatter_groups(points, categories(spark, sf_dir))
+    return listing.scatter_groups(points, a.names(spark, sf_dir))
 
 
 # Statistics
@@ -329,14 +339,13 @@ def longevity_features(spark, sf_dir):
 
 @query
 def scaled_features(spark, sf_dir):
-    rows = training.scaled(training.cluster_features(feature_rows(spark, sf_dir)))
-    return rounded(rows, 4, *rows.columns)
+    rows = training.scaled(cut_lineage(training.cluster_features(feature_rows(spark, sf_dir))))
+    return rounded(rows, 6, *rows.columns)
 
 
 @query
 def term_idf(spark, sf_dir):
-    rows = a.spread(a.table(spark, sf_dir, "documents"), "doc_id")
-    return rounded(training.term_idf(rows, "text", fixed.TITLE_STOP_WORDS), 9, "idf")
+    return rounded(training.term_idf(a.table(spark, sf_dir, "documents"), "text", fixed.ENGLISH_STOP_WORDS), 9, "idf")
 
 
 @query
@@ -346,8 +355,22 @@ def tfidf_title(spark, sf_dir):
 
 @query
 def tfidf_description(spark, sf_dir):
-    rows = a.spread(a.table(spark, sf_dir, "documents"), "doc_id").select("doc_id", F.col("text").alias("description"))
-    return training.description_weights(rows).drop("description")
+    return training.description_weights(descriptions(spark, sf_dir)).drop("description")
+
+
+def descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return a.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("description"))
+
+
+@query
+def description_counts(spark, sf_dir):
+    return training.text_counts(descriptions(spark, sf_dir), "description", fixed.DESCRIPTION_HASH_BUCKETS).drop("description")
+
+
+@query
+def title_counts(spark, sf_dir):
+    rows = a.cleaned(spark, sf_dir).select("video_id", "country", "trending_date", "title")
+    return training.text_counts(rows, "title", fixed.TITLE_HASH_BUCKETS)
 
 
 @query
@@ -409,8 +432,7 @@ def cluster_names(spark, sf_dir):
 @cache
 def _trained(application: str, sf_dir: str) -> Trained:
     spark = SparkSession.active()
-    stored = cut_lineage(feature_rows(spark, sf_dir))
-    return train(training.cluster_features(stored), cut_lineage(training.longevity_features(stored)))
+    return train(*inputs(cut_lineage(feature_rows(spark, sf_dir)), cut_lineage))
 
 
 def trained(spark: SparkSession, sf_dir: str) -> Trained:
@@ -460,3 +482,47 @@ def score_cluster(spark, sf_dir):
 def score_both(spark, sf_dir):
     models = trained(spark, sf_dir)
     return scoring.score_both(requests(spark, sf_dir), models.longevity, models.clustering).drop("tag_list")
+
+
+# What does not depend on the fit, in the results of the queries above.
+
+
+@query
+def cluster_assign_inputs(spark, sf_dir):
+    return rounded(cluster_assign(spark, sf_dir).drop("cluster"), 9, "log_views", "log_likes", "log_comments")
+
+
+@query
+def cluster_quality_facts(spark, sf_dir):
+    return cluster_quality(spark, sf_dir).select("num_clusters", F.array_join("features_used", " ").alias("features_used"))
+
+
+@query
+def regression_quality_facts(spark, sf_dir):
+    return regression_quality(spark, sf_dir).select("label", F.array_join("features_used", " ").alias("features_used"))
+
+
+@query
+def feature_importance_names(spark, sf_dir):
+    return feature_importance(spark, sf_dir).select("feature")
+
+
+@query
+def model_metrics_facts(spark, sf_dir):
+    return model_metrics(spark, sf_dir).select("dataset_size", "clustering.num_clusters", "regression.label")
+
+
+@query
+def score_days_facts(spark, sf_dir):
+    return score_days(spark, sf_dir).drop("predicted_days")
+
+
+@query
+def score_cluster_facts(spark, sf_dir):
+    return score_cluster(spark, sf_dir).drop("cluster", "cluster_type")
+
+
+@query
+def score_both_facts(spark, sf_dir):
+    kept = "video_id", "country", "title", "views", "likes", "comment_count", "category_id", "tags", "publish_hour"
+    return score_both(spark, sf_dir).select(*kept, "confidence", "days_method", "cluster_method")
