@@ -18,6 +18,7 @@ from hitparade.llm import (
     token_files,
     url_filter,
 )
+from hitparade.llm.oracle import ORACLE  # noqa: F401  (registered beside the queries)
 from hitparade.llm.stored import new_folder, stored
 from hitparade.llm.workers import reach
 
@@ -135,5 +136,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_near_dedup,
     )
 }
-
-ORACLE: dict[str, str] = {}
