@@ -32,8 +32,8 @@ RUNS = "doc_id long, text_hash long, first int, n int, high long, low int, windo
 SPANS = "doc_id long, text_hash long, first_word int, end_word int, start int, end int, kept_doc_id long, kept_word int"
 #: A window's two hashes, as they lie in the bytes of a run.
 WINDOW = np.dtype([("high", "<i8"), ("low", "<i4")])
-#: Rows of places or spans that are sent to the texts at most, one for each document: about 20 MB.
-SENT_ROWS = 100_000
+#: Places, or merged spans, that are sent to the texts at most: under 20 MB either.
+SENT_PLACES, SENT_SPANS = 2_000_000, 300_000
 
 
 def _minimisers(word_hashes: np.ndarray, offsets: np.ndarray, length: int, spread: int) -> tuple[np.ndarray, np.ndarray]:
@@ -152,35 +152,45 @@ def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(~word[:-1] & word[1:]), np.flatnonzero(word[:-1] & ~word[1:])
 
 
-def _merged(length: int):
-    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches):
-            rows = []
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "covers"))
-            for doc_id, text_hash, text, covers in zip(*columns):
-                starts, ends = word_spans(text)
-                span: list = []
-                for cover in sorted(covers, key=lambda c: (c["first"], -c["end"])):
-                    if span and cover["first"] <= span[3]:
-                        span[3] = max(span[3], cover["end"])
-                    else:
-                        span = [doc_id, text_hash, cover["first"], cover["end"], 0, 0, cover["kept"]["doc_id"], cover["kept"]["first"]]
-                        rows.append(span)
-                    span[4], span[5] = int(starts[span[2]]), int(ends[span[3] - 1])
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-            columns = zip(*rows) if rows else [[]] * 8
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in SPANS.split(", ")])
-
-    return merged
-
-
-def _with_texts(asked: DataFrame, documents: DataFrame, *keys: str) -> DataFrame:
-    """documents (doc_id, text, text_hash) with the columns of asked, joined null-safely by keys. Up to SENT_ROWS rows are
-    sent to the texts; more are joined by a shuffle."""
+MERGED = "doc_id long, text_hash long, spans array<struct<first:int,end:int,kept_doc_id:long,kept_word:int>>"
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Covers that touch or overlap as one span, with what the first of them repeats."""
+    kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("kept_doc_id", pa.int64()), ("kept_word", pa.int32())]))
+    for batch in batches:
+        merged = []
+        for covers in batch.column("covers"):
+            spans: list[dict] = []
+            for cover in sorted(covers.as_py(), key=lambda c: (c["first"], -c["end"])):
+                if spans and cover["first"] <= spans[-1]["end"]:
+                    spans[-1]["end"] = max(spans[-1]["end"], cover["end"])
+                else:
+                    spans.append({"first": cover["first"], "end": cover["end"], "kept_doc_id": cover["kept"]["doc_id"], "kept_word": cover["kept"]["first"]})
+            merged.append(spans)
+        yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(merged, kind)], ["doc_id", "text_hash", "spans"])
+
+
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans with their starts and ends in code points."""
+    for batch in words.slices(batches):
+        rows = []
+        for doc_id, text_hash, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "spans"))):
+            starts, ends = word_spans(text)
+            for s in spans:
+                rows.append((doc_id, text_hash, s["first"], s["end"], int(starts[s["first"]]), int(ends[s["end"] - 1]), s["kept_doc_id"], s["kept_word"]))
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+        columns = zip(*rows) if rows else [[]] * 8
+        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in SPANS.split(", ")])
+
+
+def _with_texts(asked: DataFrame, documents: DataFrame, keys: list[str], items: str, most: int) -> DataFrame:
+    """documents (doc_id, text, text_hash) with the columns of asked, joined null-safely by keys. Rows with at most so many
+    items in all are sent to the texts; more are joined by a shuffle."""
     asked = stored(asked.withColumnsRenamed({key: f"of_{key}" for key in keys}), "asked")
-    side = F.broadcast(asked) if asked.count() <= SENT_ROWS else asked
+    few = (asked.agg(F.sum(F.size(items))).first()[0] or 0) <= most
     same = [F.col(key).eqNullSafe(F.col(f"of_{key}")) for key in keys]
-    return documents.join(side, same).drop(*(f"of_{key}" for key in keys))
+    return documents.join(F.broadcast(asked) if few else asked, same).drop(*(f"of_{key}" for key in keys))
 
 
 def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
@@ -216,7 +226,8 @@ def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -
     shared = suffixes.groupBy("prefix").agg(F.count("*").alias("n"))
     shared = suffixes.join(shared.where("n > 1").select("prefix"), "prefix", "left_semi")
     places = shared.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    runs = stored(_with_texts(places, chosen, "doc_id").mapInArrow(_runs(length, spread), RUNS), "runs")
+    runs = _with_texts(places, chosen, ["doc_id"], "places", SENT_PLACES).mapInArrow(_runs(length, spread), RUNS)
+    runs = stored(runs, "runs")
 
     # Runs that are equal as a whole repeat the first of them; the earliest place of any window is in one that is first.
     key, at = ["high", "low"], F.struct("doc_id", "text_hash", "first")
@@ -232,8 +243,9 @@ def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -
     again = again.select("doc_id", "text_hash", F.col("place").alias("first"), (F.col("place") + length).alias("end"), "kept")
 
     every = covers.unionByName(again).select("doc_id", "text_hash", F.struct("first", "end", "kept").alias("cover"))
-    spans = every.groupBy("doc_id", "text_hash").agg(F.collect_list("cover").alias("covers"))
-    return _with_texts(spans, chosen, "doc_id", "text_hash").mapInArrow(_merged(length), SPANS).distinct().unionByName(as_spans)
+    spans = every.groupBy("doc_id", "text_hash").agg(F.collect_list("cover").alias("covers")).mapInArrow(_merged, MERGED)
+    spans = _with_texts(spans, chosen, ["doc_id", "text_hash"], "spans", SENT_SPANS).mapInArrow(_located, SPANS)
+    return spans.distinct().unionByName(as_spans)
 
 
 def deduplicated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
