@@ -17,7 +17,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from hitparade.llm import words
 from hitparade.llm.spans import as_rows, cut_out
 
-#: Longer windows of words are matched in this many words of items at a time; more items take another automaton.
+#: Words of items in one automaton, about; more items take another one, over the same documents.
 AUTOMATON_WORDS = 200_000
 
 #: Letters in lower case, and a space for whatever is not in a word.

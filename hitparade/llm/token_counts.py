@@ -45,7 +45,7 @@ class Merges:
         self.none = len(pairs)
         self.base = max(vocabulary.values()) + 1
         self.made = made
-        # An open table: the multiplier is the first for which probing stays short, tried in order.
+        # An open table with linear probing; it is filled all at once, those that find their place taken try the next.
         self.keys, self.ranks, self.bits = left * self.base + right, np.arange(len(pairs)), 18
         self.table_keys = np.full(1 << self.bits, -1, np.int64)
         self.table_ranks = np.full(1 << self.bits, self.none, np.int64)
