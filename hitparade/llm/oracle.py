@@ -61,6 +61,8 @@ WITH lines AS (
 SELECT * FROM ranked WHERE (doc_id, start) IS DISTINCT FROM (kept_doc_id, kept_start)
 """
 
+LINES_ALL = LINES.replace("len(words) >= 30", "len(words) >= 1")
+
 LEAKS = f"""
 WITH item_words AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
@@ -111,5 +113,6 @@ ORACLE = {
     "op4_decontamination": LEAKS,
     "op7_quality_rules": QUALITY,
     "op9_line_dedup": LINES,
+    "op9_line_dedup_all": LINES_ALL,
     "op10_near_dedup": NEAR,
 }

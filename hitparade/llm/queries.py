@@ -116,6 +116,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated(line_dedup.units(table(spark, sf_dir, "documents")))
 
 
+def op9_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over every line that has a word, without a floor."""
+    return line_dedup.repeated(line_dedup.units(table(spark, sf_dir, "documents"), min_words=1))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under four-word shingles."""
     return near_dedup.components_of(table(spark, sf_dir, "documents"), size=4, percent=80)
@@ -133,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_quality_rules,
         op8_url_filter,
         op9_line_dedup,
+        op9_line_dedup_all,
         op10_near_dedup,
     )
 }

@@ -62,6 +62,14 @@ def test_line_dedup(spark, texts):
     assert rows(spark, "op9_line_dedup", *columns) == sorted(brute.repeated_lines(texts))
 
 
+def test_line_dedup_of_every_line(spark, texts):
+    """Repeats of lines of any length are listed, those of the floored query among them."""
+    columns = "doc_id", "unit", "start", "end", "n_words", "kept_doc_id", "kept_start"
+    found = rows(spark, "op9_line_dedup_all", *columns)
+    assert found == sorted(brute.repeated_lines(texts, least=1))
+    assert set(rows(spark, "op9_line_dedup", *columns)) < set(found) and min(r[4] for r in found) < 30
+
+
 def test_suffix_dedup(spark, texts):
     found = {}
     for r in QUERIES["op2_suffix_dedup"](spark, SMALL).collect():
