@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hitparade.llm import words
 from hitparade.llm.decontamination import FOLDED, WORD, folded
-from hitparade.llm.license_templates import TEMPLATES
+from hitparade.llm.license_templates import TEMPLATES, entries  # noqa: F401  (the tests read TEMPLATES here)
 
 #: A text has a license if so many percent of the template's words are aligned, all its needed words among them.
 COVERAGE = 80
@@ -74,16 +74,28 @@ class Template:
     needed: frozenset
     #: Places of which at least one is aligned in every match: a needed word, or one more than may be missing.
     signals: tuple[int, ...]
+    #: Phrases that must not stand in a match, between spaces.
+    barred: tuple[bytes, ...]
 
     @classmethod
-    def of(cls, name: str, text: str, needed: tuple[str, ...]) -> "Template":
+    def of(cls, name: str, text: str, needed: tuple[str, ...], barred: tuple[str, ...] = ()) -> "Template":
         own = tuple(folded(text))
         if needed:
             signals = (own.index(needed[0].encode()),)
         else:
             missing = len(own) - -(-len(own) * COVERAGE // 100)
             signals = tuple(sorted(range(len(own)), key=lambda i: (-len(own[i]), i))[: missing + 1])
-        return cls(name, own, frozenset(w.encode() for w in needed), signals)
+        return cls(name, own, frozenset(w.encode() for w in needed), signals, tuple(f" {p} ".encode() for p in barred))
+
+    def _allowed(self, found: list[bytes]) -> bool:
+        text = b" %s " % b" ".join(found) if self.barred else b""
+        return not any(phrase in text for phrase in self.barred)
+
+    def _possible(self, window: list[bytes]) -> bool:
+        """False where the window's words, in whatever order, can't cover the template."""
+        if 100 * len(window) < COVERAGE * len(self.words) or not self.needed.issubset(window):
+            return False
+        return 100 * (Counter(self.words) & Counter(window)).total() >= COVERAGE * len(self.words)
 
     def matches(self, text: list[bytes], places: dict[bytes, list[int]]) -> list[tuple[int, int, int]]:
         """First and last word and aligned words of each match in a text; places has the places of signal words."""
@@ -93,26 +105,30 @@ class Template:
             if found and start + slack <= found[-1][1]:
                 continue
             low = max(0, start - slack, found[-1][1] + 1 if found else 0)
-            pairs = align(list(self.words), text[low : start + n + slack])
+            window = text[low : start + n + slack]
+            if not self._possible(window):
+                continue
+            pairs = align(list(self.words), window)
             if 100 * len(pairs) >= COVERAGE * n and self.needed <= {self.words[i] for i, _ in pairs}:
-                found.append((low + pairs[0][1], low + pairs[-1][1], len(pairs)))
+                if self._allowed(window[pairs[0][1] : pairs[-1][1] + 1]):
+                    found.append((low + pairs[0][1], low + pairs[-1][1], len(pairs)))
         return found
 
 
 @cache
-def templates() -> tuple[Template, ...]:
-    return tuple(Template.of(name, text, needed) for name, (text, needed) in TEMPLATES.items())
+def templates(reserved: bool = False) -> tuple[Template, ...]:
+    return tuple(Template.of(*entry) for entry in entries(reserved))
 
 
-def found_in(text: list[bytes]) -> list[tuple[str, int, int, int, int]]:
+def found_in(text: list[bytes], reserved: bool = False) -> list[tuple[str, int, int, int, int]]:
     """License, first and last word, aligned words and words of the template. Of matches that overlap, the one with more
     aligned words stays, then the one with the larger share, then the first by name."""
-    signals = {t.words[k] for t in templates() for k in t.signals}
+    signals = {t.words[k] for t in templates(reserved) for k in t.signals}
     places: dict[bytes, list[int]] = {}
     for i, word in enumerate(text):
         if word in signals:
             places.setdefault(word, []).append(i)
-    every = [(t.name, *m, len(t.words)) for t in templates() for m in t.matches(text, places)]
+    every = [(t.name, *m, len(t.words)) for t in templates(reserved) for m in t.matches(text, places)]
     kept: list[tuple[str, int, int, int, int]] = []
     for match in sorted(every, key=lambda m: (-m[3], -m[3] / m[4], m[0], m[1])):
         if all(match[2] < other[1] or match[1] > other[2] for other in kept):
@@ -120,31 +136,34 @@ def found_in(text: list[bytes]) -> list[tuple[str, int, int, int, int]]:
     return sorted(kept, key=lambda m: m[1])
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    signals = {t.words[k].decode() for t in templates() for k in t.signals}
-    for batch in words.slices(batches):
-        doc_ids, texts = batch.column("doc_id"), batch.column("text")
-        codes, offsets, distinct = words.split(words.translated(texts, FOLDED))
-        signal = np.fromiter((w in signals for w in distinct.to_pylist()), bool, len(distinct))[codes]
-        rows = []
-        for row in np.unique(np.searchsorted(offsets, np.flatnonzero(signal), "right") - 1).tolist():
-            text = texts[row].as_py()
-            found = found_in(folded(text))
-            at = [m.span() for m in WORD.finditer(text)] if found else []
-            for name, first, last, matched, size in found:
-                rows.append((doc_ids[row].as_py(), name, at[first][0], at[last][1], matched, size, matched / size))
-        kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
-        columns = zip(*rows) if rows else [[]] * len(kinds)
-        names = [f.split()[0] for f in MATCHES.split(", ")]
-        yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-
-def scan(documents: DataFrame) -> DataFrame:
+def _scan(reserved: bool):
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signals = {t.words[k].decode() for t in templates(reserved) for k in t.signals}
+        for batch in words.slices(batches):
+            doc_ids, texts = batch.column("doc_id"), batch.column("text")
+            codes, offsets, distinct = words.split(words.translated(texts, FOLDED))
+            signal = np.fromiter((w in signals for w in distinct.to_pylist()), bool, len(distinct))[codes]
+            rows = []
+            for row in np.unique(np.searchsorted(offsets, np.flatnonzero(signal), "right") - 1).tolist():
+                text = texts[row].as_py()
+                matches = found_in(folded(text), reserved)
+                at = [m.span() for m in WORD.finditer(text)] if matches else []
+                for name, first, last, matched, size in matches:
+                    rows.append((doc_ids[row].as_py(), name, at[first][0], at[last][1], matched, size, matched / size))
+            kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
+            columns = zip(*rows) if rows else [[]] * len(kinds)
+            names = [f.split()[0] for f in MATCHES.split(", ")]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return found
+
+
+def scan(documents: DataFrame, reserved: bool = False) -> DataFrame:
     """Every license found: doc_id, license, start and end in code points, aligned words, words of the template, coverage.
 
     Whole texts are scanned where they lie, without a shuffle. A text without a signal word of a template cannot cover it;
     around each signal word the template is aligned with as many words as it has and a fifth more to both sides. Null and
-    empty texts have no license; rows that repeat each give their own.
+    empty texts have no license; rows that repeat each give their own. reserved lists 'All rights reserved' and its like too.
     """
     chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(_scan, MATCHES)
+    return chosen.mapInArrow(_scan(reserved), MATCHES)

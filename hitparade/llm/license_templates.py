@@ -1,10 +1,13 @@
-"""License notices and permission texts as they are published, and the words that a match has to contain."""
+"""License notices and permission texts as they are published, the words that a match has to contain, and
+the phrases that must not stand in it. A license can have a notice, an opening or file header, and its whole text."""
+
+import pkgutil
 
 TEMPLATES = {
     "MIT-notice": ("Released under the MIT License.", ("mit",)),
-    "Apache-2.0-notice": ("Licensed under the Apache License, Version 2.0.", ("apache",)),
+    "Apache-2.0-notice": ("Licensed under the Apache License, Version 2.0.", ("apache", "2")),
     "GPL-3.0-notice": ("This work is licensed under the GNU General Public License, version 3.", ("gnu", "3")),
-    "CC-BY-NC-4.0-notice": ("Licensed under CC BY-NC 4.0.", ("cc", "nc")),
+    "CC-BY-NC-4.0-notice": ("Licensed under CC BY-NC 4.0.", ("cc", "by", "nc", "4", "0")),
     "MIT": (
         """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
         documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
@@ -43,3 +46,117 @@ TEMPLATES = {
         ("gnu", "3"),
     ),
 }
+
+GNU = """This {work} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind} as published
+by the Free Software Foundation{mark} either version {version} of the License, or (at your option) any later version. This
+{work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {kind} for more details."""
+KINDS = {"GPL": "General Public License", "LGPL": "Lesser General Public License", "AGPL": "Affero General Public License"}
+
+for _name, _needed in {
+    "GPL-2.0": ("gnu", "2"),
+    "LGPL-2.1": ("gnu", "lesser", "2", "1"),
+    "LGPL-3.0": ("gnu", "lesser", "3"),
+    "AGPL-3.0": ("gnu", "affero", "3"),
+}.items():
+    _family, _version = _name.split("-")
+    _own = {"kind": KINDS[_family], "work": "library" if _family == "LGPL" else "program", "version": _version.removesuffix(".0")}
+    TEMPLATES[_name] = (GNU.format(mark=";", **_own), _needed)
+    TEMPLATES[f"{_name}-notice"] = (f"This work is licensed under the GNU {_own['kind']}, version {_own['version']}.", _needed)
+
+TEMPLATES |= {
+    "BSD-3-Clause": (
+        TEMPLATES["BSD-2-Clause"][0]
+        + """ Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission.""",
+        ("redistributions", "endorse"),
+    ),
+    "BSD-notice": (
+        "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
+        ("bsd", "governed"),
+    ),
+    "MPL-2.0": (
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+        ("mozilla", "2", "0"),
+    ),
+    "MPL-2.0-notice": ("Licensed under the Mozilla Public License, version 2.0.", ("mozilla", "2", "0")),
+    "CC0-1.0-notice": ("Licensed under CC0 1.0.", ("cc0", "1", "0")),
+    "Unlicense-notice": ("Released under the Unlicense.", ("unlicense", "released")),
+}
+
+#: The Creative Commons family by its parts: the word of each part before and since version 4.0.
+PARTS = {"NC": ("NonCommercial", "NonCommercial"), "ND": ("NoDerivs", "NoDerivatives"), "SA": ("ShareAlike", "ShareAlike")}
+VERSIONS = {"1.0": "Generic", "2.0": "Generic", "2.5": "Generic", "3.0": "Unported", "4.0": "International"}
+BARRED: dict[str, tuple[str, ...]] = {}
+SENTENCES: dict[str, tuple[str, tuple[str, ...]]] = {}
+
+for _parts in ((), ("NC",), ("ND",), ("SA",), ("NC", "ND"), ("NC", "SA")):
+    for _version, _place in VERSIONS.items():
+        _code, _digits = "-".join(("BY", *_parts)), tuple(_version.split("."))
+        _name = f"CC-{_code}-{_version}-notice"
+        _long = [PARTS[part][_version >= "4"] for part in _parts]
+        TEMPLATES.setdefault(_name, (f"Licensed under CC {_code} {_version}.", ("cc", *_code.lower().split("-"), *_digits)))
+        SENTENCES[_name] = (
+            f"This work is licensed under a Creative Commons {'-'.join(('Attribution', *_long))} {_version} {_place} License.",
+            ("commons", "attribution", *(word.lower() for word in _long), *_digits),
+        )
+        BARRED[_name] = tuple(
+            phrase for part, words in PARTS.items() if part not in _parts for phrase in (part.lower(), *map(str.lower, words))
+        )
+
+for _name in [name for name in TEMPLATES if "GPL" in name and name.endswith("-notice")]:
+    SENTENCES[_name] = (TEMPLATES[_name][0].replace("This work is licensed", "Licensed"), TEMPLATES[_name][1])
+
+_OTHER_GNU = ("gnu lesser", "gnu library", "gnu affero", "gnu free")
+BARRED |= {name: _OTHER_GNU for name in ("GPL-2.0", "GPL-2.0-notice", "GPL-3.0", "GPL-3.0-notice")}
+BARRED["BSD-2-Clause"] = ("endorse", "advertising")
+BARRED["BSD-3-Clause"] = ("advertising",)
+
+#: Whole texts, in licenses/. Two words each that a match has to contain.
+WHOLE = {
+    name: (pkgutil.get_data(__package__, f"licenses/{name}.txt").decode(), needed)
+    for name, needed in {
+        "Apache-2.0": ("apache", "derivative"),
+        "Artistic-1.0": ("artistic", "package"),
+        "BSD-2-Clause": ("redistributions", "disclaimer"),
+        "BSD-3-Clause": ("redistributions", "endorse"),
+        "BSD-4-Clause": ("redistributions", "advertising"),
+        "CC0-1.0": ("cc0", "affirmer"),
+        "GFDL-1.2": ("gnu", "invariant"),
+        "GFDL-1.3": ("gnu", "invariant"),
+        "GPL-1.0": ("gnu", "program"),
+        "GPL-2.0": ("gnu", "sublicense"),
+        "GPL-3.0": ("gnu", "conveying"),
+        "ISC": ("merchantability", "permission"),
+        "LGPL-2.0": ("gnu", "library"),
+        "LGPL-2.1": ("gnu", "lesser"),
+        "LGPL-3.0": ("gnu", "lesser"),
+        "MIT": ("noninfringement", "sublicense"),
+        "MPL-1.1": ("mozilla", "initial"),
+        "MPL-2.0": ("mozilla", "incompatible"),
+        "Unlicense": ("unencumbered", "domain"),
+    }.items()
+}
+#: The same for whole texts: the text of AGPL-3.0 is that of GPL-3.0 but for a section on remote use.
+BARRED_WHOLE = {name: BARRED[name] for name in ("BSD-2-Clause", "BSD-3-Clause")} | {"GPL-3.0": ("remotely",)}
+
+#: Not licenses: rights that are reserved.
+RESERVED = (
+    ("All rights reserved.", ("reserved", "all", "rights")),
+    ("Alle Rechte vorbehalten.", ("vorbehalten", "alle", "rechte")),
+    ("Tous droits réservés.", ("réservés", "tous", "droits")),
+    ("Todos los derechos reservados.", ("reservados", "todos", "los", "derechos")),
+)
+
+
+def entries(reserved: bool = False):
+    """Name, text, needed words and barred phrases of every template; reserved adds those that reserve rights."""
+    for table in (TEMPLATES, SENTENCES):
+        for name, (text, needed) in table.items():
+            yield name, text, needed, BARRED.get(name, ())
+    for name, (text, needed) in WHOLE.items():
+        yield name, text, needed, BARRED_WHOLE.get(name, ())
+    if reserved:
+        for text, needed in RESERVED:
+            yield "all-rights-reserved", text, needed, ("not", "nicht", "pas", "no")

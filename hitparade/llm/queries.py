@@ -38,6 +38,11 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op1_license_scan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the notices that reserve all rights."""
+    return license_scan.scan(table(spark, sf_dir, "documents"), reserved=True)
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passages of 50 words and more that repeat an earlier place, with that place."""
     return suffix_dedup.repeated(table(spark, sf_dir, "documents")).drop("text_hash")
@@ -130,6 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_license_scan,
+        op1_license_scan_all,
         op2_suffix_dedup,
         op3_token_files,
         op4_decontamination,

@@ -16,6 +16,7 @@ from hitparade.llm import (
     components,
     decontamination,
     license_scan,
+    license_templates,
     line_dedup,
     near_dedup,
     packing,
@@ -322,6 +323,37 @@ def test_license_scan(documents, edges, empty):
     assert license_scan.scan(edges).count() == 0 == license_scan.scan(empty).count()
 
 
+def licenses_in(text, reserved=False):
+    return [found[0] for found in license_scan.found_in(decontamination.folded(text), reserved)]
+
+
+def test_every_license_text_is_found_as_itself():
+    for name, text, _, _ in license_scan.entries(reserved=True):
+        assert licenses_in(f"some words {text} more words", reserved=True) == [name]
+
+
+def test_licenses_that_look_alike():
+    gnu = "This work is licensed under the GNU {} License, version {}."
+    assert licenses_in(gnu.format("Lesser General Public", 3)) == ["LGPL-3.0-notice"]
+    assert licenses_in(gnu.format("Affero General Public", 3)) == ["AGPL-3.0-notice"]
+    assert licenses_in(gnu.format("General Public", 2)) == ["GPL-2.0-notice"]
+    assert licenses_in(gnu.format("Free Documentation", "1.3")) == []
+    assert licenses_in("Licensed under the GNU Lesser General Public License, version 2.1") == ["LGPL-2.1-notice"]
+    assert licenses_in("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0-notice"]
+    assert licenses_in("Licensed under CC BY-NC 3.0.") == ["CC-BY-NC-3.0-notice"]
+    assert licenses_in("Licensed under CC BY 4.0.") == ["CC-BY-4.0-notice"]
+    assert licenses_in("Licensed under the Apache License, Version 1.0.") == []
+    agpl = license_templates.WHOLE["GPL-3.0"][0].replace("convey", "convey remotely", 1)
+    assert "GPL-3.0" not in licenses_in(agpl.split("How to Apply")[0])
+
+
+def test_reserved_rights(documents):
+    texts = [(1, "Text.\nAll rights reserved."), (2, "Tous droits réservés"), (3, "Released under the MIT License."), (4, "rights")]
+    found = sorted((r["doc_id"], r["license"]) for r in license_scan.scan(documents(texts), reserved=True).collect())
+    assert found == [(1, "all-rights-reserved"), (2, "all-rights-reserved"), (3, "MIT-notice")]
+    assert [r["doc_id"] for r in license_scan.scan(documents(texts)).collect()] == [3]
+
+
 def test_url_parts_and_rules(spark):
     urls = [
         None, "", "no scheme", "http://", "HTTP://A.Org?x", "x://Sub.Example.ORG/en/12?q#f", "http://example.org/en/2",
