@@ -16,8 +16,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from hitparade.llm import words
 from hitparade.llm.spans import as_rows, cut_out
+from hitparade.llm.stored import stored
 
-#: Words of items in one automaton, about; more items take another one, over the same documents.
+#: Words of items in one automaton at most, or one item of more words; more items take another one, over the same documents.
 AUTOMATON_WORDS = 200_000
 
 #: Letters in lower case, and a space for whatever is not in a word.
@@ -177,21 +178,32 @@ def _scan(shared, window: int, schema: pa.Schema):
     return scan
 
 
+def _grouped(items: DataFrame) -> Iterator[tuple[tuple[str, str], ...]]:
+    """Items by running size. The driver holds one partition and one group at a time; without items the group is empty."""
+    group, n = [], 0
+    for row in items.toLocalIterator():
+        size = len(folded(row["text"]))
+        if group and n + size > AUTOMATON_WORDS:
+            yield tuple(sorted(group))
+            group, n = [], 0
+        group.append((row["item"], row["text"]))
+        n += size
+    yield tuple(sorted(group))
+
+
 def scanned(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """Each document as the struct row, with n_words, the spans of hit words (first and last word, start and end in code
     points), the items whose windows occur, the longest match of those that hold a window, and n_hit.
 
-    Documents are streamed through the automaton where they lie, without a shuffle. Items go to the tasks in groups of about
-    AUTOMATON_WORDS words by a hash, one automaton after the other, so any number of items keeps its bound. Null texts have
-    no words, and items without words have no windows. Items that repeat an id count as one item with the windows of all;
+    Documents are streamed through the automaton where they lie, without a shuffle. Distinct items go to the tasks in groups of
+    at most AUTOMATON_WORDS words or one item, one automaton after the other. Groups are broadcast rather than read from the
+    shared folder, which may be in a store that only Spark reads; each is one more pass over the documents. Null texts have no words, and items without words have no windows. Items that repeat an id count as one item with the windows of all;
     items without id are left out. Rows of documents that repeat each get their own result.
     """
     spark = documents.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
-    items = items.where("item is not null and text is not null")
+    items = stored(items.where("item is not null and text is not null").distinct(), "items")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = 1 + size // (6 * AUTOMATON_WORDS)
-    items = items.withColumn("group", F.pmod(F.xxhash64("item", "text"), F.lit(groups)))
     rows = as_rows(documents).select(
         "row",
         F.lit(0).cast("long").alias("n_words"),
@@ -199,8 +211,7 @@ def scanned(documents: DataFrame, benchmark: DataFrame, window: int = 10) -> Dat
         F.array().cast("array<string>").alias("items"),
         F.lit(0).alias("longest"),
     )
-    for group in range(groups):
-        own = tuple(sorted((r["item"], r["text"]) for r in items.where(F.col("group") == group).collect()))
+    for own in _grouped(items.repartition(1 + size // (6 * AUTOMATON_WORDS))):
         rows = rows.mapInArrow(_scan(spark.sparkContext.broadcast(own), window, to_arrow_schema(rows.schema)), rows.schema)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"] + 1)
     return rows.withColumn("n_hit", hit)

@@ -174,6 +174,20 @@ def test_decontamination_with_several_automata(spark, edges, edge_rows, monkeypa
     assert ordered((r["doc_id"], r["n_words"], r["n_hit"], len(r["items"])) for r in found.collect()) == ordered(expected)
 
 
+def test_decontamination_bounds_its_groups(spark, edges, edge_rows, monkeypatch):
+    """An item that repeats goes once, and no group is over the bound."""
+    items = [(1, "p10 p11 p12")] * 40 + [(i, f"p{i} p{i + 1} p{i + 2}") for i in range(2, 8)]
+    groups, scan = [], decontamination._scan
+    monkeypatch.setattr(decontamination, "AUTOMATON_WORDS", 10)
+    monkeypatch.setattr(decontamination, "_scan", lambda shared, *rest: groups.append(shared.value) or scan(shared, *rest))
+    found = decontamination.scanned(edges, spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted(i for group in groups for i, _ in group) == [str(i) for i in range(1, 8)]
+    assert all(sum(len(text.split()) for _, text in group) <= 10 for group in groups)
+    expected = [(i, n, h, k) for i, n, h, k, _, _ in brute.decontamination(edge_rows, items)]
+    rows_ = found.select("row.doc_id", "n_words", "n_hit", "items").collect()
+    assert ordered((r["doc_id"], r["n_words"], r["n_hit"], len(r["items"])) for r in rows_) == ordered(expected)
+
+
 def test_quality(edges, edge_rows, empty):
     names = "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"
     found = quality.judged(edges).select("__row.doc_id", *names)
