@@ -112,7 +112,7 @@ URL_RULES = tuple(
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page by rules, else by trees fitted on urls that a seed list labels."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    labelled = url_filter.with_parts(pages).where("host != ''").withColumn("label", url_filter.seed_label(F.col("host")))
+    labelled = url_filter.labelled(url_filter.with_parts(pages).where("host != ''"))
     return url_filter.judged(pages, URL_RULES, url_filter.fit(labelled)).select("page_id", "host", "path", "rule", "verdict")
 
 

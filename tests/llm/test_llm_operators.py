@@ -384,6 +384,16 @@ def test_url_parts_and_rules(spark):
     ]
 
 
+def test_labels_by_whole_words_and_by_hosts(spark):
+    hosts = ["soundtrack.org", "alphabets.com", "adulteducation.net", "heads-up.org", "free-bets.com", "x.casino.net", "", None, "a.shop.example", "ok.a.shop.example"]
+    urls = spark.createDataFrame([(i, h) for i, h in enumerate(hosts)], "page_id long, host string")
+    labels = lambda df: [r["label"] for r in df.orderBy("page_id").collect()]
+    assert labels(url_filter.labelled(urls)) == [0, 0, 0, 0, 1, 1, 0, 0, 0, 0]
+    given = [("Shop.example", 1), ("ok.a.shop.example", 0), ("casino.net", 0), ("casino.net", 0)]
+    found = url_filter.labelled(urls, spark.createDataFrame(given, "host string, label int"))
+    assert found.columns == ["page_id", "host", "label"] and labels(found) == [0, 0, 0, 0, 1, 0, 0, 0, 1, 0]
+
+
 def test_url_model_on_held_out_urls(spark):
     """The trees learn the labels of the sample and carry over to urls that were not in it."""
     pages = url_filter.with_parts(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"))
