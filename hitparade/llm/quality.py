@@ -11,6 +11,7 @@ CLOSING = ".,;:!?"
 WINDOW = 8
 
 # Frequent words of the four languages.
+LANGUAGES = ("en", "de", "fr", "es")
 STOP_WORDS = (
     "the", "of", "and", "to", "in", "is", "with", "that", "for", "on", "as", "was", "it", "this", "are", "by", "from",
     "der", "die", "das", "und", "zu", "den", "von", "mit", "ist", "ein", "eine", "auf", "sich", "des", "dem", "für", "im",
@@ -28,6 +29,8 @@ class Rule:
     base: str
     least: int | None = None
     most: int | None = None
+    #: Documents in other languages pass; those without a language do not.
+    languages: tuple[str, ...] | None = None
 
     def failed(self, of) -> Column:
         measure, base = 100 * of(self.measure), of(self.base)
@@ -46,7 +49,7 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", least=200, most=1500),
     Rule("symbols", "n_symbols", "n_words", most=10),
     Rule("shouting", "n_marks", "n_words", most=50),
-    Rule("stop_words", "n_stop_words", "n_words", least=4),
+    Rule("stop_words", "n_stop_words", "n_words", least=4, languages=LANGUAGES),
     Rule("repeated_lines", "n_dup_lines", "n_lines", most=40),
 )
 
@@ -139,9 +142,14 @@ def measured(documents: DataFrame, keep: str = "__row") -> DataFrame:
 
 
 def judged(documents: DataFrame, keep: str = "__row", base=BASE, rules=RULES) -> DataFrame:
-    """The measures with base_failed, kept, and the names of the rules that failed."""
+    """The measures with base_failed, kept, and the names of the rules that failed.
+
+    A column lang, where there is one, says which documents the rules of some languages are for ("en", "en-GB").
+    """
+    lang = F.coalesce(F.lower(F.split(F.col(f"{keep}.lang").cast("string"), "[-_]")[0]), F.lit("")) if "lang" in documents.columns else None
+    spoken = lambda rule: F.lit(True) if lang is None or rule.languages is None else lang.isin("", *rule.languages)
     of = lambda name: F.lit(1) if name == "one" else F.col(name)
-    failed = [F.when(rule.failed(of), F.lit(rule.name)) for rule in (*base, *rules)]
+    failed = [F.when(rule.failed(of) & spoken(rule), F.lit(rule.name)) for rule in (*base, *rules)]
     rows = measured(documents, keep).withColumn("failed", F.array_compact(F.array(*failed)))
     names = F.array(*(F.lit(rule.name) for rule in base))
     return rows.withColumn("base_failed", F.arrays_overlap("failed", names)).withColumn("kept", F.size("failed") == 0)

@@ -212,6 +212,15 @@ def test_quality_rules_by_kind(documents):
     assert kept == {1}
 
 
+def test_stop_words_of_other_languages(spark):
+    """The rule of four languages does not judge a fifth one; a document without a language is judged."""
+    polish = "Stary dom stoi nad rzeką, a obok niego rośnie wysoki dąb, który pamięta jeszcze czasy naszych pradziadków i ich dzieci."
+    rows_ = [(1, polish, "pl"), (2, polish, "en"), (3, polish, None), (4, polish, "PL-pl"), (5, polish, "de_AT"), (6, "a b", "pl")]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
+    assert sorted(r["doc_id"] for r in quality.kept(docs).collect()) == [1, 4]
+    assert quality.judged(docs.drop("lang")).where("kept").count() == 0
+
+
 def test_line_dedup(edges, edge_rows, empty):
     found = line_dedup.repeated(line_dedup.units(edges, min_words=4))
     assert rows(found.distinct()) == ordered(set(brute.repeated_lines(edge_rows, least=4)))
