@@ -109,10 +109,91 @@ WITH RECURSIVE cut AS (
 SELECT doc_id, len(shingles) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN smallest USING (doc_id)
 """
 
+_CRC = (
+    "list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)), "
+    "lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"
+)
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree(name: str, leaves: str) -> str:
+    """All nodes of the trees over leaves (key, n, pos, node), and the nodes on either side of each in its run."""
+    side = "coalesce(string_agg(node, '') OVER (PARTITION BY key, level, pos >> 3 ORDER BY pos ROWS BETWEEN {}), '')"
+    return f"""{name}(level, key, n, pos, node) AS (
+  SELECT 0, key, n, pos, node FROM {leaves}
+  UNION ALL SELECT any_value(level) + 1, key, (any_value(n) + 7) // 8, pos >> 3, sha256(string_agg(node, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY key, pos >> 3
+), {name}_sides AS (
+  SELECT level, key, pos, {side.format("UNBOUNDED PRECEDING AND 1 PRECEDING")} AS l,
+    {side.format("1 FOLLOWING AND UNBOUNDED FOLLOWING")} AS r
+  FROM {name} WHERE n > 1
+)"""
+
+
+def _fold(name: str, starts: str, tree: str) -> str:
+    """What the rows of starts (id, key, pos, node, proof) add up to on their way up."""
+    return f"""{name}(id, level, key, pos, node, proof) AS (
+  SELECT id, 0, key, pos, node, proof FROM {starts}
+  UNION ALL SELECT id, f.level + 1, f.key, f.pos >> 3, sha256(l || node || r), proof || l || r
+  FROM {name} AS f JOIN {tree}_sides AS s ON s.key = f.key AND s.level = f.level AND s.pos = f.pos
+), {name}_end AS (
+  SELECT id, arg_max(key, level) AS key, arg_max(node, level) AS node, arg_max(proof, level) AS proof FROM {name} GROUP BY id
+)"""
+
+
+MERKLE = f"""
+WITH RECURSIVE docs AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, node) - 1 AS pos, count(*) OVER (PARTITION BY key) AS n
+  FROM (SELECT row_number() OVER () AS id, doc_id, {_leaf("text")} AS node, coalesce('=' || lang, '-') AS key,
+    CASE WHEN xor({_CRC}, 4294967295) % 3 = 0 THEN {_leaf(LOWER.format("text"))} END AS tampered FROM documents)
+), {_tree("nodes", "docs")}, subroots AS (
+  SELECT key AS own, '' AS key, node, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1
+), {_tree("tops", "subroots")}, starts AS (
+  SELECT 2 * id AS id, key, pos, node, '' AS proof FROM docs
+  UNION ALL SELECT 2 * id + 1, key, pos, coalesce(tampered, node), '' FROM docs
+), {_fold("up", "starts", "nodes")}, again AS (
+  SELECT id, '' AS key, s.pos, u.node, u.proof FROM up_end AS u JOIN subroots AS s ON u.key = s.own
+), {_fold("over", "again", "tops")}
+SELECT doc_id, d.node AS leaf, s.node AS subroot, a.node AS root, sha256(a.proof) AS proof_sha256, b.node AS folded_root,
+  a.node = b.node AS verified
+FROM docs AS d JOIN subroots AS s ON d.key = s.own JOIN over_end AS a ON a.id = 2 * d.id JOIN over_end AS b ON b.id = 2 * d.id + 1
+"""
+
+NEGATIVES = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM vectors AS a JOIN vectors AS b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, id AS negative_id, positive_score,
+  score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 10
+"""
+
 ORACLE = {
     "op4_decontamination": LEAKS,
     "op7_quality_rules": QUALITY,
     "op9_line_dedup": LINES,
     "op9_line_dedup_all": LINES_ALL,
     "op10_near_dedup": NEAR,
+    "op11_merkle_manifest": MERKLE,
+    "op12_hard_negatives": NEGATIVES,
 }

@@ -1,5 +1,6 @@
 """The queries over the operators of this subpackage, and their SQL."""
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -8,11 +9,14 @@ from pyspark.sql import functions as F
 
 from hitparade.llm import (
     decontamination,
+    hard_negatives,
     license_scan,
     line_dedup,
+    merkle,
     near_dedup,
     packing,
     quality,
+    rule_ensemble,
     suffix_dedup,
     token_counts,
     token_files,
@@ -131,6 +135,34 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.components_of(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and the root that a leaf of one in three documents, changed, leads to."""
+    documents = table(spark, sf_dir, "documents")
+    lowered = F.translate(F.col("text"), string.ascii_uppercase, string.ascii_lowercase)
+    after = merkle.leaf(lowered if c == "text" else F.col(c) for c in merkle.COLUMNS)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, after)
+    rows = merkle.manifest(documents, more=tampered)
+    rows = rows.withColumn("folded_root", merkle.folded(F.coalesce("more", "leaf"), F.col("path")))
+    own = "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root"
+    return rows.select(*own, (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the best neighbours of every row whose id is divisible by 100."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), label.alias("label"), F.col("embedding").alias("vector"))
+    return hard_negatives.mined(rows, F.col("id") % 100 == 0)
+
+
+def op13_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document by rules that are fitted on the labels of three in four ids."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    found = rule_ensemble.scored(documents, rule_ensemble.fit(documents, labels))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -146,5 +178,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_line_dedup,
         op9_line_dedup_all,
         op10_near_dedup,
+        op11_merkle_manifest,
+        op12_hard_negatives,
+        op13_rule_ensemble,
     )
 }
