@@ -1,5 +1,9 @@
 """Filtered and ranked listings of the stored top videos."""
 
+from collections.abc import Mapping
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +46,7 @@ def sort_order(sort_by: str | None = "views", order: str | None = "desc") -> lis
 
 
 def sortable(rows: DataFrame, sort_by: str | None) -> DataFrame:
-    if (sort_by or "views").lower() == "engagement":
+    if (sort_by or "views").lower() == "engagement" and "engagement" not in rows.columns:
         return rows.withColumn("engagement", row_engagement())
     return rows
 
@@ -70,6 +74,43 @@ def page(rows: DataFrame, number: int, sort_by="views", order="desc", size: int
     return sortable(rows, sort_by).orderBy(*sort_order(sort_by, order)).offset((number - 1) * size).limit(size)
 
 
+def _key_columns(sort_by: str | None, order: str | None) -> list[tuple[str, bool]]:
+    """The columns of sort_order with their direction: is it the ascending one, with nulls first?"""
+    key = SORT_COLUMNS.get((sort_by or "views").lower(), "views")
+    ties = [*KEY_COLUMNS, *[name for name in TOP_VIDEO.names if name not in KEY_COLUMNS]]
+    return [(key, (order or "desc").lower() == "asc"), *[(name, True) for name in ties if name != key]]
+
+
+def page_key(row: Mapping, sort_by="views", order="desc") -> dict:
+    """What a page has to know of the last row before it."""
+    return {name: row[name] for name, _ in _key_columns(sort_by, order)}
+
+
+def page_after(rows: DataFrame, key: Mapping | None = None, sort_by="views", order="desc", size: int = fixed.PAGE_SIZE) -> DataFrame:
+    """The page that follows the row with this key, or the first page; of deep pages, too, no task holds more than size rows.
+
+    The comparison with the key's first column stands by itself, so that it reaches the files of a stored listing.
+    """
+    rows = sortable(rows, sort_by)
+    if key is not None:
+        comes_after, same = [], F.lit(True)
+        for name, ascending in _key_columns(sort_by, order):
+            column, value = F.col(name), key[name]
+            if ascending:
+                later = column.isNotNull() if value is None else column > value
+            else:
+                later = F.lit(False) if value is None else (column < value) | column.isNull()
+            comes_after.append(same & later)
+            same = same & (column.isNull() if value is None else column == value)
+        (first, ascending), *_ = _key_columns(sort_by, order)
+        if key[first] is not None:
+            rows = rows.filter(F.col(first) >= key[first] if ascending else (F.col(first) <= key[first]) | F.col(first).isNull())
+        elif not ascending:
+            rows = rows.filter(F.col(first).isNull())
+        rows = rows.filter(reduce(or_, (F.coalesce(c, F.lit(False)) for c in comes_after)))
+    return rows.orderBy(*sort_order(sort_by, order)).limit(size)
+
+
 def page_count(rows: DataFrame, size: int = fixed.PAGE_SIZE) -> DataFrame:
     return rows.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / size)).cast("bigint").alias("pages"))
 
@@ -145,9 +186,9 @@ def category_share(rows: DataFrame, names: DataFrame) -> DataFrame:
     The percentage is of all rows, also those without a category, which have no name to show.
     """
     counts = rows.groupBy("category_id").agg(F.count("*").alias("count"))
-    share = F.col("count") / rows.agg(F.count("*")).scalar() * 100
-    # Formatted above the join, so that the total stands in the plan once.
-    shares = with_category_name(counts.where("category_id is not null").withColumn("share", share), names)
+    # The window holds a row for each category.
+    share = F.col("count") / F.sum("count").over(Window.partitionBy()) * 100
+    shares = with_category_name(counts.withColumn("share", share).where("category_id is not null"), names)
     return shares.select("category_id", "category_name", "count", one_decimal(F.col("share")).alias("percentage"))
 
 

@@ -1,5 +1,7 @@
 """Questions to the stored results."""
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +55,18 @@ def page(spark: SparkSession, root: str, number: int, sort_by="views", order="de
     return op.named(op.page(filtered(spark, root, **filters), number, sort_by, order), names(spark, root))
 
 
+def page_after(spark: SparkSession, root: str, key: Mapping | None = None, sort_by="views", order="desc", country=None, category=None, date=None) -> DataFrame:
+    """The page after the row with this key (listing.page_key), or the first one, from the stored listing."""
+    rows = read_table(spark, root, "listed_videos")
+    chosen = {"country": country or None, "category_id": None if category in (None, "") else int(category), "date": (date or "").strip() or None}
+    for name, value in chosen.items():
+        if value is not None:
+            rows = rows.filter(F.col(name) == value)
+    if (sort_by or "views").lower() != "engagement":
+        rows = rows.drop("engagement")
+    return op.named(op.page_after(rows, key, sort_by, order), names(spark, root))
+
+
 def pages(spark: SparkSession, root: str, **filters) -> DataFrame:
     return op.page_count(filtered(spark, root, **filters))
 

@@ -1,5 +1,6 @@
 """Training: stored feature rows to stored models and metrics."""
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -39,8 +40,11 @@ def train(cluster_rows: DataFrame, longevity_rows: DataFrame) -> Trained:
     return Trained(clustering, longevity, clustering.transform(cluster_rows), longevity.transform(held_out))
 
 
-def run_training(spark: SparkSession, root: str, stamp: str | None = None) -> dict | None:
-    """Train on the stored features and store both models and their metrics; None without enough rows."""
+def run_training(spark: SparkSession, root: str, stamp: str | None = None, run_id: str | None = None) -> dict | None:
+    """Train on the stored features and store both models and their metrics; None without enough rows.
+
+    A run that is repeated under its id adds nothing to the history of the metrics; without an id every run is new.
+    """
     features = read_training_input(spark, root)
     if features is None or not training_gate(features).first()["enough"]:
         return None
@@ -52,5 +56,5 @@ def run_training(spark: SparkSession, root: str, stamp: str | None = None) -> di
             op.cluster_quality(trained.assigned), op.regression_quality(trained.predicted), features, stamp
         )
         row = cut(metrics)
-        write_metrics(row, root)
+        write_metrics(row, root, run_id or str(uuid.uuid4()))
         return row.first().asDict(recursive=True)

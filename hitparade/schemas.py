@@ -108,6 +108,14 @@ COUNTRY_TOTALS = _fields(
     ("total_comments", T.LongType()),
 )
 
+QUALITY_REPORT = _fields(("check", T.StringType()), ("column", T.StringType()), ("value", T.LongType()))
+
+LISTED_VIDEO = T.StructType(
+    [*TOP_VIDEO.fields, *_fields(("country", T.StringType()), ("date", T.StringType()), ("processed_at", T.StringType()), ("engagement", T.DoubleType())).fields]
+)
+
+DAY_TOTALS = T.StructType([COUNTRY_TOTALS["country"], T.StructField("date", T.StringType(), True), *COUNTRY_TOTALS.fields[1:]])
+
 # Stored tables. Older trend documents carry trending_date instead of date.
 TABLES = {
     "raw_videos": T.StructType([*OBSERVATION.fields, T.StructField("trending_date_parsed", T.StringType(), True)]),
@@ -117,4 +125,7 @@ TABLES = {
     "category_names": CATEGORY_NAME,
     "listed_categories": LISTED_CATEGORY,
     "country_totals": COUNTRY_TOTALS,
+    "day_totals": DAY_TOTALS,
+    "listed_videos": LISTED_VIDEO,
+    "quality_report": QUALITY_REPORT,
 }

@@ -44,11 +44,27 @@ def shared_folder(spark: SparkSession) -> str:
     return _scratch_folder()
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path as its own kind of object."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Delete the folder when the application ends: a returned DataFrame may read it until then."""
+    system, place = file_system(spark, path)
+    system.deleteOnExit(place)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back, so that iterative fits neither redo nor lose earlier work."""
+    """Write to the shared folder and read back, so that iterative fits neither redo nor lose earlier work.
+
+    The table goes when the application ends; scratch() deletes it earlier.
+    """
     path = f"{shared_folder(df.sparkSession)}/hitparade/{uuid.uuid4()}"
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    delete_at_end(df.sparkSession, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
@@ -64,5 +80,5 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     try:
         yield cut
     finally:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        system, path = file_system(spark, folder)
+        system.delete(path, True)

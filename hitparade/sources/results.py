@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitparade.schemas import TABLES
+from hitparade.sources.versions import table_path
 
 NUMBER_COLUMNS = ("views", "likes", "dislikes", "comment_count", "category_id")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name]).parquet(f"{root}/{name}")
+    return spark.read.schema(TABLES[name]).parquet(table_path(spark, root, name))
 
 
 def with_document_date(documents: DataFrame) -> DataFrame:

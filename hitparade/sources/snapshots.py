@@ -1,5 +1,6 @@
 """Daily snapshot CSV files, one file per country."""
 
+from collections.abc import Callable
 from functools import reduce
 from urllib.parse import unquote
 
@@ -12,10 +13,6 @@ from hitparade.schemas import RAW_SNAPSHOT
 from hitparade.session import cut_lineage
 from hitparade.sources.files import decoded
 
-# Blocks of files whose states are sent to all tasks at most; each is a few numbers and the header.
-SENT_BLOCKS = 50_000
-
-
 def country_directories(base: str, countries=fixed.COUNTRIES) -> str:
     """Path pattern for {base}/{country}/{country}videos.csv."""
     return f"{base}/{{{','.join(f'{country}/{country}videos.csv' for country in countries)}}}"
@@ -26,21 +23,30 @@ def flat_directory(base: str, countries=fixed.COUNTRIES) -> str:
     return f"{base}/{{{','.join(countries)}}}videos.csv"
 
 
-def read_snapshots(spark: SparkSession, pattern: str) -> DataFrame:
+def read_snapshots(spark: SparkSession, pattern: str, cut: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
     """All files of the pattern, with the country taken from the file name; absent files are left out.
 
-    A first scan works out for each file block whether a quoted field with line breaks is open where it starts or is opened
-    in it. Lines of other blocks are records, and go straight to the parser. Only blocks with such fields are shuffled, block
-    by block, and only the lines of such records are put together.
+    Calling this runs the first scan at once: it works out for each file block whether a quoted field with line breaks is
+    open where it starts or is opened in it, and stores that by `cut`. Lines of other blocks are records and go straight to
+    the parser, without a shuffle at any number of blocks: what is sent to the tasks is the exceptions, a row for each file
+    with such blocks (a number for each, of 128 MB as a rule) or with an unusual header. Only the lines of such blocks are
+    shuffled, block by block, and only those of such records are put together.
     """
     lines = _lines(spark, pattern)
-    blocks = cut_lineage(_block_states(lines))
-    few = blocks.count() <= SENT_BLOCKS
-    placed = lines.join(F.broadcast(blocks) if few else blocks, ["file", "block"])
-    placed = placed.filter((F.trim("text") != "") | F.col("broken")).filter((F.col("block") > 0) | (F.col("text") != F.col("header")))
-    records = placed.filter(~F.col("broken")).select("file", "text")
-    if not blocks.filter("broken").isEmpty():
-        records = records.union(_records(placed.filter("broken")))
+    blocks = cut(_block_states(lines))
+    headers = blocks.groupBy("header").agg(F.count_distinct("file").alias("files")).where("header is not null")
+    usual = headers.orderBy(F.col("files").desc(), "header").select("header").first()
+    usual = usual["header"] if usual else ""
+    broken = F.sort_array(F.collect_set(F.when(F.col("broken"), F.col("block")))).alias("broken_blocks")
+    files = blocks.groupBy("file").agg(broken, F.first("header").alias("header"))
+    exceptions = cut(files.where((F.size("broken_blocks") > 0) | (F.col("header") != usual)))
+    marked = lines.join(F.broadcast(exceptions), "file", "left").withColumn("header", F.coalesce("header", F.lit(usual)))
+    marked = marked.where((F.col("block") > 0) | (F.col("text") != F.col("header"))).drop("header")
+    entangled = F.coalesce(F.array_contains("broken_blocks", F.col("block")), F.lit(False))
+    records = marked.where(~entangled & (F.trim("text") != "")).select("file", "text")
+    if not exceptions.where(F.size("broken_blocks") > 0).isEmpty():
+        states = blocks.where("broken").select("file", "block", "entered", "entered_block", "unclosed_block")
+        records = records.union(_records(marked.where(entangled).drop("broken_blocks").join(states, ["file", "block"])))
     parsed = F.from_csv("text", RAW_SNAPSHOT.simpleString(), {"escape": '"'})
     country = F.regexp_extract(F.col("file"), r"([^/]+)videos\.csv$", 1)
     return records.select(parsed.alias("row"), country.alias("country")).select("row.*", "country")

@@ -1,17 +1,21 @@
+import csv
 import json
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from hitparade.operators import trends, words
-from hitparade.plans import serving
-from hitparade.plans.batch import run_batch, stored_observations
+from hitparade.operators import listing, trends, words
+from hitparade.plans import batch, serving
+from hitparade.plans.batch import run_batch, run_days, stored_observations
 from hitparade.plans.training import run_training
-from hitparade.schemas import RAW_SNAPSHOT
+from hitparade.schemas import RAW_SNAPSHOT, TOP_VIDEO
 from hitparade.session import cut_lineage, scratch, shared_folder
-from hitparade.sinks.tables import normalised, overwrite_unless_empty
+from hitparade.sinks.publication import Publication, tidy
+from hitparade.sinks.tables import normalised, write_metrics
+from hitparade.sources.results import read_table
 from hitparade.sources.snapshots import flat_directory
+from hitparade.sources.versions import latest, table_path
 from tests.conftest import SMALL
 from workload import adapters
 from workload.queries import AS_OF, QUERIES, requests
@@ -62,12 +66,12 @@ def test_stored_results(spark, stored):
     root, _ = stored
     documents = serving.documents(spark, root)
     assert same(QUERIES["trend_documents"](spark, SMALL), trends.flattened(documents))
-    assert same(QUERIES["ml_features"](spark, SMALL).drop("log_views"), spark.read.parquet(f"{root}/ml_features"))
+    assert same(QUERIES["ml_features"](spark, SMALL).drop("log_views"), read_table(spark, root, "ml_features"))
     assert same(
         words.wordcloud_documents(adapters.cleaned(spark, SMALL), stamp="x").drop("processed_at"),
-        spark.read.parquet(f"{root}/wordcloud_data"),
+        read_table(spark, root, "wordcloud_data"),
     )
-    report = spark.read.parquet(f"{root}/quality_report")
+    report = read_table(spark, root, "quality_report")
     assert same(QUERIES["quality_report"](spark, SMALL), report)
 
 
@@ -138,10 +142,143 @@ def test_no_training_without_enough_rows(spark, tmp_path, observe):
 
 
 def test_empty_results_keep_the_old_table(spark, tmp_path):
-    rows = spark.range(3)
-    assert overwrite_unless_empty(rows, str(tmp_path), "t")
-    assert not overwrite_unless_empty(rows.filter("false"), str(tmp_path), "t")
-    assert spark.read.parquet(f"{tmp_path}/t").count() == 3
+    rows, root = spark.range(3), str(tmp_path)
+    for kept in (rows, rows.filter("false")):
+        with Publication(spark, root) as new:
+            assert new.write(kept, "t", keep_if_empty=True) == kept.count()
+    assert spark.read.parquet(table_path(spark, root, "t")).count() == 3
+    with Publication(spark, root) as new:
+        new.write(rows.filter("false"), "t")
+    assert spark.read.parquet(table_path(spark, root, "t")).count() == 0
+
+
+def test_a_run_that_fails_changes_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    with Publication(spark, root) as new:
+        new.write(spark.range(3), "a")
+        new.write(spark.range(4), "b")
+    with pytest.raises(ZeroDivisionError), Publication(spark, root) as new:
+        new.write(spark.range(30), "a")
+        raise ZeroDivisionError
+    size = lambda name: spark.read.parquet(table_path(spark, root, name)).count()
+    assert (size("a"), size("b")) == (3, 4) and latest(spark, root)[0] == 1
+
+
+def test_of_two_runs_at_a_time_only_one_publishes(spark, tmp_path):
+    root = str(tmp_path)
+    first, second = Publication(spark, root), Publication(spark, root)
+    first.write(spark.range(1), "t")
+    second.write(spark.range(2), "t")
+    second.publish()
+    with pytest.raises(RuntimeError):
+        first.publish()
+    assert spark.read.parquet(table_path(spark, root, "t")).count() == 2
+
+
+def test_tidy_deletes_what_no_recent_list_names(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(4):
+        with Publication(spark, root) as new:
+            new.write(spark.range(n), "t")
+            if n == 0:
+                new.write(spark.range(9), "stays")
+    Publication(spark, root).write(spark.range(1), "left")
+    assert len(tidy(spark, root)) == 2 and latest(spark, root)[0] == 4 and tidy(spark, root) == []
+    read = lambda name: spark.read.parquet(table_path(spark, root, name)).count()
+    assert (read("t"), read("stays")) == (3, 9)
+    assert len(tidy(spark, root, unpublished=True)) == 1 and len(list(tmp_path.rglob("left"))) == 0
+
+
+def write_days(folder, rows):
+    """One snapshot file for each country of the rows (country, RAW_SNAPSHOT values)."""
+    folder.mkdir()
+    for country in {r[0] for r in rows}:
+        with (folder / f"{country}videos.csv").open("w", newline="") as file:
+            csv.writer(file, lineterminator="\n").writerows([RAW_SNAPSHOT.names, *(r[1:] for r in rows if r[0] == country)])
+
+
+def as_snapshot(country, day, video, views, title):
+    return [country, video, day, title, "ch", 1, "2017-11-13T17:13:01.000Z", "a|b", views, 1, 1, 1, "l", "False", "True", "False", "d"]
+
+
+#: The days of a first load and of a second one, which has a day anew, a new country, and rows without a date.
+FIRST = [("US", "17.14.11", f"v{i}", 10 + i, f"red car {i % 3}") for i in range(15)] + [("US", "17.15.11", "v1", 7, "blue"), ("GB", "17.14.11", "g", 3, "tea"), ("US", "bad", "x", 1, "odd")]
+SECOND = [("US", "17.15.11", f"w{i}", 5 * i, "green tree") for i in range(4)] + [("US", "17.16.11", "n", 2, "new day"), ("DE", "17.16.11", "d", 8, "haus"), ("US", "bad", "y", 1, "odder")]
+
+
+def contents(spark, root):
+    names = "raw_videos", "ml_features", "trending_results", "wordcloud_data", "day_totals", "country_totals", "listed_categories", "listed_videos"
+    return {name: sorted(map(repr, read_table(spark, root, name).drop("processed_at").collect())) for name in names}
+
+
+def test_new_days_equal_a_full_run(spark, tmp_path):
+    write_days(tmp_path / "first", [as_snapshot(*r) for r in FIRST])
+    write_days(tmp_path / "second", [as_snapshot(*r) for r in SECOND])
+    replaced = {r[:2] for r in SECOND if r[1] != "bad"}
+    write_days(tmp_path / "all", [as_snapshot(*r) for r in FIRST if r[:2] not in replaced] + [as_snapshot(*r) for r in SECOND])
+    root, full = str(tmp_path / "tables"), str(tmp_path / "full")
+    run_batch(spark, flat_directory(tmp_path / "first"), root)
+    files = lambda: {p: p.stat().st_mtime_ns for p in Path(table_path(spark, root, "raw_videos")).rglob("*.parquet")}
+    before = files()
+    summary = run_days(spark, flat_directory(tmp_path / "second"), root)
+    run_batch(spark, flat_directory(tmp_path / "all"), full)
+    assert summary["observations"] == len(SECOND) and contents(spark, root) == contents(spark, full)
+    after = files()
+    kept = [p for p in before if "2017-11-14" in str(p)]
+    assert len(kept) >= 2 and all(after[p] == before[p] for p in kept)
+    run_days(spark, flat_directory(tmp_path / "second"), root)
+    assert contents(spark, root) == contents(spark, full)
+
+
+def test_a_run_of_days_that_dies_keeps_the_other_days(spark, tmp_path, monkeypatch):
+    write_days(tmp_path / "first", [as_snapshot(*r) for r in FIRST])
+    write_days(tmp_path / "second", [as_snapshot(*r) for r in SECOND])
+    root = str(tmp_path / "tables")
+    run_batch(spark, flat_directory(tmp_path / "first"), root)
+    before = contents(spark, root)
+    monkeypatch.setattr(batch, "_write_derived", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        run_days(spark, flat_directory(tmp_path / "second"), root)
+    now = contents(spark, root)
+    assert all(now[name] == before[name] for name in ("trending_results", "wordcloud_data", "day_totals", "country_totals", "listed_videos"))
+    assert {r for r in before["raw_videos"] if "2017-11-14" in r} <= set(now["raw_videos"])
+    monkeypatch.undo()
+    with pytest.raises(ZeroDivisionError), monkeypatch.context() as m:
+        m.setattr(batch, "_write_derived", lambda *_: 1 / 0)
+        run_batch(spark, flat_directory(tmp_path / "second"), root)
+    assert contents(spark, root) == now
+
+
+def test_metrics_of_a_run_are_kept_once(spark, tmp_path):
+    metrics = spark.createDataFrame([("2020", 5)], "training_timestamp string, dataset_size long")
+    assert write_metrics(metrics, str(tmp_path), "one")
+    assert not write_metrics(metrics, str(tmp_path), "one")
+    assert write_metrics(metrics, str(tmp_path), "two")
+    history = serving.metrics_history(spark, str(tmp_path)).collect()
+    assert sorted(r.run_id for r in history) == ["one", "two"]
+
+
+def test_pages_by_key_are_the_pages(spark, stored):
+    root, _ = stored
+    for how in ({}, {"sort_by": "engagement", "order": "asc"}, {"sort_by": "likes"}):
+        key, where = None, {"country": "ASIA", "category": 7}
+        for number in range(1, serving.pages(spark, root, **where).first()["pages"] + 1):
+            page, other = serving.page(spark, root, number, **how, **where), serving.page_after(spark, root, key, **how, **where)
+            assert page.collect() == other.select(page.columns).collect()
+            key = listing.page_key(other.tail(1)[0], **how)
+        assert serving.page_after(spark, root, key, **how, **where).count() == 0
+
+
+def test_keys_with_nulls_and_ties(spark):
+    videos = [(v, c, n) for v in ("a", None, "b") for c in ("x", None) for n in (3, None, 3, 1)]
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in TOP_VIDEO.fields] + ["country string", "date string"]
+    full = [tuple({"video_id": v, "country": c, "views": n, "likes": i % 4}.get(f.split()[0]) for f in fields) for i, (v, c, n) in enumerate(videos)]
+    rows = spark.createDataFrame(full, ", ".join(fields))
+    for order in ("asc", "desc"):
+        whole = rows.orderBy(*listing.sort_order("views", order)).collect()
+        for at in range(0, len(whole), 5):
+            key = listing.page_key(whole[at - 1], "views", order) if at else None
+            assert listing.page_after(rows, key, "views", order, size=5).collect() == whole[at : at + 5]
 
 
 def test_a_run_without_rows_empties_only_the_observations(spark, tmp_path):

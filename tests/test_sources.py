@@ -7,6 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from hitparade.schemas import RAW_SNAPSHOT
+from hitparade.session import cut_lineage
 from hitparade.sources import snapshots
 from hitparade.sources.categories import read_categories
 from hitparade.sources.results import load_models, read_training_input, training_input, with_document_date
@@ -106,9 +107,37 @@ def test_a_field_of_many_lines_comes_back_whole(spark, tmp_path):
 
 
 def test_lines_of_clean_blocks_are_not_shuffled(spark, tmp_path):
-    write(tmp_path / "USvideos.csv", [row(f"v{i}", 'a "quoted", word') for i in range(50)])
-    plan = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    """At any number of blocks: what is sent holds the exceptions only, and clean blocks are read without any."""
+    for country in ("US", "GB"):
+        write(tmp_path / f"{country}videos.csv", [row(f"v{i}", 'a "quoted", word') for i in range(500)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        kept = []
+        rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path), lambda df: kept.append(cut_lineage(df)) or kept[-1])
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and plan.count("BroadcastExchange") == 1
+        assert kept[0].count() > 40 and kept[1].count() == 0
+        write(tmp_path / "GBvideos.csv", [row(f"v{i}", "two\nlines" if i == 250 else "one") for i in range(500)])
+        kept.clear()
+        rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path), lambda df: kept.append(cut_lineage(df)) or kept[-1])
+        assert [len(r.broken_blocks) for r in kept[1].collect()] == [1]
+        assert rows.count() == 1000 and rows.where("description = 'two\nlines'").count() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_files_with_other_headers(spark, tmp_path):
+    """Each file's first line is its header, also where most files have another; it is no data in its own file only."""
+    for country in ("US", "GB"):
+        write(tmp_path / f"{country}videos.csv", [row("a")])
+    odd = "v9,17.14.11,t,ch,1,x,a,9,1,1,1,l,False,True,False,d"
+    (tmp_path / "DEvideos.csv").write_text(f"{odd}\n{odd.replace('v9', 'v8')}\n")
+    with (tmp_path / "GBvideos.csv").open("a") as file:
+        file.write(f"{odd}\n")
+    (tmp_path / "FRvideos.csv").write_text("")
+    (tmp_path / "INvideos.csv").write_text(" \n\n")
+    rows = snapshots.read_snapshots(spark, snapshots.flat_directory(tmp_path))
+    assert sorted((r.country, r.video_id) for r in rows.collect()) == [("DE", "v8"), ("GB", "a"), ("GB", "v9"), ("US", "a")]
 
 
 def test_load_filter(observe):
