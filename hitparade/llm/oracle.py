@@ -1,5 +1,6 @@
 """SQL for the queries that SQL can express."""
 
+from hitparade.llm.line_dedup import PASSAGE
 from hitparade.llm.quality import STOP_WORDS
 
 SPACE = r"\x20\x09-\x0D"
@@ -44,24 +45,42 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-LINES = f"""
+_RANKED = f"""units AS (
+  SELECT *, {_words(LOWER.format("line"))} AS words FROM lines
+), ranked AS (
+  SELECT doc_id, unit, start, CAST(start + length(line) AS INTEGER) AS "end", CAST(len(words) AS INTEGER) AS n_words,
+    first_value(doc_id) OVER same AS kept_doc_id, first_value(start) OVER same AS kept_start,
+    row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS place
+  FROM units WHERE len(words) >= 1
+  WINDOW same AS (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id NULLS FIRST, start)
+), again AS (
+  SELECT * FROM ranked WHERE (doc_id, start) IS DISTINCT FROM (kept_doc_id, kept_start)
+)"""
+
+LINES_ALL = f"""
 WITH lines AS (
   SELECT doc_id, CAST(unit - 1 AS INTEGER) AS unit, line,
     CAST(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - length(line) - 1 AS INTEGER) AS start
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS unit
     FROM documents WHERE text IS NOT NULL)
-), units AS (
-  SELECT *, {_words(LOWER.format("line"))} AS words FROM lines
-), ranked AS (
-  SELECT doc_id, unit, start, CAST(start + length(line) AS INTEGER) AS "end", CAST(len(words) AS INTEGER) AS n_words,
-    first_value(doc_id) OVER same AS kept_doc_id, first_value(start) OVER same AS kept_start
-  FROM units WHERE len(words) >= 30
-  WINDOW same AS (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id NULLS FIRST, start)
-)
-SELECT * FROM ranked WHERE (doc_id, start) IS DISTINCT FROM (kept_doc_id, kept_start)
+), {_RANKED}
+SELECT * EXCLUDE (place) FROM again
 """
 
-LINES_ALL = LINES.replace("len(words) >= 30", "len(words) >= 1")
+#: Cuts are marked by a character that texts don't have; the line break after one is no part of a unit.
+SENTENCES = f"""
+WITH cut AS (
+  SELECT doc_id, string_split(replace(regexp_replace(text, '([.!?])([\\x20\\x09\\x0B-\\x0D])', '\\1' || chr(57344) || '\\2', 'g'), chr(10), chr(57344) || chr(10)), chr(57344)) AS parts
+  FROM documents WHERE text IS NOT NULL
+), lines AS (
+  SELECT doc_id, CAST(unit - 1 AS INTEGER) AS unit, ltrim(part, chr(10)) AS line,
+    CAST(sum(length(part)) OVER (PARTITION BY doc_id ORDER BY unit) - length(ltrim(part, chr(10))) AS INTEGER) AS start
+  FROM (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS unit FROM cut)
+), {_RANKED}, runs AS (
+  SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM again
+)
+SELECT * EXCLUDE (place, run) FROM runs QUALIFY sum(n_words) OVER (PARTITION BY doc_id, run) >= {PASSAGE}
+"""
 
 LEAKS = f"""
 WITH item_words AS (
@@ -191,7 +210,7 @@ QUALIFY row_number() OVER best <= 10
 ORACLE = {
     "op4_decontamination": LEAKS,
     "op7_quality_rules": QUALITY,
-    "op9_line_dedup": LINES,
+    "op9_line_dedup": SENTENCES,
     "op9_line_dedup_all": LINES_ALL,
     "op10_near_dedup": NEAR,
     "op11_merkle_manifest": MERKLE,

@@ -121,13 +121,13 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines that repeat an earlier one, with the place of the one that stays."""
-    return line_dedup.repeated(line_dedup.units(table(spark, sf_dir, "documents")))
+    """The sentences of repeated passages, with the place of the one that stays."""
+    return line_dedup.passages(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op9_line_dedup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same over every line that has a word, without a floor."""
-    return line_dedup.repeated(line_dedup.units(table(spark, sf_dir, "documents"), min_words=1))
+    """Every line that has a word and repeats an earlier one, with the place of the one that stays."""
+    return line_dedup.repeated(line_dedup.units(table(spark, sf_dir, "documents"))).drop("text_hash")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

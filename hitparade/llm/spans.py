@@ -6,6 +6,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitparade.llm import words
+
 
 def merged(spans) -> list[tuple[int, int]]:
     """Spans in rising order, those that touch or overlap as one."""
@@ -36,7 +38,7 @@ def with_lengths(changed: DataFrame, documents: DataFrame) -> DataFrame:
 
 def _cut_rows(drop_emptied: bool):
     def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.slices(batches):
             row = batch.column("row")
             names = [field.name for field in row.type]
             columns = dict(zip(names, row.flatten()))
@@ -69,7 +71,8 @@ def as_rows(documents: DataFrame) -> DataFrame:
 
 
 def without(documents: DataFrame, spans: DataFrame) -> DataFrame:
-    """The documents with the spans (doc_id, start, end) cut out of their texts. A document's spans are collected: there
-    are at most as many as it has words."""
-    own = spans.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return cut_out(as_rows(documents).join(own, F.col("row.doc_id").eqNullSafe(F.col("of")), "left"), documents)
+    """The documents with the spans (doc_id, text_hash, start, end) cut out of their texts. The spans of one id and text are
+    collected: there are at most as many as the text has words."""
+    own = spans.groupBy(F.col("doc_id").alias("of"), "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("of")) & (F.xxhash64("row.text") == F.col("text_hash"))
+    return cut_out(as_rows(documents).join(own, same, "left"), documents)

@@ -93,19 +93,29 @@ def first_key(doc_id, *rest):
     return (doc_id is not None, doc_id or 0, *rest)
 
 
-def repeated_lines(documents, least=30):
+def repeated_lines(documents, least=1, sentences=False, run=1):
     units = []
     for doc_id, text in documents:
-        start = 0
-        for number, line in enumerate((text or "").split("\n")):
-            words = spaced(line)
-            if len(words) >= least:
-                units.append((doc_id, number, start, start + len(line), len(words), " ".join(words)))
-            start += len(line) + 1
-    first = {}
+        start = number = place = 0
+        for line in (text or "").split("\n"):
+            for unit in re.findall(r".*?[.!?](?=[ \t\x0b\x0c\r])|.+", line, re.DOTALL) or [""] if sentences else [line]:
+                words = spaced(unit)
+                if len(words) >= least:
+                    units.append((doc_id, number, start, start + len(unit), len(words), place, " ".join(words)))
+                    place += 1
+                start, number = start + len(unit), number + 1
+            start += 1
+    first, runs = {}, defaultdict(int)
     for unit in sorted(units, key=lambda u: first_key(u[0], u[2])):
-        first.setdefault(unit[5], (unit[0], unit[2]))
-    return [(*u[:5], *first[u[5]]) for u in units if first[u[5]] != (u[0], u[2])]
+        first.setdefault(unit[6], (unit[0], unit[2]))
+    again = sorted({u for u in units if first[u[6]] != (u[0], u[2])}, key=lambda u: first_key(u[0], u[5]))
+    named, last = [], None
+    for unit in again:
+        name = last[1] if last and last[0] == (unit[0], unit[5] - 1) else unit
+        last = (unit[0], unit[5]), name
+        named.append((unit, name))
+        runs[name] += unit[4]
+    return [(*u[:5], *first[u[6]]) for u, name in named if runs[name] >= run]
 
 
 def repeated_words(documents, length=50):

@@ -223,10 +223,25 @@ def test_stop_words_of_other_languages(spark):
 
 def test_line_dedup(edges, edge_rows, empty):
     found = line_dedup.repeated(line_dedup.units(edges, min_words=4))
-    assert rows(found.distinct()) == ordered(set(brute.repeated_lines(edge_rows, least=4)))
+    assert rows(found.drop("text_hash")) == ordered(set(brute.repeated_lines(edge_rows, least=4)))
     clean = {(r["doc_id"], r["text"]) for r in line_dedup.deduplicated(edges, min_words=4).collect()}
     assert (15, "line of some words\n" + "\n" * 39) in clean and (6, "") in clean and (2, None) in clean and (9, edge_rows[11][1]) in clean
-    assert line_dedup.deduplicated(empty).count() == 0
+    assert line_dedup.deduplicated(empty).count() == 0 and line_dedup.passages(empty).count() == 0
+
+
+def test_repeated_sentences(documents):
+    """Sentences within lines; only those count that make a passage of repeated ones, and original offsets are kept."""
+    shared = "One two three four! Five six seven? Eight nine ten eleven, twelve. "
+    rows_ = [(1, f"Begin here. {shared}End."), (2, f"Other start {shared}Tail, 3.5 of it.\nFive six seven?  "), (3, f"Five six seven?\n{shared}")]
+    rows_ += [(3, f"Five six seven?\n{shared}"), (None, shared), (6, "Five six seven? other"), (4, None), (5, "")]
+    for run in (1, 4, 10):
+        found = line_dedup.repeated(line_dedup.units(documents(rows_), sentences=True), run)
+        assert rows(found.drop("text_hash")) == ordered(set(brute.repeated_lines(rows_, sentences=True, run=run)))
+    named = [r for r in rows_ if r[0] is not None]
+    texts = dict(named)
+    assert all(texts[r["doc_id"]][r["start"] : r["end"]].split()[0] in ("One", "Five", "Eight") for r in found.collect())
+    left = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(documents(named), sentences=True, min_run=5).collect()}
+    assert left[1] == rows_[0][1] and left[2].split() == "Other start One two three four! Tail, 3.5 of it. Five six seven?".split()
 
 
 def test_spans():
