@@ -141,12 +141,13 @@ def measured(documents: DataFrame, keep: str = "__row") -> DataFrame:
     )
 
 
-def judged(documents: DataFrame, keep: str = "__row", base=BASE, rules=RULES) -> DataFrame:
+def judged(documents: DataFrame, keep: str = "__row", base=BASE, rules=RULES, language: str | None = None) -> DataFrame:
     """The measures with base_failed, kept, and the names of the rules that failed.
 
-    A column lang, where there is one, says which documents the rules of some languages are for ("en", "en-GB").
+    language names a column that says which documents the rules of some languages are for ("en", "en-GB"); without one they
+    are for all.
     """
-    lang = F.coalesce(F.lower(F.split(F.col(f"{keep}.lang").cast("string"), "[-_]")[0]), F.lit("")) if "lang" in documents.columns else None
+    lang = F.coalesce(F.lower(F.split(F.col(keep)[language].cast("string"), "[-_]")[0]), F.lit("")) if language else None
     spoken = lambda rule: F.lit(True) if lang is None or rule.languages is None else lang.isin("", *rule.languages)
     of = lambda name: F.lit(1) if name == "one" else F.col(name)
     failed = [F.when(rule.failed(of) & spoken(rule), F.lit(rule.name)) for rule in (*base, *rules)]
@@ -155,6 +156,11 @@ def judged(documents: DataFrame, keep: str = "__row", base=BASE, rules=RULES) ->
     return rows.withColumn("base_failed", F.arrays_overlap("failed", names)).withColumn("kept", F.size("failed") == 0)
 
 
-def kept(documents: DataFrame) -> DataFrame:
-    """The documents that pass every rule, with all their columns."""
-    return judged(documents).where("kept").select("__row.*")
+def kept(documents: DataFrame, language: str | None = None) -> DataFrame:
+    """The documents that pass every rule, with all their columns.
+
+    A plain filter on the verdict would be pushed below the projections, each measure written out again for every use. An
+    array of one row keeps verdict and row together until the verdict is there.
+    """
+    rows = judged(documents, language=language).select(F.explode(F.array(F.struct("kept", "__row"))).alias("one"))
+    return rows.where("one.kept").select("one.__row.*")
