@@ -36,21 +36,26 @@ class EliasFano:
         weights = np.uint64(1) << np.arange(self.width, dtype=np.uint64)
         return (bits.reshape(end - start, self.width).astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64)
 
+    def run(self, start: int, end: int) -> np.ndarray:
+        """values[start:end], from the sample at or before start to the one after end: a stretch as long as the run."""
+        if not 0 <= start <= end <= self.n:
+            raise IndexError((start, end))
+        if start == end:
+            return np.empty(0, np.int64)
+        first, last = start // SAMPLE, -(-end // SAMPLE)
+        begin = int(self.samples[first]) // 8
+        stop = int(self.samples[last]) // 8 + 1 if last < len(self.samples) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[begin:stop], bitorder="little")) + 8 * begin
+        ones = ones[ones >= int(self.samples[first])][start % SAMPLE :][: end - start]
+        high = (ones - np.arange(start, end)).astype(np.uint64) << np.uint64(self.width)
+        return (high | self._low(start, end) if self.width else high).astype(np.int64)
+
     def select(self, i: int) -> int:
         """values[i], from one sample on."""
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        sample = i // SAMPLE
-        start = int(self.samples[sample]) // 8
-        end = int(self.samples[sample + 1]) // 8 + 1 if sample + 1 < len(self.samples) else len(self.high)
-        ones = np.flatnonzero(np.unpackbits(self.high[start:end], bitorder="little")) + 8 * start
-        place = int(ones[ones >= int(self.samples[sample])][i % SAMPLE])
-        return ((place - i) << self.width) | int(self._low(i, i + 1)[0] if self.width else 0)
+        return int(self.run(i, i + 1)[0])
 
     def all(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n]
-        high = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.width)
-        return (high | self._low(0, self.n) if self.width else high).astype(np.int64)
+        return self.run(0, self.n)
 
     def to_bytes(self) -> bytes:
         parts = self.low.tobytes(), self.high.tobytes(), self.samples.astype("<u4").tobytes()

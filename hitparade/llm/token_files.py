@@ -25,6 +25,8 @@ MAGIC = b"IDSEG001"
 SIZES = struct.Struct("<3Q")
 #: A segment closes with the document that reaches so many ids: about 8 MB.
 SEGMENT_TOKENS = 1 << 22
+#: Documents whose places are selected at a time.
+READ = 4096
 FILE_SCHEMA = "part int, segment_no long, n_documents long, n_tokens long, segment binary"
 READ_SCHEMA = "part int, segment_no long, place long, doc_id long, local_start long, n_tokens long, ids binary"
 
@@ -106,31 +108,34 @@ def write_token_file(documents: DataFrame, definition: str, path: str, end_id: i
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of segments. Their places come from selects of READ documents each, so no table of them is made."""
     for batch in batches:
         for part, number, data in zip(*(batch.column(c) for c in ("part", "segment_no", "segment"))):
             segment = Segment(data.as_py())
-            n, ends = segment.n_documents, segment.ends.all()
-            starts = np.r_[0, ends[:-1]] if n else ends
-            wide = segment.ids.astype("<u4")
-            # Slices of bounded size; each document's ids as little-endian unsigned 32-bit integers.
-            run = starts // (SEGMENT_TOKENS // 4)
-            cuts = [*np.flatnonzero(np.r_[True, run[1:] != run[:-1]]).tolist(), n] if n else [0]
-            for a, b in zip(cuts, cuts[1:]):
-                first = int(starts[a])
-                bounds = pa.py_buffer((4 * (np.r_[starts[a:b], ends[b - 1]] - first)).astype("<i4"))
-                data = pa.py_buffer(wide[first : int(ends[b - 1])])
-                yield pa.record_batch(
-                    [
-                        pa.array(np.full(b - a, part.as_py(), np.int32)),
-                        pa.array(np.full(b - a, number.as_py(), np.int64)),
-                        pa.array(np.arange(a, b)),
-                        pa.array(segment.doc_ids[a:b], mask=segment.unnamed[a:b]),
-                        pa.array(starts[a:b]),
-                        pa.array((ends - starts)[a:b]),
-                        pa.Array.from_buffers(pa.binary(), b - a, [None, bounds, data]),
-                    ],
-                    ["part", "segment_no", "place", "doc_id", "local_start", "n_tokens", "ids"],
-                )
+            before = 0
+            for first in range(0, segment.n_documents, READ):
+                ends = segment.ends.run(first, min(first + READ, segment.n_documents))
+                starts = np.r_[before, ends[:-1]]
+                before = int(ends[-1])
+                # Slices of bounded size; each document's ids as little-endian unsigned 32-bit integers.
+                run = starts // (SEGMENT_TOKENS // 4)
+                cuts = [*np.flatnonzero(np.r_[True, run[1:] != run[:-1]]).tolist(), len(ends)]
+                for a, b in zip(cuts, cuts[1:]):
+                    low, high = int(starts[a]), int(ends[b - 1])
+                    bounds = pa.py_buffer((4 * (np.r_[starts[a:b], high] - low)).astype("<i4"))
+                    own = slice(first + a, first + b)
+                    yield pa.record_batch(
+                        [
+                            pa.array(np.full(b - a, part.as_py(), np.int32)),
+                            pa.array(np.full(b - a, number.as_py(), np.int64)),
+                            pa.array(np.arange(first + a, first + b)),
+                            pa.array(segment.doc_ids[own], mask=segment.unnamed[own]),
+                            pa.array(starts[a:b]),
+                            pa.array((ends - starts)[a:b]),
+                            pa.Array.from_buffers(pa.binary(), b - a, [None, bounds, pa.py_buffer(segment.ids[low:high].astype("<u4"))]),
+                        ],
+                        ["part", "segment_no", "place", "doc_id", "local_start", "n_tokens", "ids"],
+                    )
 
 
 def read_token_file(spark: SparkSession, path: str) -> DataFrame:

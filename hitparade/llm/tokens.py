@@ -16,15 +16,21 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 from hitparade.llm import words
 
-#: Pieces that a Python worker remembers before it starts afresh; the ids do not depend on it.
-REMEMBERED = 800_000
+#: Pieces that a Python worker remembers before it starts afresh, some 40 MB; the ids do not depend on it.
+REMEMBERED = 200_000
+
+#: Texts that tell tokenizers of other kinds: white space, case, marks, digits, accents, special strings.
+PROBES = (
+    "Some plain words, then MARKS! And 12 digits.", " it's  I'LL\t\nstraße É é x", "a.b,c <|endoftext|> d-e (f) g; 3.14", "日本語 テキスト 😀 ok", "", " \n ",
+)
 
 
 class ChunkEncoder:
     """ids of texts; definition is the tokenizer's JSON.
 
     Chunks of plain letters and closing marks are two pre-tokens; their letters are looked up in lower case, so that the
-    library's model sees each word once. Every other chunk goes through the whole tokenizer.
+    library's model sees each word once. Every other chunk goes through the whole tokenizer. A tokenizer that gives a probe
+    other ids in chunks than as a whole is refused.
     """
 
     def __init__(self, definition: str):
@@ -36,6 +42,9 @@ class ChunkEncoder:
         self.as_bytes = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self.letters: dict[str, bytes] = {}
         self.others: dict[str, bytes] = {}
+        for text in PROBES:
+            if self.encode(pa.array([text]))[0].tolist() != self.tokenizer.encode(text, add_special_tokens=False).ids:
+                raise ValueError(f"a tokenizer of another kind: its ids of {text!r} are not those of its chunks")
 
     def _whole(self, chunks: list[str]) -> list[bytes]:
         return [array("H", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]

@@ -217,8 +217,32 @@ def test_stop_words_of_other_languages(spark):
     polish = "Stary dom stoi nad rzeką, a obok niego rośnie wysoki dąb, który pamięta jeszcze czasy naszych pradziadków i ich dzieci."
     rows_ = [(1, polish, "pl"), (2, polish, "en"), (3, polish, None), (4, polish, "PL-pl"), (5, polish, "de_AT"), (6, "a b", "pl")]
     docs = spark.createDataFrame(rows_, "doc_id long, text string, lang string")
-    assert sorted(r["doc_id"] for r in quality.kept(docs).collect()) == [1, 4]
-    assert quality.judged(docs.drop("lang")).where("kept").count() == 0
+    assert sorted(r["doc_id"] for r in quality.kept(docs, language="lang").collect()) == [1, 4]
+    assert quality.kept(docs).count() == 0
+
+
+def test_kept_measures_each_text_once(edges):
+    """The filter on the verdict stays above the measures, so none is worked out twice."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(quality.kept(edges)).count("xxhash64") == plan(quality.judged(edges)).count("xxhash64") == 4
+
+
+def test_tokenizers_of_another_kind_are_refused():
+    assert tokens.ChunkEncoder(definition("word_bpe_49k.json"))
+    with pytest.raises(ValueError, match="another kind"):
+        tokens.ChunkEncoder(definition("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 1000, 5000])
+def test_selects_of_runs(n):
+    values = np.cumsum(np.random.default_rng(n).integers(0, 90, n))
+    coded = EliasFano.from_bytes(EliasFano.of(values).to_bytes())
+    for start in {0, 1, 255, 256, 300, n // 2, n}:
+        for end in {start, start + 1, start + 255, start + 600, n}:
+            if start <= end <= n:
+                assert coded.run(start, end).tolist() == values[start:end].tolist()
+    with pytest.raises(IndexError):
+        coded.run(n, n + 1)
 
 
 def test_line_dedup(edges, edge_rows, empty):
