@@ -12,7 +12,7 @@ from hitparade.llm.workers import reach
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that pass every quality rule."""
-    return quality.kept(docs)
+    return quality.kept(docs, language="lang")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
