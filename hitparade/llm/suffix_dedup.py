@@ -5,9 +5,10 @@ further up in the same one. Words are runs of other characters than ASCII white
 
 Suffixes are kept only where a minimiser lies: the smallest hash of GRAM words among the first SPREAD places of a window of
 `length` words. Equal windows have their minimiser at the same place, and the suffix from there shares at least
-length - SPREAD + 1 words. So suffixes are put in order by these words, and those that have an equal neighbour are extended
-to the left and right to the run of all windows of which they are the minimiser. Runs that are equal as a whole are settled
-at once; what differs, as at the ends of a passage, is compared window by window.
+length - SPREAD + 1 words. The suffixes are sorted by a hash of these words, and neighbours are compared: those that have an
+equal one are extended, to the left to the first window whose minimiser they are and to the right to the end of the last.
+Extents that are equal as a whole are settled at once; what differs, as at the ends of a passage, is compared window by
+window, so that every window is found, whichever of its group it equals.
 """
 
 from collections.abc import Iterator
@@ -28,12 +29,12 @@ SPREAD = 30
 GRAM = 8
 
 SUFFIXES = "doc_id long, prefix long, place int, whole binary, text_hash long, n_words int, n_chars int"
-RUNS = "doc_id long, text_hash long, first int, n int, high long, low int, windows binary"
-SPANS = "doc_id long, text_hash long, first_word int, end_word int, start int, end int, kept_doc_id long, kept_word int"
-#: A window's two hashes, as they lie in the bytes of a run.
+NEIGHBOURS = "doc_id long, text_hash long, prefix long, place int, open boolean"
+RUNS = "doc_id long, text_hash long, first int, n int, start int, end int, high long, low int, windows binary, chars binary"
+WINDOWS = "doc_id long, text_hash long, place int, start int, end int, high long, low int"
+#: A window's two hashes, and its first and last place in code points, as they lie in the bytes of a run.
 WINDOW = np.dtype([("high", "<i8"), ("low", "<i4")])
-#: Places, or merged spans, that are sent to the texts at most: under 20 MB either.
-SENT_PLACES, SENT_SPANS = 2_000_000, 300_000
+CHARS = np.dtype([("start", "<i4"), ("end", "<i4")])
 
 
 def _minimisers(word_hashes: np.ndarray, offsets: np.ndarray, length: int, spread: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +85,7 @@ def _suffixes(length: int, spread: int):
                 join((prefix.view(np.int64), i64), (none(m, i64), i64)),
                 join(((place - offsets[owner]).astype(np.int32), i32), (none(m, i32), i32)),
                 join((none(n, pa.binary()), pa.binary()), (wholes, pa.binary())),
-                join((none(n, i64), i64), (batch.column("text_hash").take(pa.array(long)), i64)),
+                batch.column("text_hash").take(pa.array(own)),
                 join((none(n, i32), i32), (sizes[long].astype(np.int32), i32)),
                 join((none(n, i32), i32), (lengths[long].astype(np.int32), i32)),
             ]
@@ -93,6 +94,39 @@ def _suffixes(length: int, spread: int):
     return suffixes
 
 
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The suffixes of sorted batches that equal a neighbour in another text or place. Those that equal the first or the
+    last of a batch are open: their run may go on in the batch before or after."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        prefix, text_hash, place = (batch.column(c).to_numpy() for c in ("prefix", "text_hash", "place"))
+        begins = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
+        ends = np.r_[begins[1:], len(prefix)] - 1
+        # Sorted, so a run is of one text and place only if its first and last are.
+        keep = (text_hash[begins] != text_hash[ends]) | (place[begins] != place[ends])
+        open_ = np.zeros(len(begins), bool)
+        open_[[0, -1]] = True
+        sizes = ends - begins + 1
+        chosen = pa.array(np.repeat(keep | open_, sizes))
+        rows = batch.select(["doc_id", "text_hash", "prefix", "place"]).append_column("open", pa.array(np.repeat(open_, sizes)))
+        yield rows.filter(chosen)
+
+
+def _shared(suffixes: DataFrame) -> DataFrame:
+    """The suffixes (doc_id, text_hash, prefix, place) whose words stand in another text or at another place, too.
+
+    Suffixes are dealt out by ranges, so that those of a hot passage lie in several tasks, and each compares neighbours in
+    the order it has. Runs over a border, at most two for each batch, are put together by their first and last.
+    """
+    order = "prefix", "text_hash", "place"
+    found = suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, NEIGHBOURS)
+    found = stored(found, "neighbours")
+    at = F.struct("text_hash", "place")
+    across = found.where("open").groupBy("prefix").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first != last")
+    return found.where("not open").drop("open").unionByName(found.where("open").drop("open").join(across.select("prefix"), "prefix"))
+
+
 def _runs(length: int, spread: int):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.slices(batches):
@@ -101,35 +135,37 @@ def _runs(length: int, spread: int):
             first, place = _minimisers(word_hashes, offsets, length, spread)
             shared = np.zeros(len(word_hashes) + 1, bool)
             counts = pc.list_value_length(places).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = places.flatten().to_numpy(zero_copy_only=False) + np.repeat(offsets[:-1], counts)
-            # A row that repeats a doc_id may be shorter than the one that a place belongs to.
-            shared[at[at < np.repeat(offsets[1:], counts)]] = True
+            shared[places.flatten().to_numpy(zero_copy_only=False) + np.repeat(offsets[:-1], counts)] = True
             keep = shared[place]
             first, place = first[keep], place[keep]
             begins = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (first[1:] != first[:-1] + 1)]) if len(first) else first
             sizes = np.diff(np.r_[begins, len(first)])
-            windows = np.zeros(len(first), WINDOW)
+            windows, chars = np.zeros(len(first), WINDOW), np.zeros(len(first), CHARS)
+            owner = np.searchsorted(offsets, first[begins], "right") - 1
             if len(first):
                 windows["high"] = words.run_hashes(word_hashes, length)[first].view(np.int64)
                 other = words.run_hashes(words.mix(word_hashes + np.uint64(1)), length)[first]
                 windows["low"] = (other >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            raw = windows.tobytes()
-            ends = np.r_[0, np.cumsum(sizes)] * WINDOW.itemsize
-            own = [raw[x:y] for x, y in zip(ends.tolist(), ends[1:].tolist())]
+                starts, ends = (np.concatenate(x) for x in zip(*(word_spans(t or "") for t in texts.to_pylist())))
+                chars["start"], chars["end"] = starts[first], ends[first + length - 1]
+            cuts = np.r_[0, np.cumsum(sizes)].tolist()
+            own, places_ = ([x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (windows, chars))
             digests = [xxhash.xxh3_128_digest(x) for x in own]
             keys = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2) if own else np.zeros((0, 2), np.int64)
-            owner = np.searchsorted(offsets, first[begins], "right") - 1
             rows = pa.array(owner)
             columns = [
                 doc_ids.take(rows),
                 batch.column("text_hash").take(rows),
                 pa.array((first[begins] - offsets[owner]).astype(np.int32)),
                 pa.array(sizes.astype(np.int32)),
+                pa.array(chars["start"][begins]),
+                pa.array(chars["end"][begins + sizes - 1]),
                 pa.array(np.ascontiguousarray(keys[:, 0])),
                 pa.array((keys[:, 1] >> 32).astype(np.int32)),
                 pa.array(own, pa.binary()),
+                pa.array(places_, pa.binary()),
             ]
-            yield pa.record_batch(columns, ["doc_id", "text_hash", "first", "n", "high", "low", "windows"])
+            yield pa.record_batch(columns, [f.split()[0] for f in RUNS.split(", ")])
 
     return runs
 
@@ -139,10 +175,11 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.column("n").to_numpy().astype(np.int64)
         owner = pa.array(np.repeat(np.arange(len(n)), n))
-        windows = np.frombuffer(b"".join(batch.column("windows").to_pylist()), WINDOW)
+        windows, chars = (np.frombuffer(b"".join(batch.column(c).to_pylist()), kind) for c, kind in (("windows", WINDOW), ("chars", CHARS)))
         place = words.gathered(batch.column("first").to_numpy().astype(np.int64), n).astype(np.int32)
-        columns = [batch.column("doc_id").take(owner), batch.column("text_hash").take(owner), *map(pa.array, (place, windows["high"].copy(), windows["low"].copy()))]
-        yield pa.record_batch(columns, ["doc_id", "text_hash", "place", "high", "low"])
+        numbers = place, chars["start"].copy(), chars["end"].copy(), windows["high"].copy(), windows["low"].copy()
+        columns = [batch.column("doc_id").take(owner), batch.column("text_hash").take(owner), *map(pa.array, numbers)]
+        yield pa.record_batch(columns, [f.split()[0] for f in WINDOWS.split(", ")])
 
 
 def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -152,47 +189,27 @@ def word_spans(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(~word[:-1] & word[1:]), np.flatnonzero(word[:-1] & ~word[1:])
 
 
-MERGED = "doc_id long, text_hash long, spans array<struct<first:int,end:int,kept_doc_id:long,kept_word:int>>"
+SPANS = "doc_id long, text_hash long, first_word int, end_word int, start int, end int, kept_doc_id long, kept_word int"
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Covers that touch or overlap as one span, with what the first of them repeats."""
-    kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("kept_doc_id", pa.int64()), ("kept_word", pa.int32())]))
+    kinds = [pa.int64(), pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int32()]
     for batch in batches:
-        merged = []
-        for covers in batch.column("covers"):
-            spans: list[dict] = []
-            for cover in sorted(covers.as_py(), key=lambda c: (c["first"], -c["end"])):
-                if spans and cover["first"] <= spans[-1]["end"]:
-                    spans[-1]["end"] = max(spans[-1]["end"], cover["end"])
-                else:
-                    spans.append({"first": cover["first"], "end": cover["end"], "kept_doc_id": cover["kept"]["doc_id"], "kept_word": cover["kept"]["first"]})
-            merged.append(spans)
-        yield pa.record_batch([batch.column("doc_id"), batch.column("text_hash"), pa.array(merged, kind)], ["doc_id", "text_hash", "spans"])
-
-
-def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The spans with their starts and ends in code points."""
-    for batch in words.slices(batches):
         rows = []
-        for doc_id, text_hash, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text", "spans"))):
-            starts, ends = word_spans(text)
-            for s in spans:
-                rows.append((doc_id, text_hash, s["first"], s["end"], int(starts[s["first"]]), int(ends[s["end"] - 1]), s["kept_doc_id"], s["kept_word"]))
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-        columns = zip(*rows) if rows else [[]] * 8
+        for doc_id, text_hash, covers in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "covers"))):
+            spans: list[list] = []
+            for c in sorted(covers, key=lambda c: (c["first"], -c["stop"])):
+                if spans and c["first"] <= spans[-1][3]:
+                    if c["stop"] > spans[-1][3]:
+                        spans[-1][3], spans[-1][5] = c["stop"], c["end"]
+                else:
+                    spans.append([doc_id, text_hash, c["first"], c["stop"], c["start"], c["end"], c["kept"]["doc_id"], c["kept"]["first"]])
+            rows += spans
+        columns = zip(*rows) if rows else [[]] * len(kinds)
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], [f.split()[0] for f in SPANS.split(", ")])
 
 
-def _with_texts(asked: DataFrame, documents: DataFrame, keys: list[str], items: str, most: int) -> DataFrame:
-    """documents (doc_id, text, text_hash) with the columns of asked, joined null-safely by keys. Rows with at most so many
-    items in all are sent to the texts; more are joined by a shuffle."""
-    asked = stored(asked.withColumnsRenamed({key: f"of_{key}" for key in keys}), "asked")
-    few = (asked.agg(F.sum(F.size(items))).first()[0] or 0) <= most
-    same = [F.col(key).eqNullSafe(F.col(f"of_{key}")) for key in keys]
-    return documents.join(F.broadcast(asked) if few else asked, same).drop(*(f"of_{key}" for key in keys))
-
-
 def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
     """The spans that repeat an earlier place: doc_id, text_hash, first_word, end_word, start and end in code points, and the
     earliest place of the first window (kept_doc_id, kept_word).
@@ -201,8 +218,8 @@ def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -
     of doc_id (none is the smallest), a hash of the text, and the word, so rows that repeat a doc_id with another text are
     compared like other documents, and equal rows are the same place. Groups are counted before the shuffle, and a group
     gives one row for each of its members, so a passage in a third of all documents needs no task of its own. Null texts
-    and texts of fewer than `length` words have no windows. A document's places and spans are collected: at most one for
-    each word.
+    and texts of fewer than `length` words have no windows. The places and spans of one id and text are collected: at most
+    one for each of its words. Texts move once, to meet the places that are asked of them.
     """
     chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = chosen.withColumn("text_hash", F.xxhash64("text"))
@@ -217,35 +234,30 @@ def repeated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -
         F.col("n_chars").alias("end"), F.col("first.doc_id").alias("kept_doc_id"), F.lit(0).alias("kept_word"),
     ).distinct()
 
-    # Rows that repeat a doc_id may have another text, which is no copy: their suffixes stay.
-    plain = wholes.groupBy("doc_id").agg(F.count_distinct("text_hash").alias("n")).where("n = 1")
-    plain = plain.select(F.col("doc_id").alias("of"))
-    gone = copies.select("doc_id").distinct().join(plain, F.col("doc_id").eqNullSafe(F.col("of")), "left_semi")
-    suffixes = found.where("prefix is not null").select("prefix", "doc_id", "place")
-    suffixes = suffixes.join(gone.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left_anti")
-    shared = suffixes.groupBy("prefix").agg(F.count("*").alias("n"))
-    shared = suffixes.join(shared.where("n > 1").select("prefix"), "prefix", "left_semi")
-    places = shared.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    runs = _with_texts(places, chosen, ["doc_id"], "places", SENT_PLACES).mapInArrow(_runs(length, spread), RUNS)
+    same = F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
+    gone = copies.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash")).distinct()
+    shared = _shared(found.where("prefix is not null").select("prefix", "doc_id", "text_hash", "place")).join(gone, same, "left_anti")
+    places = shared.groupBy(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash")).agg(F.collect_set("place").alias("places"))
+    runs = chosen.join(places, same).drop("of", "of_hash").mapInArrow(_runs(length, spread), RUNS)
     runs = stored(runs, "runs")
 
     # Runs that are equal as a whole repeat the first of them; the earliest place of any window is in one that is first.
     key, at = ["high", "low"], F.struct("doc_id", "text_hash", "first")
     firsts = runs.groupBy(*key).agg(F.min(at).alias("kept"), F.count("*").alias("size")).where("size > 1").drop("size")
     firsts = stored(firsts, "firsts")
-    covers = runs.drop("windows").join(firsts, key).where(at != F.col("kept"))
-    covers = covers.select("doc_id", "text_hash", "first", (F.col("first") + F.col("n") + length - 1).alias("end"), "kept")
+    covers = runs.drop("windows", "chars").join(firsts, key).where(at != F.col("kept"))
+    covers = covers.select("doc_id", "text_hash", "first", (F.col("first") + F.col("n") + length - 1).alias("stop"), "start", "end", "kept")
     fresh = runs.join(firsts, key, "left").where(F.col("kept").isNull() | (at == F.col("kept"))).drop("kept", *key)
-    windows = stored(fresh.mapInArrow(_exploded, "doc_id long, text_hash long, place int, high long, low int"), "windows")
+    windows = stored(fresh.mapInArrow(_exploded, WINDOWS), "windows")
     at = F.struct("doc_id", "text_hash", F.col("place").alias("first"))
     groups = windows.groupBy(*key).agg(F.min(at).alias("kept"), F.count("*").alias("size")).where("size > 1").drop("size")
     again = windows.join(groups, key).where(at != F.col("kept"))
-    again = again.select("doc_id", "text_hash", F.col("place").alias("first"), (F.col("place") + length).alias("end"), "kept")
+    again = again.select("doc_id", "text_hash", F.col("place").alias("first"), (F.col("place") + length).alias("stop"), "start", "end", "kept")
 
-    every = covers.unionByName(again).select("doc_id", "text_hash", F.struct("first", "end", "kept").alias("cover"))
-    spans = every.groupBy("doc_id", "text_hash").agg(F.collect_list("cover").alias("covers")).mapInArrow(_merged, MERGED)
-    spans = _with_texts(spans, chosen, ["doc_id", "text_hash"], "spans", SENT_SPANS).mapInArrow(_located, SPANS)
-    return spans.distinct().unionByName(as_spans)
+    cover = F.struct("first", "stop", "start", "end", "kept").alias("cover")
+    every = covers.unionByName(again).select("doc_id", "text_hash", cover).distinct()
+    spans = every.groupBy("doc_id", "text_hash").agg(F.collect_list("cover").alias("covers")).mapInArrow(_merged, SPANS)
+    return spans.unionByName(as_spans)
 
 
 def deduplicated(documents: DataFrame, length: int = LENGTH, spread: int = SPREAD) -> DataFrame:
