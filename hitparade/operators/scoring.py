@@ -10,6 +10,7 @@ from hitparade.functions.texts import tag_count
 from hitparade.functions.times import age_bucket, has_offset, whole_days_between, written_hour
 from hitparade.operators.lookups import cluster_name
 
+
 def with_request_defaults(requests: DataFrame) -> DataFrame:
     """Requests with every field; missing columns and nulls take the field's default."""
     filled = {
@@ -83,10 +84,10 @@ def heuristic_days(requests: DataFrame) -> DataFrame:
 
 
 def score_days(requests: DataFrame, model: PipelineModel | None = None) -> DataFrame:
-    """Requests with predicted days in trending, by the model or else by the heuristic."""
+    """Requests with predicted days in trending, by the model, from the inputs that it was fitted on, or else by the heuristic."""
     if model is None:
         return heuristic_days(requests)
-    scored = model.transform(model_inputs(requests, fixed.LONGEVITY_FEATURES))
+    scored = model.transform(model_inputs(requests, model.stages[0].getInputCols()))
     return scored.select(
         "request.*",
         F.round(F.greatest(F.col("prediction"), F.lit(0.0)), 2).alias("predicted_days"),

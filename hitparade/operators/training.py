@@ -95,20 +95,29 @@ def fit_clusters(rows: DataFrame, k: int = fixed.CLUSTERS, seed: int = fixed.SEE
     return _scaled(fixed.CLUSTER_FEATURES, kmeans).fit(rows)
 
 
-def fit_longevity(rows: DataFrame, seed: int = fixed.SEED) -> PipelineModel:
+def fit_longevity(
+    rows: DataFrame,
+    seed: int = fixed.SEED,
+    columns=fixed.LONGEVITY_FEATURES,
+    trees: int = fixed.FOREST_TREES,
+    depth: int = fixed.FOREST_DEPTH,
+    bootstrap: bool = True,
+) -> PipelineModel:
+    """A forest for the days in trending. One tree without bootstrap is fitted to all rows, whatever the seed."""
     forest = RandomForestRegressor(
         featuresCol="scaledFeatures",
         labelCol=fixed.LONGEVITY_LABEL,
         predictionCol="prediction",
-        numTrees=fixed.FOREST_TREES,
-        maxDepth=fixed.FOREST_DEPTH,
+        numTrees=trees,
+        maxDepth=depth,
+        bootstrap=bootstrap,
         seed=seed,
     )
-    return _scaled(fixed.LONGEVITY_FEATURES, forest).fit(rows)
+    return _scaled(columns, forest).fit(rows)
 
 
 def silhouette(assigned: DataFrame) -> float:
-    """Mean silhouette of rows with a cluster, by squared distance of the scaled features."""
+    """Mean silhouette of rows (scaledFeatures, cluster) by squared distance; the clusters may come from anywhere."""
     return ClusteringEvaluator(predictionCol="cluster", featuresCol="scaledFeatures").evaluate(assigned)
 
 
@@ -192,6 +201,13 @@ def text_weights(rows: DataFrame, text: str, output: str, buckets: int) -> DataF
     return model.transform(filled).select(*rows.columns, output)
 
 
+def bucket_weights(weighted: DataFrame, weights: str) -> DataFrame:
+    """The other columns of weighted, with one row (bucket, weight) for each bucket that weighs anything."""
+    others = [name for name in weighted.columns if name != weights]
+    entries = weighted.select(*others, F.posexplode(vector_to_array(weights)).alias("bucket", "weight"))
+    return entries.where("weight != 0")
+
+
 def title_weights(rows: DataFrame) -> DataFrame:
     return text_weights(rows, "title", "title_tfidf", fixed.TITLE_HASH_BUCKETS)
 

@@ -68,17 +68,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
-    """A function that cuts lineage as cut_lineage does; what it has written is deleted at the end."""
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A new path below the shared folder; what has been written there is deleted at the end."""
     folder = f"{shared_folder(spark)}/hitparade/{uuid.uuid4()}"
-
-    def cut(df: DataFrame) -> DataFrame:
-        path = f"{folder}/{uuid.uuid4()}"
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-
     try:
-        yield cut
+        yield folder
     finally:
         system, path = file_system(spark, folder)
         system.delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that cuts lineage as cut_lineage does; what it has written is deleted at the end."""
+    with scratch_folder(spark) as folder:
+
+        def cut(df: DataFrame) -> DataFrame:
+            path = f"{folder}/{uuid.uuid4()}"
+            df.write.parquet(path)
+            return spark.read.schema(df.schema).parquet(path)
+
+        yield cut

@@ -1,10 +1,13 @@
 """The test tables in the shape of the engine's inputs."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitparade.operators.cleaning import clean
 from hitparade.schemas import RAW_SNAPSHOT
+from hitparade.session import file_system
 from hitparade.sources.categories import category_names
 from hitparade.sources.snapshots import load_filter
 
@@ -101,6 +104,47 @@ def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(loaded(spark, sf_dir))
 
 
+def awkward(rows: DataFrame) -> DataFrame:
+    """Observations with quotes, commas and line breaks in their texts."""
+    case = lambda n: F.col("l_orderkey") % 11 == n
+    texts = {
+        "title": F.when(case(0), F.concat(F.lit('"'), "title", F.lit('", said'))).when(case(1), F.replace("title", F.lit(" "), F.lit(",  "))),
+        "description": F.when(case(2), F.concat("description", F.lit('\nand "more",\n\n, of it')))
+        .when(case(3), F.concat(F.lit('\n"'), "description"))
+        .when(case(4), F.lit('""'))
+        .when(case(5), F.lit(" , ")),
+        "channel_title": F.when(case(6), F.concat("channel_title", F.lit('"\n'))),
+    }
+    return rows.withColumns({name: F.coalesce(text, F.col(name)) for name, text in texts.items()})
+
+
+def write_csv(rows: DataFrame, folder: str) -> str:
+    """Observations as {country}videos.csv files with headers, several for a country; gives the pattern of their paths."""
+    spark = rows.sparkSession
+    written = f"{folder}/written"
+    rows.write.partitionBy("country").csv(written, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return _renamed(spark, written, folder, "*/*.csv", lambda country: f"{country}videos.csv", lambda path: path.getParent().getName().partition("=")[2])
+
+
+def write_category_files(files: DataFrame, folder: str) -> str:
+    """Rows (file, items) as one JSON file each; gives their folder."""
+    spark = files.sparkSession
+    text = F.to_json(F.struct("items")).alias("value")
+    files.select(text, "file").write.partitionBy("file").text(f"{folder}/written")
+    pattern = _renamed(spark, f"{folder}/written", folder, "*/*.txt", lambda name: name, lambda path: path.getParent().getName().partition("=")[2])
+    return pattern.rsplit("/", 1)[0]
+
+
+def _renamed(spark, written: str, folder: str, pattern: str, name, key) -> str:
+    """Spark's part files under the names that the readers look for, in a folder for each part."""
+    system, source = file_system(spark, f"{written}/{pattern}")
+    for number, status in enumerate(system.globStatus(source)):
+        target = file_system(spark, f"{folder}/files/{number}/{name(unquote(key(status.getPath())))}")[1]
+        system.mkdirs(target.getParent())
+        system.rename(status.getPath(), target)
+    return f"{folder}/files/*/{name('*')}"
+
+
 def daily_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as videos trending on a day, with the event type as country."""
     unknown = F.lit(None).cast("bigint")

@@ -1,16 +1,21 @@
 """SQL for the registered queries, to run on the same tables."""
 
 from hitparade import fixed
-from workload.queries import AS_OF, CATEGORY, COUNTRY, DATE, PAGE
+from workload.queries import AS_OF, CATEGORY, COUNTRY, DATE, PAGE, STUMP
 
 
 def _listed(words) -> str:
     return ", ".join("'{}'".format(word.replace("'", "''")) for word in words)
 
 
+def _tokens(text: str) -> str:
+    """Tokens of a text: split at each white space, blanks at the end left out."""
+    return f"string_split_regex(regexp_replace(lower(coalesce({text}, '')), '\\s+$', ''), '\\s')"
+
+
 def _kept(text: str) -> str:
-    """Tokens of a text that are no stop words: split at each white space, blanks at the end left out."""
-    tokens = f"string_split_regex(regexp_replace(lower(coalesce({text}, '')), '\\s+$', ''), '\\s')"
+    """How many tokens of a text are no stop words, twice."""
+    tokens = _tokens(text)
     kept = f"len(list_filter({tokens}, lambda w: w NOT IN ({_listed(fixed.ENGLISH_STOP_WORDS)})))"
     return f"{kept} AS kept, CAST({kept} AS DOUBLE) AS counted"
 
@@ -232,6 +237,82 @@ QUALITY += [("negative_count", f"'{name}'", f"count(*) FILTER ({name} < 0)") for
 
 DUPLICATES = "SELECT count(*) AS n FROM (SELECT video_id FROM loaded GROUP BY video_id HAVING count(*) > 1)"
 
+# The 32-bit murmur hash of a word's bytes, with the seed 42, as the text weights use it.
+_MASK = "4294967295::UBIGINT"
+
+
+def _times(value: str, factor: int) -> str:
+    return f"((({value}) * {factor}::UBIGINT) & {_MASK})"
+
+
+def _turned(value: str, bits: int) -> str:
+    return f"((({value}) << {bits}) | (({value}) >> {32 - bits})) & {_MASK}"
+
+
+_MURMUR = f"""hashed_words AS (
+  SELECT word, n, list_transform(range(0, n), lambda i: CAST('0x' || substr(hex(word), 2 * i + 1, 2) AS UBIGINT)) AS b
+  FROM (SELECT word, CAST(strlen(word) AS BIGINT) AS n FROM (SELECT DISTINCT word FROM tokens))
+), parts AS (
+  SELECT word, n, list_transform(range(0, (n + 3) // 4), lambda i: b[4 * i + 1] + coalesce(b[4 * i + 2], 0) * 256::UBIGINT
+      + coalesce(b[4 * i + 3], 0) * 65536::UBIGINT + coalesce(b[4 * i + 4], 0) * 16777216::UBIGINT) AS k FROM hashed_words
+), once AS (
+  SELECT word, n, list_transform(k, lambda x: {_times("x", 0xCC9E2D51)}) AS k FROM parts
+), mixed AS (
+  SELECT word, n, list_transform(k, lambda x: {_times(_turned("x", 15), 0x1B873593)}) AS k FROM once
+), whole AS (
+  SELECT word, n, list_reduce(list_prepend(42::UBIGINT, k[: n // 4]),
+      lambda h, x: (({_turned("xor(h, x)", 13)}) * 5::UBIGINT + {0xE6546B64}::UBIGINT) & {_MASK}) AS h,
+    CASE WHEN n % 4 > 0 THEN k[-1] ELSE 0::UBIGINT END AS rest FROM mixed
+), closed AS (
+  SELECT word, xor(xor(h, rest), CAST(n AS UBIGINT)) AS h FROM whole
+), first AS (
+  SELECT word, {_times("xor(h, h >> 16)", 0x85EBCA6B)} AS h FROM closed
+), second AS (
+  SELECT word, {_times("xor(h, h >> 13)", 0xC2B2AE35)} AS h FROM first
+), signed AS (
+  SELECT word, CASE WHEN h >= 2147483648 THEN CAST(h AS BIGINT) - 4294967296 ELSE CAST(h AS BIGINT) END AS h
+  FROM (SELECT word, xor(h, h >> 16) AS h FROM second)
+)"""
+
+
+def _weights(key: str, rows: str, text: str, buckets: int) -> str:
+    """WITH parts and a query for the weights of the buckets of rows (key and text)."""
+    return f"""texts AS ({rows}), tokens AS (
+  SELECT {key}, word FROM (SELECT {key}, unnest({_tokens(text)}) AS word FROM texts)
+  WHERE word NOT IN ({_listed(fixed.ENGLISH_STOP_WORDS)})
+), {_MURMUR}, counted AS (
+  SELECT {key}, CAST((h % {buckets} + {buckets}) % {buckets} AS INTEGER) AS bucket, count(*) AS times
+  FROM tokens JOIN signed USING (word) GROUP BY ALL
+)
+SELECT {key}, bucket,
+  round(times * ln(((SELECT count(*) FROM texts) + 1) / (count(*) OVER (PARTITION BY bucket) + 1)), 9) AS weight
+FROM counted QUALIFY weight <> 0"""
+
+
+_STUMP_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, {i} AS place, CAST({name} AS DOUBLE) AS value, days_in_trending AS y FROM longevity"
+    for i, name in enumerate(STUMP)
+)
+#: The split that leaves the least variance; values between two that occur go to the nearer one.
+_STUMP = f""", stump_rows AS ({_STUMP_ROWS}), cuts AS (
+  SELECT feature, place, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS next
+  FROM (SELECT DISTINCT feature, place, value FROM stump_rows)
+), splits AS (
+  SELECT c.feature, c.place, (c.value + c.next) / 2 AS threshold, avg(y) FILTER (r.value <= c.value) AS below,
+    avg(y) FILTER (r.value > c.value) AS above,
+    coalesce(var_pop(y) FILTER (r.value <= c.value), 0) * count(*) FILTER (r.value <= c.value)
+      + coalesce(var_pop(y) FILTER (r.value > c.value), 0) * count(*) FILTER (r.value > c.value) AS spread
+  FROM cuts AS c JOIN stump_rows AS r USING (feature) WHERE c.next IS NOT NULL GROUP BY ALL
+), best AS (
+  SELECT feature, threshold, below, above FROM splits ORDER BY spread, place, threshold LIMIT 1
+)
+"""
+
+_AWKWARD = """title: CASE l_orderkey % 11 WHEN 0 THEN '"' || title || '", said' WHEN 1 THEN replace(title, ' ', ',  ') END
+description: CASE l_orderkey % 11 WHEN 2 THEN description || chr(10) || 'and "more",' || chr(10) || chr(10) || ', of it' WHEN 3 THEN chr(10) || '"' || description WHEN 4 THEN '""' WHEN 5 THEN ' , ' END
+channel_title: CASE l_orderkey % 11 WHEN 6 THEN channel_title || '"' || chr(10) END"""
+_AWKWARD = ", ".join("coalesce({1}, {0}) AS {0}".format(*line.split(": ", 1)) for line in _AWKWARD.split("\n"))
+
 _BODIES = {
     "scan_observations": f"SELECT {RAW_COLUMNS} FROM obs",
     "load_observations": "SELECT * FROM loaded",
@@ -343,6 +424,40 @@ _BODIES = {
       round(ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)), 9) AS idf
       FROM (SELECT unnest(list_distinct(string_split_regex(lower(text), '\\s'))) AS term FROM documents)
       WHERE term <> '' AND term NOT IN ({_listed(fixed.ENGLISH_STOP_WORDS)}) GROUP BY term""",
+    "csv_round_trip": f"SELECT * EXCLUDE (l_orderkey, l_linenumber) REPLACE ({_AWKWARD}, nullif(tags, '') AS tags) FROM obs",
+    "category_round_trip": """SELECT 'US' AS country, CAST(n_nationkey AS VARCHAR) AS category_id, n_name AS category_name
+      FROM nation UNION ALL SELECT 'CA', CAST(r_regionkey AS VARCHAR), r_name FROM region""",
+    "batch_by_days": """SELECT country, strftime(trending_date_parsed, '%Y-%m-%d') AS date, count(*) AS total_videos,
+      max(views) AS max_views, CAST(sum(views) AS BIGINT) AS total_views, CAST(coalesce(sum(likes), 0) AS BIGINT) AS total_likes,
+      CAST(sum(comment_count) AS BIGINT) AS total_comments
+      FROM (SELECT country, trending_date_parsed, views + CASE WHEN year(trending_date_parsed) >= 2015 THEN 1 ELSE 0 END AS views,
+          CASE WHEN likes < 0 THEN 0 ELSE likes END AS likes, comment_count
+        FROM (SELECT *, CAST(try_strptime(trending_date, '%y.%d.%m') AS DATE) AS trending_date_parsed FROM obs
+          WHERE title IS NOT NULL))
+      WHERE views >= 0 GROUP BY ALL""",
+    "cluster_points": f"""SELECT category_id % {fixed.CLUSTERS} AS point, CAST(1 AS BIGINT) AS points, count(*) AS rows
+      FROM features GROUP BY ALL""",
+    "stump_days": f"""{_STUMP} SELECT video_id, country, views, publish_hour,
+        round(greatest(0, CASE WHEN CASE feature WHEN 'publish_hour' THEN publish_hour
+            WHEN 'tag_count' THEN CASE WHEN tags = '' THEN 0 ELSE len(string_split(tags, '|')) END
+            ELSE CASE WHEN days IS NULL THEN 2 ELSE {_age_bucket("days")} END END <= threshold THEN below ELSE above END), 2)
+          AS predicted_days, 'high' AS confidence, 'spark_mllib' AS days_method
+      FROM scoring, best""",
+    "stump_importance": f"""{_STUMP} SELECT name AS feature, CASE WHEN name = feature THEN 1e0 ELSE 0e0 END AS importance,
+        CAST(row_number() OVER (ORDER BY name = feature DESC, name) AS INTEGER) AS rank
+      FROM (SELECT unnest([{_listed(STUMP)}]) AS name), best QUALIFY rank <= 2""",
+    "label_silhouette": """WITH pairs AS (
+        SELECT x.vec_id, x.label AS own, y.label, count(*) AS n,
+          sum(list_inner_product(x.v, x.v) + list_inner_product(y.v, y.v) - 2 * list_inner_product(x.v, y.v)) AS total
+        FROM (SELECT vec_id, label, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS v FROM embeddings) AS x,
+          (SELECT label, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS v FROM embeddings) AS y
+        GROUP BY ALL
+      ), scores AS (
+        SELECT vec_id, max(total / (n - 1)) FILTER (label = own AND n > 1) AS inner_, min(total / n) FILTER (label <> own) AS outer_
+        FROM pairs GROUP BY ALL)
+      SELECT round(avg(coalesce((outer_ - inner_) / greatest(outer_, inner_), 0)), 6) AS silhouette_score FROM scores""",
+    "description_weights": "WITH " + _weights("doc_id", "SELECT doc_id, text FROM documents", "text", fixed.DESCRIPTION_HASH_BUCKETS),
+    "title_weights": ", " + _weights("title", "SELECT DISTINCT title FROM clean", "title", fixed.TITLE_HASH_BUCKETS),
     "description_counts": f"SELECT doc_id, {_kept('text')} FROM documents",
     "title_counts": f"SELECT video_id, country, trending_date, title, {_kept('title')} FROM clean",
     "cluster_assign_inputs": """SELECT * REPLACE (round(log_views, 9) AS log_views, round(log_likes, 9) AS log_likes,
@@ -400,6 +515,8 @@ _BODIES = {
     + " ELSE 'Cluster ' || label END AS cluster_type FROM embeddings",
 }
 
-STANDALONE = ("url_video_id", "cluster_names")
+_BODIES["listing_page_by_key"] = _BODIES["listing_page"]
+
+STANDALONE = ("url_video_id", "cluster_names", "label_silhouette", "description_weights", "category_round_trip")
 
 ORACLE = {name: body if name in STANDALONE else COMMON + body for name, body in _BODIES.items()}

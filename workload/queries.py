@@ -2,16 +2,21 @@
 
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitparade import fixed
 from hitparade.functions.texts import link_video_id
 from hitparade.operators import cleaning, features, listing, lookups, scoring, statistics, training, trends, words
+from hitparade.plans.batch import run_batch, run_days
 from hitparade.plans.training import Trained, inputs, train
-from hitparade.session import cut_lineage
-from hitparade.sinks.tables import normalised
+from hitparade.schemas import RAW_SNAPSHOT
+from hitparade.session import cut_lineage, scratch, scratch_folder
+from hitparade.sinks.tables import normalised, save_model
 from hitparade.sources import results, snapshots
+from hitparade.sources.categories import read_categories
 from workload import adapters as a
 
 QUERIES = {}
@@ -70,6 +75,34 @@ def category_dim(spark, sf_dir):
     return a.names(spark, sf_dir)
 
 
+@query
+def csv_round_trip(spark, sf_dir):
+    """Observations with awkward texts, written as CSV files and read as the batch reads them; empty texts come back as nulls."""
+    with scratch_folder(spark) as folder, scratch(spark) as cut:
+        pattern = a.write_csv(a.awkward(a.observations(spark, sf_dir)).select(*RAW_SNAPSHOT.names, "country"), folder)
+        return cut_lineage(snapshots.read_snapshots(spark, pattern, cut))
+
+
+@query
+def category_round_trip(spark, sf_dir):
+    """Dictionaries written as JSON files and read as the batch reads them."""
+    with scratch_folder(spark) as folder:
+        return cut_lineage(read_categories(spark, a.write_category_files(a.category_files(spark, sf_dir), folder)))
+
+
+@query
+def batch_by_days(spark, sf_dir):
+    """Totals of each country and day, after a first load of early years and a second one of later years and of one anew."""
+    rows = a.observations(spark, sf_dir).select(*RAW_SNAPSHOT.names, "country")
+    year = F.substring("trending_date", 1, 2).cast("int")
+    with scratch_folder(spark) as folder:
+        root = f"{folder}/tables"
+        run_batch(spark, a.write_csv(rows.where(year < 16), f"{folder}/first"), root)
+        later = rows.where(year >= 15).withColumn("views", F.col("views") + 1)
+        run_days(spark, a.write_csv(later, f"{folder}/second"), root)
+        return cut_lineage(results.read_table(spark, root, "day_totals"))
+
+
 @query
 def quality_report(spark, sf_dir):
     return cleaning.quality_report(a.loaded(spark, sf_dir))
@@ -200,6 +233,14 @@ def listing_page(spark, sf_dir):
     return listing.page(listed(spark, sf_dir), PAGE)
 
 
+@query
+def listing_page_by_key(spark, sf_dir):
+    """The page after the last row of the page before, with a stored listing."""
+    rows = cut_lineage(listed(spark, sf_dir))
+    last = listing.page(rows, PAGE - 1).tail(1)[0]
+    return listing.page_after(rows, listing.page_key(last))
+
+
 @query
 def listing_pages(spark, sf_dir):
     return listing.page_count(listed(spark, sf_dir))
@@ -484,6 +525,69 @@ def score_both(spark, sf_dir):
     return scoring.score_both(requests(spark, sf_dir), models.longevity, models.clustering).drop("tag_list")
 
 
+# Fits that come out the same for any seed.
+
+
+@query
+def cluster_points(spark, sf_dir):
+    """Clusters of as many distinct points, each repeated: the point of a cluster, how many it has, and its rows."""
+    group = F.col("category_id") % fixed.CLUSTERS
+    features = training.cluster_features(feature_rows(spark, sf_dir)).select(group.alias("point"))
+    columns = {name: F.when(F.col("point") == i % fixed.CLUSTERS, i + 1.0).otherwise(0.0) for i, name in enumerate(fixed.CLUSTER_FEATURES)}
+    rows = cut_lineage(features.withColumns(columns))
+    assigned = training.fit_clusters(rows).transform(rows)
+    found = assigned.groupBy("cluster").agg(F.min("point").alias("point"), F.count_distinct("point").alias("points"), F.count("*").alias("rows"))
+    return found.drop("cluster")
+
+
+STUMP = ("publish_hour", "tag_count", "video_age_proxy")
+
+
+def _stump(spark: SparkSession, sf_dir: str, root: str) -> PipelineModel:
+    """One split of one tree, on inputs of few values, saved and loaded."""
+    rows = cut_lineage(training.longevity_features(feature_rows(spark, sf_dir)))
+    save_model(training.fit_longevity(rows, columns=STUMP, trees=1, depth=1, bootstrap=False), root, "days_regression")
+    return results.load_models(root)["days_regression"]
+
+
+@query
+def stump_days(spark, sf_dir):
+    with scratch_folder(spark) as root:
+        scored = scoring.score_days(requests(spark, sf_dir), _stump(spark, sf_dir, root))
+        return cut_lineage(scored.select("video_id", "country", "views", "publish_hour", "predicted_days", "confidence", "days_method"))
+
+
+@query
+def stump_importance(spark, sf_dir):
+    """The two most important inputs, in order."""
+    with scratch_folder(spark) as root:
+        ranked = training.feature_importance(_stump(spark, sf_dir, root), 2)
+    rank = F.row_number().over(Window.partitionBy().orderBy(F.col("importance").desc(), "feature"))
+    return ranked.withColumn("rank", rank)
+
+
+@query
+def label_silhouette(spark, sf_dir):
+    """The silhouette of embeddings under their given labels."""
+    rows = a.table(spark, sf_dir, "embeddings")
+    assigned = rows.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("scaledFeatures"), F.col("label").alias("cluster"))
+    return rounded(spark.createDataFrame([(training.silhouette(assigned),)], "silhouette_score double"), 6, "silhouette_score")
+
+
+@query
+def description_weights(spark, sf_dir):
+    """The weight of every bucket that a description fills."""
+    weighted = training.description_weights(descriptions(spark, sf_dir)).drop("description")
+    return rounded(training.bucket_weights(weighted, "desc_tfidf"), 9, "weight")
+
+
+@query
+def title_weights(spark, sf_dir):
+    """The weight of every bucket that a distinct title fills, among distinct titles."""
+    titles = a.cleaned(spark, sf_dir).select("title").distinct()
+    return rounded(training.bucket_weights(training.title_weights(titles), "title_tfidf"), 9, "weight")
+
+
 # What does not depend on the fit, in the results of the queries above.
 
 
