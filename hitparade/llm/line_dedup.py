@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from hitparade.llm import words
 from hitparade.llm.spans import without
+from hitparade.llm.stored import stored
 
-UNITS = "doc_id long, text_hash long, unit int, place int, before int, start int, end int, n_words int, digest binary"
-KINDS = (pa.int64(), pa.int64(), *[pa.int32()] * 6, pa.binary())
+UNITS = "doc_id long, text_hash long, unit int, place int, start int, end int, n_words int, digest binary"
+KINDS = (pa.int64(), pa.int64(), *[pa.int32()] * 5, pa.binary())
 #: A sentence ends with its mark before white space, or with its line.
 SENTENCES = re.compile("(?<=[.!?])(?=[ \t\x0b\x0c\r])")
 #: Sentences that repeat one after the other are listed from so many words on: fewer are found in clean texts by chance.
@@ -24,14 +25,14 @@ def _units(separator: str, min_words: int, sentences: bool):
         for batch in words.slices(batches):
             rows: list[tuple] = []
             for doc_id, text_hash, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_hash", "text"))):
-                start = number = place = before = 0
+                start = number = place = 0
                 for part in (text or "").split(separator):
                     for unit in SENTENCES.split(part) if sentences else (part,):
                         own = unit.encode().lower().split()
                         if len(own) >= min_words:
                             digest = hashlib.blake2b(b" ".join(own), digest_size=16).digest()
-                            rows.append((doc_id, text_hash, number, place, before, start, start + len(unit), len(own), digest))
-                            place, before = place + 1, before + len(own)
+                            rows.append((doc_id, text_hash, number, place, start, start + len(unit), len(own), digest))
+                            place += 1
                         start, number = start + len(unit), number + 1
                     start += len(separator)
             columns = zip(*rows) if rows else [[]] * len(KINDS)
@@ -60,18 +61,19 @@ def repeated(found: DataFrame, min_run: int = 1) -> DataFrame:
     shuffled, and only narrow rows move; a digest's units never meet in one task but where adaptive execution may split them.
     """
     order = F.struct("doc_id", "text_hash", "start")
-    first = found.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("last"))
+    first = found.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # Stored, so that a hot digest stands in a plain join of two shuffles, which adaptive execution splits.
+    first = stored(first, "first-units")
     own = "doc_id", "text_hash", "unit", "start", "end", "n_words"
     kept = F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start")
-    joined = found.join(first.where("first != last"), "digest").where(order != F.col("first"))
-    if min_run <= 1:
-        return joined.select(*own, *kept).distinct()
-    joined = joined.select(*own, *kept, "place", "before").distinct()
-    in_text = Window.partitionBy("doc_id", "text_hash")
-    joined = joined.withColumn("run", F.col("place") - F.row_number().over(in_text.orderBy("place")))
-    in_run = Window.partitionBy("doc_id", "text_hash", "run")
-    size = F.max(F.col("before") + F.col("n_words")).over(in_run) - F.min("before").over(in_run)
-    return joined.withColumn("size", size).where(F.col("size") >= min_run).select(*own, "kept_doc_id", "kept_start")
+    joined = found.join(first, "digest").where(order != F.col("first")).select(*own, *kept, "place")
+    joined = joined.repartition("doc_id", "text_hash").distinct()
+    if min_run > 1:
+        in_text = Window.partitionBy("doc_id", "text_hash")
+        joined = joined.withColumn("run", F.col("place") - F.row_number().over(in_text.orderBy("place")))
+        size = F.sum("n_words").over(Window.partitionBy("doc_id", "text_hash", "run"))
+        joined = joined.withColumn("size", size).where(F.col("size") >= min_run)
+    return joined.select(*own, "kept_doc_id", "kept_start")
 
 
 def passages(documents: DataFrame, min_run: int = PASSAGE) -> DataFrame:
