@@ -91,11 +91,31 @@ class Template:
         text = b" %s " % b" ".join(found) if self.barred else b""
         return not any(phrase in text for phrase in self.barred)
 
-    def _possible(self, window: list[bytes]) -> bool:
-        """False where the window's words, in whatever order, can't cover the template."""
-        if 100 * len(window) < COVERAGE * len(self.words) or not self.needed.issubset(window):
+    def possible(self, counts: Counter) -> bool:
+        """False where a text's words, in whatever order, can't cover the template."""
+        if any(word not in counts for word in self.needed):
             return False
-        return 100 * (Counter(self.words) & Counter(window)).total() >= COVERAGE * len(self.words)
+        return 100 * sum(min(n, counts[word]) for word, n in Counter(self.words).items()) >= COVERAGE * len(self.words)
+
+    def _aligned(self, text: list[bytes], start: int, least: int) -> tuple[int, list[tuple[int, int]]]:
+        """The alignment around a place, and where its window begins. The window holds a fifth more than the template on both
+        sides. Where outer words of the template are missing, it goes on beyond the aligned ones by that fifth, as long as
+        that aligns more, so words put in between lose none but where a fifth of the template's length has none of its own."""
+        n = len(self.words)
+        slack = max(3, n // 5)
+        low, high = max(least, start - slack), min(len(text), start + n + slack)
+        pairs = align(list(self.words), text[low:high])
+        while pairs:
+            # Outer words that are not aligned yet may lie beyond the window.
+            wide = max(least, min(low, low + pairs[0][1] - slack)) if pairs[0][0] else low
+            far = min(len(text), max(high, low + pairs[-1][1] + 1 + slack)) if pairs[-1][0] < n - 1 else high
+            if (wide, far) == (low, high):
+                break
+            more = align(list(self.words), text[wide:far])
+            if len(more) <= len(pairs):
+                break
+            low, high, pairs = wide, far, more
+        return low, pairs
 
     def matches(self, text: list[bytes], places: dict[bytes, list[int]]) -> list[tuple[int, int, int]]:
         """First and last word and aligned words of each match in a text; places has the places of signal words."""
@@ -104,14 +124,11 @@ class Template:
         for start in sorted({p - k for k in self.signals for p in places.get(self.words[k], ())}):
             if found and start + slack <= found[-1][1]:
                 continue
-            low = max(0, start - slack, found[-1][1] + 1 if found else 0)
-            window = text[low : start + n + slack]
-            if not self._possible(window):
-                continue
-            pairs = align(list(self.words), window)
+            low, pairs = self._aligned(text, start, found[-1][1] + 1 if found else 0)
             if 100 * len(pairs) >= COVERAGE * n and self.needed <= {self.words[i] for i, _ in pairs}:
-                if self._allowed(window[pairs[0][1] : pairs[-1][1] + 1]):
-                    found.append((low + pairs[0][1], low + pairs[-1][1], len(pairs)))
+                first, last = low + pairs[0][1], low + pairs[-1][1]
+                if self._allowed(text[first : last + 1]):
+                    found.append((first, last, len(pairs)))
         return found
 
 
@@ -128,7 +145,8 @@ def found_in(text: list[bytes], reserved: bool = False) -> list[tuple[str, int,
     for i, word in enumerate(text):
         if word in signals:
             places.setdefault(word, []).append(i)
-    every = [(t.name, *m, len(t.words)) for t in templates(reserved) for m in t.matches(text, places)]
+    counts = Counter(text) if places else Counter()
+    every = [(t.name, *m, len(t.words)) for t in templates(reserved) if t.possible(counts) for m in t.matches(text, places)]
     kept: list[tuple[str, int, int, int, int]] = []
     for match in sorted(every, key=lambda m: (-m[3], -m[3] / m[4], m[0], m[1])):
         if all(match[2] < other[1] or match[1] > other[2] for other in kept):
@@ -162,8 +180,8 @@ def scan(documents: DataFrame, reserved: bool = False) -> DataFrame:
     """Every license found: doc_id, license, start and end in code points, aligned words, words of the template, coverage.
 
     Whole texts are scanned where they lie, without a shuffle. A text without a signal word of a template cannot cover it;
-    around each signal word the template is aligned with as many words as it has and a fifth more to both sides. Null and
-    empty texts have no license; rows that repeat each give their own. reserved lists 'All rights reserved' and its like too.
+    around each signal word the template is aligned with as many words as it has and a fifth more to both sides, and further
+    as long as that aligns more of it. Null and empty texts have no license; rows that repeat each give their own. reserved lists 'All rights reserved' and its like too.
     """
     chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return chosen.mapInArrow(_scan(reserved), MATCHES)

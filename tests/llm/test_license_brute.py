@@ -46,9 +46,19 @@ def expected(text, reserved):
         for start in sorted({i - k for i, word in enumerate(text) for k in t.signals if word == t.words[k]}):
             if own and start + slack <= own[-1][1]:
                 continue
-            low = max(0, start - slack, own[-1][1] + 1 if own else 0)
-            window = text[low : start + n + slack]
-            pairs = aligned(list(t.words), window)
+            least = own[-1][1] + 1 if own else 0
+            low, high = max(least, start - slack), min(len(text), start + n + slack)
+            pairs, before = aligned(list(t.words), text[low:high]), -1
+            while len(pairs) > before and pairs:
+                kept, before = (low, high, pairs), len(pairs)
+                if pairs[-1][0] < n - 1:
+                    high = min(len(text), max(high, kept[0] + pairs[-1][1] + 1 + slack))
+                if pairs[0][0]:
+                    low = max(least, min(low, kept[0] + pairs[0][1] - slack))
+                pairs = aligned(list(t.words), text[low:high])
+            if before > 0:
+                low, high, pairs = kept
+            window = text[low:high]
             if 100 * len(pairs) < license_scan.COVERAGE * n or not t.needed <= {t.words[i] for i, _ in pairs}:
                 continue
             first, last = pairs[0][1], pairs[-1][1]
@@ -81,3 +91,16 @@ def test_templates_with_changes(name):
         text = [b"before", b"it", *(x for i, w in enumerate(text) for x in ([w, b"more"] if i % 13 == 5 else [w])), b"after"]
         found = license_scan.found_in(text)
         assert {(m[0], m[3]) for m in found} == {(m[0], m[3]) for m in expected(text, False)}
+
+
+@pytest.mark.parametrize("every, more", [(1, 1), (3, 2), (2, 3)])
+def test_words_put_in_between_lose_no_match(every, more):
+    """A match reaches from the first word of a template to the last, however many others stand between them. Of its words
+    only some that have no unique one between two anchors are not aligned."""
+    for t in (t for t in license_scan.templates() if t.name in ("MIT", "ISC", "BSD-2-Clause", "Apache-2.0")):
+        text = [b"head", b"line"]
+        for i, word in enumerate(t.words):
+            text += [word, *(b"x%d" % (i * more + k) for k in range(more if i % every == 0 else 0))]
+        (best, *_) = sorted((m for m in license_scan.found_in([*text, b"tail"]) if m[0] == t.name), key=lambda m: -m[3])
+        last = len(text) - 1 - (more if (len(t.words) - 1) % every == 0 else 0)
+        assert best[1:3] == (2, last) and best[3] >= 0.95 * len(t.words)
