@@ -28,6 +28,9 @@ LENGTH = 50
 SPREAD = 30
 GRAM = 8
 
+#: Bytes of text worked on at a time: a word takes some 150 bytes on the way.
+SLICE_BYTES = 2 << 20
+
 SUFFIXES = "doc_id long, prefix long, place int, whole binary, text_hash long, n_words int, n_chars int"
 NEIGHBOURS = "doc_id long, text_hash long, prefix long, place int, open boolean"
 RUNS = "doc_id long, text_hash long, first int, n int, start int, end int, high long, low int, windows binary, chars binary"
@@ -64,7 +67,7 @@ def _suffixes(length: int, spread: int):
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = length - spread + 1
         schema = pa.schema([("doc_id", pa.int64()), ("prefix", pa.int64()), ("place", pa.int32()), ("whole", pa.binary()), ("text_hash", pa.int64()), ("n_words", pa.int32()), ("n_chars", pa.int32())])
-        for batch in words.slices(batches):
+        for batch in words.slices(batches, SLICE_BYTES):
             doc_ids, texts = batch.column("doc_id"), batch.column("text")
             word_hashes, offsets = _hashed(texts)
             _, place = _minimisers(word_hashes, offsets, length, spread)
@@ -129,7 +132,7 @@ def _shared(suffixes: DataFrame) -> DataFrame:
 
 def _runs(length: int, spread: int):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches):
+        for batch in words.slices(batches, SLICE_BYTES):
             doc_ids, texts, places = (batch.column(c) for c in ("doc_id", "text", "places"))
             word_hashes, offsets = _hashed(texts)
             first, place = _minimisers(word_hashes, offsets, length, spread)
