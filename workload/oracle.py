@@ -515,6 +515,13 @@ _BODIES = {
     + " ELSE 'Cluster ' || label END AS cluster_type FROM embeddings",
 }
 
+_BODIES["model_defaults"] = """SELECT video_id, country, trending_date, engagement_score, CAST(12 AS INTEGER) AS publish_hour,
+  CASE WHEN engagement_score > 0.1 THEN 1 ELSE 2 END AS video_age_proxy FROM features"""
+_BODIES["weights_without_text"] = """SELECT video_id, country, trending_date, 0e0 AS desc_tfidf
+  FROM clean, (SELECT unnest([1, 2]))"""
+_BODIES["metrics_round_trip"] = "SELECT *, '2018-01-01T00:00:00' AS training_timestamp, CAST(2 AS BIGINT) AS history_rows, CAST(2 AS BIGINT) AS runs FROM (" + _metrics(
+    f"SELECT days_in_trending AS y, round({HEURISTIC.format(v='greatest(CAST(views AS DOUBLE), 1e0)')}, 2) AS p FROM longevity", "days_in_trending"
+) + ")"
 _BODIES["listing_page_by_key"] = _BODIES["listing_page"]
 
 STANDALONE = ("url_video_id", "cluster_names", "label_silhouette", "description_weights", "category_round_trip")

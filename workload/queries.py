@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from hitparade import fixed
 from hitparade.functions.texts import link_video_id
 from hitparade.operators import cleaning, features, listing, lookups, scoring, statistics, training, trends, words
+from hitparade.plans import serving
 from hitparade.plans.batch import run_batch, run_days
 from hitparade.plans.training import Trained, inputs, train
 from hitparade.schemas import RAW_SNAPSHOT
 from hitparade.session import cut_lineage, scratch, scratch_folder
-from hitparade.sinks.tables import normalised, save_model
+from hitparade.sinks.tables import normalised, save_model, write_metrics
 from hitparade.sources import results, snapshots
 from hitparade.sources.categories import read_categories
 from workload import adapters as a
@@ -368,6 +369,22 @@ def cluster_features(spark, sf_dir):
     return rounded(rows, 9, "log_views", "log_likes", "log_comments")
 
 
+@query
+def model_defaults(spark, sf_dir):
+    """Features of an older table, which lacks the publish hour and the age bucket."""
+    older = feature_rows(spark, sf_dir).drop("publish_hour", "video_age_proxy")
+    rows = training.with_model_defaults(older)
+    return rows.select("video_id", "country", "trending_date", "engagement_score", "publish_hour", "video_age_proxy")
+
+
+@query
+def weights_without_text(spark, sf_dir):
+    """Rows without a description column, and rows with blank ones only, weigh nothing."""
+    rows = a.cleaned(spark, sf_dir).select("video_id", "country", "trending_date")
+    blank = rows.withColumn("description", F.when(F.col("country") == COUNTRY, ""))
+    return snapshots.union_sources(training.description_weights(rows), training.description_weights(blank).drop("description"))
+
+
 @query
 def longevity_label(spark, sf_dir):
     return training.longevity_label(feature_rows(spark, sf_dir))
@@ -433,6 +450,18 @@ def regression_metrics(spark, sf_dir):
     return rounded(both, 6, "rmse", "mae", "r2_score")
 
 
+@query
+def metrics_round_trip(spark, sf_dir):
+    """Metrics stored twice by one run and once by another: the latest, and how many rows their history has."""
+    rows = regression_metrics(spark, sf_dir).where(F.col("label") == fixed.LONGEVITY_LABEL)
+    with scratch_folder(spark) as root:
+        metrics = cut_lineage(rows.withColumn("training_timestamp", F.lit("2018-01-01T00:00:00")))
+        for run_id in ("first", "second", "second"):
+            write_metrics(metrics, root, run_id)
+        history = serving.metrics_history(spark, root).agg(F.count("*").alias("history_rows"), F.count_distinct("run_id").alias("runs"))
+        return cut_lineage(serving.metrics(spark, root).select("*", history.select(F.struct("*")).scalar().alias("h")).select("*", "h.*").drop("h"))
+
+
 # Scoring
 
 
