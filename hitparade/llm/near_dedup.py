@@ -31,6 +31,8 @@ MARGIN = 0.25
 #: Random places that an empty register tries to borrow from before it takes the next filled one.
 TRIES = 64
 
+#: Bytes of text worked on at a time: short texts have registers of many times their size.
+SLICE_BYTES = 2 << 20
 #: Rows of ids that are broadcast at most: about 10 MB.
 SENT_ROWS = 250_000
 
@@ -94,7 +96,7 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
 
 def _sketch(size: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches):
+        for batch in words.slices(batches, SLICE_BYTES):
             sets = list(shingle_sets(batch.column("text"), size))
             there = [i for i, own in enumerate(sets) if len(own)]
             keys: list[bytes | None] = [None] * len(sets)
@@ -195,7 +197,7 @@ def _texts(asked: DataFrame, documents: DataFrame) -> DataFrame:
 
 def _exploded(size: int):
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.slices(batches):
+        for batch in words.slices(batches, SLICE_BYTES):
             sets = list(shingle_sets(batch.column("text"), size))
             counts = np.array([len(own) for own in sets], np.int64)
             owner = pa.array(np.repeat(np.arange(len(sets)), counts))
