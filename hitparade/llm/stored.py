@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from hitparade.session import shared_folder
+from hitparade.session import delete_at_end, shared_folder
 
 
 def new_folder(spark, name: str) -> str:
@@ -13,7 +13,9 @@ def new_folder(spark, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Written and read back: later steps neither redo the work nor depend on executors that may be lost."""
+    """Written and read back: later steps neither redo the work nor depend on executors that may be lost. The table goes
+    when the application ends, as a returned DataFrame may read it until then."""
     path = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
+    delete_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
