@@ -217,7 +217,7 @@ def test_new_days_equal_a_full_run(spark, tmp_path):
     replaced = {r[:2] for r in SECOND if r[1] != "bad"}
     write_days(tmp_path / "all", [as_snapshot(*r) for r in FIRST if r[:2] not in replaced] + [as_snapshot(*r) for r in SECOND])
     root, full = str(tmp_path / "tables"), str(tmp_path / "full")
-    run_batch(spark, flat_directory(tmp_path / "first"), root)
+    run_days(spark, flat_directory(tmp_path / "first"), root)
     files = lambda: {p: p.stat().st_mtime_ns for p in Path(table_path(spark, root, "raw_videos")).rglob("*.parquet")}
     before = files()
     summary = run_days(spark, flat_directory(tmp_path / "second"), root)
