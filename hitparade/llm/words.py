@@ -21,9 +21,13 @@ def texts_of(batch: pa.RecordBatch) -> pa.Array:
 
 
 def slices(batches: Iterator[pa.RecordBatch], slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of the batches in runs of about slice_bytes of text; a longer text is a run of its own."""
+    """The rows of the batches in runs of about slice_bytes of text; a longer text is a run of its own.
+
+    At the end what Arrow holds unused goes back: a worker that waits for its next task should be small.
+    """
     for batch in batches:
         yield from runs(batch, pc.fill_null(pc.binary_length(texts_of(batch)), 0).to_numpy(zero_copy_only=False), slice_bytes)
+    pa.default_memory_pool().release_unused()
 
 
 def runs(batch: pa.RecordBatch, sizes: np.ndarray, slice_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
