@@ -32,7 +32,7 @@ GRAM = 8
 SLICE_BYTES = 2 << 20
 
 SUFFIXES = "doc_id long, prefix long, place int, whole binary, text_hash long, n_words int, n_chars int"
-NEIGHBOURS = "doc_id long, text_hash long, prefix long, place int, open boolean"
+NEIGHBOURS = "doc_id long, text_hash long, prefix long, place int, edge boolean, open boolean"
 RUNS = "doc_id long, text_hash long, first int, n int, start int, end int, high long, low int, windows binary, chars binary"
 WINDOWS = "doc_id long, text_hash long, place int, start int, end int, high long, low int"
 #: A window's two hashes, and its first and last place in code points, as they lie in the bytes of a run.
@@ -98,8 +98,8 @@ def _suffixes(length: int, spread: int):
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The suffixes of sorted batches that equal a neighbour in another text or place. Those that equal the first or the
-    last of a batch are open: their run may go on in the batch before or after."""
+    """The suffixes of sorted batches that equal a neighbour in another text or place. Runs that equal the first or the last
+    suffix of a batch lie at its edge and may go on in the batch before or after: those of one text and place are open."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -108,26 +108,26 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.r_[begins[1:], len(prefix)] - 1
         # Sorted, so a run is of one text and place only if its first and last are.
         keep = (text_hash[begins] != text_hash[ends]) | (place[begins] != place[ends])
-        open_ = np.zeros(len(begins), bool)
-        open_[[0, -1]] = True
-        sizes = ends - begins + 1
-        chosen = pa.array(np.repeat(keep | open_, sizes))
-        rows = batch.select(["doc_id", "text_hash", "prefix", "place"]).append_column("open", pa.array(np.repeat(open_, sizes)))
-        yield rows.filter(chosen)
+        edge = np.zeros(len(begins), bool)
+        edge[[0, -1]] = True
+        every = lambda flags: pa.array(np.repeat(flags, ends - begins + 1))
+        rows = batch.select(["doc_id", "text_hash", "prefix", "place"])
+        yield rows.append_column("edge", every(edge)).append_column("open", every(edge & ~keep)).filter(every(keep | edge))
 
 
 def _shared(suffixes: DataFrame) -> DataFrame:
     """The suffixes (doc_id, text_hash, prefix, place) whose words stand in another text or at another place, too.
 
     Suffixes are dealt out by ranges, so that those of a hot passage lie in several tasks, and each compares neighbours in
-    the order it has. Runs over a border, at most two for each batch, are put together by their first and last.
+    the order it has. What lies at the edges of batches is counted by prefix, and only open runs, at most two for each batch,
+    are looked up there.
     """
     order = "prefix", "text_hash", "place"
     found = suffixes.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours, NEIGHBOURS)
     found = stored(found, "neighbours")
-    at = F.struct("text_hash", "place")
-    across = found.where("open").groupBy("prefix").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first != last")
-    return found.where("not open").drop("open").unionByName(found.where("open").drop("open").join(across.select("prefix"), "prefix"))
+    at, own = F.struct("text_hash", "place"), ["doc_id", "text_hash", "prefix", "place"]
+    across = found.where("edge").groupBy("prefix").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first != last")
+    return found.where("not open").select(*own).unionByName(found.where("open").select(*own).join(across.select("prefix"), "prefix"))
 
 
 def _runs(length: int, spread: int):

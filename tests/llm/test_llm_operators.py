@@ -285,6 +285,24 @@ def test_suffix_dedup(spark, documents, edges, edge_rows, empty):
     assert left[10].split() == ["other", "tail", "and", "more"] and left[9] == edge_rows[11][1] and left[2] is None and left[3] == ""
 
 
+def test_runs_of_suffixes_over_the_edges_of_batches(spark):
+    """Whatever the batches, a suffix is shared if its prefix stands in another text or place; hot prefixes fill many."""
+    rnd = random.Random(4)
+    rows_ = [(i, i % 7, 5 if i < 60 else rnd.randint(6, 40) if i < 150 else 100 + i, i % 3) for i in range(200)] + [(900 + i, 3, 77, 1) for i in range(30)]
+    suffixes = spark.createDataFrame(rows_, "doc_id long, text_hash long, prefix long, place int")
+    places = {}
+    for _, text, prefix, place in rows_:
+        places.setdefault(prefix, set()).add((text, place))
+    expected = sorted((d, t, p, x) for d, t, p, x in rows_ if len(places[p]) > 1)
+    for size in (1, 2, 3, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found = suffix_dedup._shared(suffixes).select("doc_id", "text_hash", "prefix", "place")
+            assert sorted(map(tuple, found.collect())) == expected
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_suffix_dedup_finds_every_window(documents, seed):
     rnd = random.Random(seed)
