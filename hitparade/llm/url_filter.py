@@ -4,15 +4,15 @@ import string
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitparade.llm.stored import stored
 
-#: Rows that the trees are fitted on at most: those with the smallest hashes of their urls, as many of either label.
-SAMPLE_ROWS = 10_000
+#: Intervals of a feature at most, between quantiles of all urls; the trees split between these.
+INTERVALS = 32
 
 # Whole words of host names, between dots and hyphens, that label a url as unwanted, as block lists for
 # advertising, gambling, pharmacies, adult content and link farms have them.
@@ -96,10 +96,10 @@ def features(urls: DataFrame) -> DataFrame:
             "path_length": F.length(path),
             "host_depth": count(host, "."),
             "path_depth": count(path, "/"),
-            "digit_ratio": _ratio(url, string.digits),
-            "host_digit_ratio": _ratio(host, string.digits),
-            "entropy": _entropy(url),
-            "host_entropy": _entropy(host),
+            "digit_ratio": F.round(_ratio(url, string.digits), 3),
+            "host_digit_ratio": F.round(_ratio(host, string.digits), 3),
+            "entropy": F.round(_entropy(url), 2),
+            "host_entropy": F.round(_entropy(host), 2),
             "hyphens": count(host, "-"),
             "parameters": F.when(query == "", 0).otherwise(count(query, "&") + 1),
             "fragment": url.contains("#").cast("int"),
@@ -135,54 +135,60 @@ def labelled(urls: DataFrame, hosts: DataFrame | None = None) -> DataFrame:
 
 @dataclass
 class UrlModel:
-    """Fitted trees with the suffix statistics of their sample; constant where the sample has one label only."""
+    """Fitted trees with the suffix statistics and the intervals of all urls; constant where these have one label only."""
 
     trees: GBTClassificationModel | None
     suffixes: DataFrame
     constant: float
+    intervals: Bucketizer | None = None
 
     def _with_suffixes(self, rows: DataFrame) -> DataFrame:
-        # The statistics have at most SAMPLE_ROWS * 2 rows.
-        joined = rows.join(F.broadcast(self.suffixes), "suffix", "left")
-        return joined.na.fill({"suffix_rows": 0, "suffix_rate": 0.5})
+        return rows.join(self.suffixes, "suffix", "left").na.fill({"suffix_rows": 0, "suffix_rate": 0.5})
+
+    def _assembled(self, rows: DataFrame, *kept: str) -> DataFrame:
+        names = self.intervals.getOutputCols()
+        return VectorAssembler(inputCols=names, outputCol="features").transform(self.intervals.transform(rows)).select(*kept, "features")
 
     def score(self, urls: DataFrame) -> DataFrame:
         """The rows of urls (url, host, path and other columns) with the probability that a url is unwanted."""
         kept = urls.select(F.struct("*").alias("row"), "url", "host", "path")
         if self.trees is None:
             return kept.select("row.*", F.lit(self.constant).alias("probability"))
-        rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(self._with_suffixes(features(kept)))
-        scored = self.trees.transform(rows.select("row", "features"))
+        scored = self.trees.transform(self._assembled(self._with_suffixes(features(kept)), "row"))
         return scored.select("row.*", vector_to_array("probability")[1].alias("probability"))
 
 
-def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Distinct urls of either label with the smallest hashes, at most so many of each."""
-    distinct = labelled.select("url", "host", "path", "label").distinct()
-    order = F.xxhash64("url"), F.col("url")
-    return distinct.where("label = 1").orderBy(*order).limit(rows).unionByName(distinct.where("label = 0").orderBy(*order).limit(rows))
+def intervals(rows: DataFrame, n: int = INTERVALS) -> Bucketizer:
+    """At most n intervals of each feature, between the exact quantiles of all rows.
 
+    Ratios, entropies and rates are rounded and the other features are counts, so a task counts few distinct values. The
+    intervals are nominal to the trees: splits come from sums over all rows, where MLlib would look for those of a continuous
+    feature in a sample.
+    """
+    fractions = F.array(*(F.lit(i / n) for i in range(1, n)))
+    found = rows.agg(*(F.percentile(name, fractions).alias(name) for name in FEATURES)).first()
+    splits = [[float("-inf"), *sorted(set(found[name])), float("inf")] for name in FEATURES]
+    return Bucketizer(splitsArray=splits, inputCols=list(FEATURES), outputCols=[f"{name}_interval" for name in FEATURES])
 
-def fit(labelled: DataFrame, rows: int = SAMPLE_ROWS, trees: int = 20, depth: int = 4, seed: int = 42) -> UrlModel:
-    """Trees on at most 2 * rows labelled urls (url, host, path, label 0 or 1), either label with the same total weight.
 
-    The sample is a hash order of the urls, so it does not depend on how the rows are dealt out; it is fitted as one sorted
-    partition, which rows bounds.
-    """
-    chosen = stored(features(sample(labelled, rows).coalesce(1)), "url-sample")
-    suffixes = stored(chosen.groupBy("suffix").agg(
-        F.log1p(F.count("*")).alias("suffix_rows"),
-        ((F.sum("label") + 1) / (F.count("*") + 2)).alias("suffix_rate"),
+def fit(labelled: DataFrame, trees: int = 20, depth: int = 4, seed: int = 42) -> UrlModel:
+    """Trees on all distinct labelled urls (url, host, path, label 0 or 1), either label with the same total weight."""
+    distinct = labelled.select("url", "host", "path", "label").distinct()
+    rows = stored(features(distinct).drop("host", "path").sortWithinPartitions("url"), "url-rows")
+    suffixes = stored(rows.groupBy("suffix").agg(
+        F.round(F.log1p(F.count("*")), 2).alias("suffix_rows"),
+        F.round((F.sum("label") + 1) / (F.count("*") + 2), 3).alias("suffix_rate"),
     ), "url-suffixes")
-    sizes = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     model = UrlModel(None, suffixes, 1.0 if set(sizes) == {1.0} else 0.0)
     if len(sizes) < 2:
         return model
     total = sum(sizes.values())
     weight = F.when(F.col("label") == 1, total / 2 / sizes[1.0]).otherwise(total / 2 / sizes[0.0])
-    rows_ = model._with_suffixes(chosen).withColumn("weight", weight).coalesce(1).sortWithinPartitions("url")
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rows_).select("features", "label", "weight")
-    model.trees = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, weightCol="weight").fit(assembled)
+    weighted = model._with_suffixes(rows).withColumn("weight", weight)
+    model.intervals = intervals(weighted)
+    classifier = GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, weightCol="weight", maxBins=INTERVALS)
+    model.trees = classifier.fit(model._assembled(weighted, "label", "weight"))
     return model
 
 

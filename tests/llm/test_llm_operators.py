@@ -1,5 +1,6 @@
 """Operators on nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import math
 import random
 import zlib
 
@@ -474,6 +475,21 @@ def test_url_model_on_held_out_urls(spark):
     assert url_filter.fit(labelled.where("label = 1")).constant == 1.0
 
 
+def test_url_model_counts_every_url(spark):
+    """Neither the suffix statistics nor the intervals nor the trees leave out urls, however many of a label there are."""
+    ids = spark.range(24_000).select(
+        F.concat(F.lit("http://h."), F.when(F.col("id") < 12_000, "aa").otherwise("bb"), F.lit("/"), F.lpad("id", 5, "0")).alias("url"),
+        (F.col("id") % 2).cast("double").alias("label"),
+    )
+    model = url_filter.fit(ids.withColumns({"host": url_filter.host_of(F.col("url")), "path": url_filter.path_of(F.col("url"))}), trees=1, depth=1)
+    found = {r["suffix"]: r["suffix_rows"] for r in model.suffixes.collect()}
+    assert found == {"aa": round(math.log1p(12_000), 2), "bb": round(math.log1p(12_000), 2)}
+    # Every feature is nominal: MLlib looks for the splits of continuous ones in a sample.
+    rows = url_filter.features(ids.withColumns({"host": F.lit("h.aa"), "path": F.lit("/"), "suffix_rows": F.lit(1.0), "suffix_rate": F.lit(0.5)}))
+    attributes = model._assembled(rows).schema["features"].metadata["ml_attr"]["attrs"]
+    assert set(attributes) == {"nominal"} and len(attributes["nominal"]) == len(url_filter.FEATURES)
+
+
 def test_words():
     texts = pa.array(["a  b\tc", None, "", " x\n", "a\x1cb\xa0c"])
     codes, offsets, distinct = words.split(texts)
