@@ -1,6 +1,6 @@
 """Model inputs, models and their quality."""
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import IDF, HashingTF, StandardScaler, StopWordsRemover, Tokenizer, VectorAssembler
@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from hitparade import fixed
 from hitparade.functions.numbers import log_plus_one
 from hitparade.functions.times import processed_at
+from hitparade.session import scratch
+
+#: Parquet of a size that depends on the number of values only, in row groups that splits can keep apart.
+PLAIN = {"compression": "uncompressed", "parquet.enable.dictionary": "false", "parquet.block.size": str(16 * 2**20)}
 
 
 def with_model_defaults(features: DataFrame) -> DataFrame:
@@ -81,6 +85,18 @@ def fit_scaling(rows: DataFrame, columns=fixed.CLUSTER_FEATURES) -> PipelineMode
     return _scaled(columns).fit(rows)
 
 
+def _fitted(columns, estimator: Estimator, rows: DataFrame, *kept: str) -> PipelineModel:
+    """Scaling, then the estimator, fitted on the columns and the kept ones.
+
+    MLlib holds the rows of an input split as objects in one task. Values that repeat take next to nothing in a file, so a split
+    of 128 MB could have many millions of rows. The rows are stored for the fit as doubles without dictionaries and compression:
+    a split of ten inputs has under two million, whatever they hold.
+    """
+    values = [F.col(name).cast("double").alias(name) for name in columns]
+    with scratch(rows.sparkSession) as cut:
+        return _scaled(columns, estimator).fit(cut(rows.select(*values, *kept), **PLAIN))
+
+
 def scaled(rows: DataFrame, columns=fixed.CLUSTER_FEATURES) -> DataFrame:
     """Each column divided by its standard deviation."""
     values = vector_to_array("scaledFeatures")
@@ -92,7 +108,7 @@ def fit_clusters(rows: DataFrame, k: int = fixed.CLUSTERS, seed: int = fixed.SEE
     kmeans = KMeans(
         featuresCol="scaledFeatures", predictionCol="cluster", k=k, seed=seed, maxIter=fixed.CLUSTER_ITERATIONS
     )
-    return _scaled(fixed.CLUSTER_FEATURES, kmeans).fit(rows)
+    return _fitted(fixed.CLUSTER_FEATURES, kmeans, rows)
 
 
 def fit_longevity(
@@ -113,7 +129,7 @@ def fit_longevity(
         bootstrap=bootstrap,
         seed=seed,
     )
-    return _scaled(columns, forest).fit(rows)
+    return _fitted(columns, forest, rows, fixed.LONGEVITY_LABEL)
 
 
 def silhouette(assigned: DataFrame) -> float:

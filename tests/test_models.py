@@ -3,12 +3,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.clustering import KMeans
 from pyspark.sql import functions as F
 
 from hitparade import fixed
 from hitparade.operators import scoring, training
 from hitparade.plans.training import train
-from hitparade.session import cut_lineage
+from hitparade.session import cut_lineage, file_system
 from tests.conftest import SMALL
 
 
@@ -64,6 +65,23 @@ def test_fits_repeat(inputs, trained):
     assert np.array_equal(first, second)
 
 
+def test_fits_read_files_of_a_size_that_goes_by_rows(spark, monkeypatch):
+    """However alike rows are, a split of the files that a fit reads has a bounded number of them."""
+    sizes, system = [], lambda path: file_system(spark, path)
+    fit = KMeans.fit
+
+    def measured(self, rows):
+        files, place = system(rows.inputFiles()[0])
+        sizes.append(sum(status.getLen() for status in files.listStatus(place.getParent())) / rows.count())
+        return fit(self, rows)
+
+    monkeypatch.setattr(KMeans, "fit", measured)
+    rows = spark.range(20_000).select(*[(F.col("id") % 3 * i).cast("double").alias(name) for i, name in enumerate(fixed.CLUSTER_FEATURES)])
+    model = training.fit_clusters(cut_lineage(rows))
+    assert sizes and min(sizes) >= 8 * len(fixed.CLUSTER_FEATURES)
+    assert model.transform(rows).select("cluster").distinct().count() == 3
+
+
 def test_split_is_a_partition_of_the_videos(inputs):
     fitting, held_out = (set(r.video_id for r in part.collect()) for part in training.train_test_split(inputs[1]))
     assert not fitting & held_out and len(fitting | held_out) == inputs[1].count()
