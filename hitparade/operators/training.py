@@ -204,7 +204,8 @@ def fit_text_weights(rows: DataFrame, text: str, output: str, buckets: int) -> P
 def text_counts(rows: DataFrame, text: str, buckets: int) -> DataFrame:
     """Rows with the number of tokens kept and the sum of their bucket counts, as the text weights count them."""
     counted = PipelineModel(_counting(text, "text", buckets)).transform(rows.na.fill("", [text]))
-    total = F.aggregate(vector_to_array("text_counts"), F.lit(0.0), lambda total, n: total + n)
+    # Of the buckets that the text fills only: as an array, the vector would have every bucket.
+    total = F.aggregate(F.unwrap_udt("text_counts")["values"], F.lit(0.0), lambda total, n: total + n)
     return counted.select(*rows.columns, F.size("text_kept").cast("bigint").alias("kept"), total.alias("counted"))
 
 

@@ -132,6 +132,12 @@ def test_text_weights(spark):
     assert training.description_weights(empty).first().desc_tfidf == 0.0
 
 
+def test_text_counts_do_not_grow_with_the_buckets(spark):
+    rows = spark.createDataFrame([(1, "red car the red"), (2, ""), (3, None)], "k int, title string")
+    counted = training.text_counts(rows, "title", 300_000_000)
+    assert sorted((r.k, r.kept, r.counted) for r in counted.collect()) == [(1, 3, 3.0), (2, 1, 1.0), (3, 1, 1.0)]
+
+
 def test_term_weights_against_python(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = [r.text for r in rows.collect()]
