@@ -138,6 +138,14 @@ def test_text_counts_do_not_grow_with_the_buckets(spark):
     assert sorted((r.k, r.kept, r.counted) for r in counted.collect()) == [(1, 3, 3.0), (2, 1, 1.0), (3, 1, 1.0)]
 
 
+@pytest.mark.parametrize("name", ["tfidf_title", "title_weights"])
+def test_title_weights_join_the_tables_once(spark, name):
+    """Their fit and their result read stored titles."""
+    from workload.queries import QUERIES
+
+    assert "Join" not in QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_term_weights_against_python(spark):
     rows = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = [r.text for r in rows.collect()]

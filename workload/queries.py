@@ -408,7 +408,7 @@ def term_idf(spark, sf_dir):
 
 @query
 def tfidf_title(spark, sf_dir):
-    return training.title_weights(a.cleaned(spark, sf_dir).select("video_id", "country", "trending_date", "title"))
+    return training.title_weights(cut_lineage(a.cleaned(spark, sf_dir).select("video_id", "country", "trending_date", "title")))
 
 
 @query
@@ -613,7 +613,7 @@ def description_weights(spark, sf_dir):
 @query
 def title_weights(spark, sf_dir):
     """The weight of every bucket that a distinct title fills, among distinct titles."""
-    titles = a.cleaned(spark, sf_dir).select("title").distinct()
+    titles = cut_lineage(a.cleaned(spark, sf_dir).select("title").distinct())
     return rounded(training.bucket_weights(training.title_weights(titles), "title_tfidf"), 9, "weight")
 
 
