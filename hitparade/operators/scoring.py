@@ -8,6 +8,7 @@ from hitparade import fixed
 from hitparade.functions.numbers import clamp
 from hitparade.functions.texts import tag_count
 from hitparade.functions.times import age_bucket, has_offset, whole_days_between, written_hour
+from hitparade.operators.forest import predicted
 from hitparade.operators.lookups import cluster_name
 
 
@@ -87,8 +88,8 @@ def score_days(requests: DataFrame, model: PipelineModel | None = None) -> DataF
     """Requests with predicted days in trending, by the model, from the inputs that it was fitted on, or else by the heuristic."""
     if model is None:
         return heuristic_days(requests)
-    scored = model.transform(model_inputs(requests, model.stages[0].getInputCols()))
-    return scored.select(
+    scaled = PipelineModel(model.stages[:-1]).transform(model_inputs(requests, model.stages[0].getInputCols()))
+    return predicted(model.stages[-1], scaled).select(
         "request.*",
         F.round(F.greatest(F.col("prediction"), F.lit(0.0)), 2).alias("predicted_days"),
         F.lit("high").alias("confidence"),

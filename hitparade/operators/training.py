@@ -128,6 +128,8 @@ def fit_longevity(
         maxDepth=depth,
         bootstrap=bootstrap,
         seed=seed,
+        # The same trees; without it, rows go down from the root again for each level.
+        cacheNodeIds=True,
     )
     return _fitted(columns, forest, rows, fixed.LONGEVITY_LABEL)
 

@@ -1,13 +1,16 @@
 import math
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeans
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from hitparade import fixed
 from hitparade.operators import scoring, training
+from hitparade.operators.forest import descent, predicted
 from hitparade.plans.training import train
 from hitparade.session import cut_lineage, file_system
 from tests.conftest import SMALL
@@ -205,3 +208,25 @@ def test_model_inputs(spark):
     assert row.log_views == pytest.approx(math.log(2)) and row.log_likes == pytest.approx(math.log(4))
     days = scoring.model_inputs(rows, fixed.LONGEVITY_FEATURES).select(F.col("views")).first()
     assert days.views == 1.0
+
+
+def test_days_are_those_of_the_forest_from_batches_of_rows(spark, inputs, trained):
+    """The forest's own prediction to the last bit, also at its thresholds, without its call for each row."""
+    forest = trained.longevity.stages[-1]
+    features = inputs[1].select(*fixed.LONGEVITY_FEATURES).withColumn("title", F.lit("abc"))
+    scaled = training.PipelineModel(trained.longevity.stages[:-1]).transform(scoring.model_inputs(features, fixed.LONGEVITY_FEATURES))
+    both = predicted(forest.copy().setPredictionCol("ours"), forest.transform(scaled))
+    assert both.where("prediction != ours or ours is null").isEmpty() and both.count() == features.count()
+    at_thresholds = _thresholds(forest)
+    assert list(descent(forest)(at_thresholds)) == [forest.predict(Vectors.dense(row)) for row in at_thresholds]
+    plan = scoring.score_days(features, trained.longevity)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan
+
+
+def _thresholds(forest):
+    """Rows whose inputs are thresholds of the first trees."""
+    found = re.findall(r"feature (\d+) <= (\S+)\)", "".join(tree.toDebugString for tree in forest.trees[:3]))
+    rows = np.zeros((200, forest.numFeatures))
+    for i, (feature, threshold) in enumerate(found):
+        rows[i % len(rows) :, int(feature)] = float(threshold)
+    return rows
