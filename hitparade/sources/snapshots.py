@@ -48,14 +48,19 @@ def read_snapshots(spark: SparkSession, pattern: str, cut: Callable[[DataFrame],
         states = blocks.where("broken").select("file", "block", "entered", "entered_block", "unclosed_block")
         records = records.union(_records(marked.where(entangled).drop("broken_blocks").join(states, ["file", "block"])))
     parsed = F.from_csv("text", RAW_SNAPSHOT.simpleString(), {"escape": '"'})
-    country = F.regexp_extract(F.col("file"), r"([^/]+)videos\.csv$", 1)
-    return records.select(parsed.alias("row"), country.alias("country")).select("row.*", "country")
+    return records.select(parsed.alias("row"), _country(F.col("file")).alias("country")).select("row.*", "country")
+
+
+def _country(file: Column) -> Column:
+    """What stands before videos.csv in the name of a file, empty for other names."""
+    name = F.substring_index(file, "/", -1)
+    return F.when(name.endswith("videos.csv"), decoded(F.substring(name, F.lit(1), F.length(name) - len("videos.csv")))).otherwise("")
 
 
 def _lines(spark, pattern) -> DataFrame:
     """(file, block, line, text): line rises within a block."""
     return spark.read.text(pattern).select(
-        decoded(F.col("_metadata.file_path")).alias("file"),
+        F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
         F.col("value").alias("text"),
@@ -67,26 +72,26 @@ def _block_states(lines: DataFrame) -> DataFrame:
     (entered_block); is the block broken, that is, touched by a record of several lines; the block in which a record starts
     that its file never closes (unclosed_block); and the header, the first line of its file that is not blank.
 
-    Lines without a quote keep the state, so only those with one are collected, two states each; a block bounds them.
+    Lines without a quote keep the state, so only of those with one a number each is collected; a block bounds them.
     """
     outside, inside = _ends_inside(F.col("text"))
-    mark = F.when(F.contains(F.col("text"), F.lit('"')), F.struct("line", outside.alias("outside"), inside.alias("inside")))
+    lines = lines.withColumns({"outside": outside, "inside": inside})
+    # A number that sorts by line. Lines that end as they start, in either case, tell nothing.
+    mark = F.shiftleft("line", 2) + 2 * F.col("outside") + F.col("inside")
+    telling = (F.col("outside") == 1) | (F.col("inside") == 0)
     first_line = F.min_by("text", F.when(F.trim("text") != "", F.col("line")))
-    marks = lines.groupBy("file", "block").agg(F.array_sort(F.collect_list(mark)).alias("marks"), first_line.alias("first_line"))
+    marks = lines.groupBy("file", "block").agg(F.sort_array(F.collect_list(F.when(telling, mark))).alias("marks"), first_line.alias("first_line"))
 
     def folded(state):
-        start = F.struct(F.lit(state).alias("state"), F.lit(False).alias("opened"))
-        step = lambda s, m: F.struct(
-            F.when(s["state"] == 0, m["outside"]).otherwise(m["inside"]).alias("state"),
-            (s["opened"] | ((s["state"] == 0) & (m["outside"] == 1))).alias("opened"),
-        )
-        return F.aggregate("marks", start, step)
+        """0 or 1 as the block ends outside or inside of a field, and 2 more if a field is opened in it."""
+        ends = lambda s, m: F.when(s % 2 == 0, m.bitwiseAND(F.lit(2)) / 2 * 3).otherwise(m.bitwiseAND(F.lit(1)))
+        return F.aggregate("marks", F.lit(state), lambda s, m: s.bitwiseAND(F.lit(2)).bitwiseOR(ends(s, m).cast("int")))
 
     blocks = marks.select("file", "block", "first_line", folded(0).alias("a"), folded(1).alias("b"))
-    blocks = blocks.withColumns({"from_outside": F.col("a.state"), "from_inside": F.col("b.state")})
+    blocks = blocks.withColumns({"from_outside": F.col("a") % 2, "from_inside": F.col("b") % 2})
     blocks = _with_states(blocks, ["file"], "block").withColumnRenamed("if_outside", "entered")
-    opened = F.when(F.col("entered") == 0, F.col("a.opened")).otherwise(F.col("b.opened"))
-    left = F.when(F.col("entered") == 0, F.col("a.state")).otherwise(F.col("b.state"))
+    taken = F.when(F.col("entered") == 0, F.col("a")).otherwise(F.col("b"))
+    opened, left = taken >= 2, taken % 2
     in_file = Window.partitionBy("file").orderBy("block")
     earlier, whole = in_file.rowsBetween(Window.unboundedPreceding, -1), in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     start = F.when(opened, F.col("block"))
@@ -104,21 +109,18 @@ def _block_states(lines: DataFrame) -> DataFrame:
 def _ends_inside(text: Column) -> tuple[Column, Column]:
     """Does a line end inside a quoted field, if it starts outside of one, and if it starts inside?
 
-    Doubled quotes go first: they leave either state as it is. A quote opens a field only at its start.
-    Most lines are settled by a plain search for a quote.
+    Doubled quotes go first: they leave either state as it is. A quote that follows a comma, or the line's start, turns either
+    state: it opens a field or closes one. Any other quote leaves the line outside of fields: it closes one or is plain text. So
+    what counts is whether there are such others, and how many of the first kind follow the last of them. There are no
+    conditions, so that each step is taken once for both states.
     """
     quote = F.lit('"')
-    single = F.replace(text, F.lit('""'), F.lit(""))
-
-    def from_outside(line):
-        opened = F.regexp_replace(line, '(^|,)"[^"]*"[^,]*', "$1").rlike('(^|,)"')
-        return F.when(F.contains(line, quote), opened).otherwise(False)
-
-    rest = F.regexp_replace(single, '^[^"]*"[^,]*', "")
-    from_inside = F.when(F.contains(single, quote), from_outside(rest)).otherwise(True)
-    outside = F.when(F.contains(text, quote), from_outside(single)).otherwise(False)
-    inside = F.when(F.contains(text, quote), from_inside).otherwise(True)
-    return outside.cast("int"), inside.cast("int")
+    whole = F.concat(F.lit(","), F.replace(text, F.lit('""'), F.lit("")))
+    others = F.replace(whole, F.lit(',"'), F.lit(",,"))
+    after = F.length(F.substring_index(others, '"', -1))
+    turns = after - F.length(F.replace(F.right(whole, after), quote, F.lit("")))
+    kept = (~F.contains(others, quote)).cast("int")
+    return turns % 2, (turns + kept) % 2
 
 
 def _with_states(rows: DataFrame, keys: list[str], order: str) -> DataFrame:

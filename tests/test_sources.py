@@ -1,4 +1,5 @@
 import csv
+import itertools
 import json
 import random
 
@@ -188,3 +189,29 @@ def test_document_date_of_both_generations(spark):
     assert [tuple(r) for r in with_document_date(rows).orderBy("k").collect()] == [("a", "2018-01-01"), ("b", "2018-01-02")]
     old = rows.select("k", "trending_date")
     assert with_document_date(old).columns == ["k", "date"]
+
+
+def ends_inside(text, inside):
+    """A line read sign by sign: is a quoted field open at its end?"""
+    start, text = True, text.replace('""', "")
+    for sign in text:
+        if sign == '"':
+            inside = start and not inside
+        start = sign == ","
+    return int(inside)
+
+
+def test_open_fields_at_line_ends_are_found_without_regular_expressions(spark):
+    texts = ["".join(signs) for n in range(8) for signs in itertools.product('",a', repeat=n)] + ['é","☃', ',"é"é"', '"☃,"']
+    rows = spark.createDataFrame([(text,) for text in texts], "text string")
+    outside, inside = snapshots._ends_inside(F.col("text"))
+    found = rows.select("text", outside.alias("outside"), inside.alias("inside"))
+    assert [(r.outside, r.inside) for r in found.collect()] == [(ends_inside(t, False), ends_inside(t, True)) for t in texts]
+    assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_countries_come_from_decoded_file_names(spark, tmp_path):
+    write(tmp_path / "a b+éxvideos.csvvideos.csv", [row("v", "x\ny"), row("w")])
+    (tmp_path / "other.csv").write_text(f"{HEADER}\n")
+    rows = snapshots.read_snapshots(spark, str(tmp_path / "*.csv"))
+    assert sorted((r.video_id, r.country) for r in rows.collect()) == [("v", "a b+éxvideos.csv"), ("w", "a b+éxvideos.csv")]
