@@ -1,5 +1,6 @@
 import csv
 import json
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -230,6 +231,30 @@ def test_new_days_equal_a_full_run(spark, tmp_path):
     assert contents(spark, root) == contents(spark, full)
 
 
+def test_new_days_store_their_rows_once_on_the_way(spark, tmp_path, monkeypatch):
+    write_days(tmp_path / "first", [as_snapshot(*r) for r in FIRST])
+    write_days(tmp_path / "second", [as_snapshot(*r) for r in SECOND])
+    root, sizes = str(tmp_path / "tables"), []
+    run_batch(spark, flat_directory(tmp_path / "first"), root)
+
+    @contextmanager
+    def counted(session):
+        with scratch(session) as cut:
+
+            def counting(rows, **options):
+                stored = cut(rows, **options)
+                if "description" in stored.columns:
+                    sizes.append(stored.count())
+                return stored
+
+            yield counting
+
+    monkeypatch.setattr(batch, "scratch", counted)
+    run_days(spark, flat_directory(tmp_path / "second"), root)
+    undated = spark.read.parquet(table_path(spark, root, "raw_videos")).where("trending_date_parsed is null").count()
+    assert sizes[0] == len(SECOND) and sum(sizes[1:]) <= undated
+
+
 def test_a_run_of_days_that_dies_keeps_the_other_days(spark, tmp_path, monkeypatch):
     write_days(tmp_path / "first", [as_snapshot(*r) for r in FIRST])
     write_days(tmp_path / "second", [as_snapshot(*r) for r in SECOND])
