@@ -34,12 +34,16 @@ def processed_at(stamp: str | None = None) -> Column:
 
 
 def has_offset(text: Column) -> Column:
-    return text.rlike(r"(Z|[+-]\d\d:?\d\d)$")
+    """An offset ends the text, or stands before a last line end: within eight characters, so the rest is not searched."""
+    return text.endswith("Z") | F.substring(text, -8, 8).rlike(r"(Z|[+-]\d\d:?\d\d)$")
 
 
 def written_hour(text: Column) -> Column:
     """Hour as written in ISO text, whatever its offset; 0 for a bare date, null for other text."""
-    hour = F.regexp_extract(text, r"^\d{4}-\d\d-\d\d[T ](\d\d)", 1)
+    character = lambda place: F.substring(text, place, 1)
+    # In text that is a time, what stands between these are digits; only times in other shapes need the regular expression.
+    full = (character(5) == "-") & (character(8) == "-") & character(11).isin("T", " ") & (character(14) == ":")
+    hour = F.when(full, F.substring(text, 12, 2)).otherwise(F.regexp_extract(text, r"^\d{4}-\d\d-\d\d[T ](\d\d)", 1))
     return F.when(F.try_to_timestamp(text).isNotNull(), F.when(hour == "", 0).otherwise(hour.try_cast("int")))
 
 

@@ -50,6 +50,23 @@ def test_hours_as_written(spark):
     assert apply(spark, times.has_offset, "string", *values) == [True, True, True, False, False, None]
 
 
+def test_hours_and_offsets_of_odd_texts(spark):
+    """As regular expressions over the whole text give them, which common texts do without."""
+    dates = ["2017-11-13", "2017-1-3", " 2017-11-13", "+2017-11-13", "02017-11-13", "2017-11", "2017", "17-11-13", "２017-11-13"]
+    clocks = ["T17:13:01", " 07:13:01", "T7:13", "T17", "T7", "T5 ", " ", "  ", "T 5:13", "T24:00:00", "T17:13:01.5", "T17:1:1", "TT7:13", "T:13:01", ""]
+    ends = ["", "Z", "Z\n", "+02:00", "+0200\r\n", "-05:30\n", " Z", "+02", "Z\n\n", "UTC", "\u2028", "+02:00\u2028", "😀+02:00"]
+    texts_ = [date + clock + end for date in dates for clock in clocks for end in ends] + ["Z", "+0200", "T17:13:01", "17:13:01Z", "", None]
+    rows = spark.createDataFrame([(text,) for text in texts_], "c string")
+    hour = F.regexp_extract("c", r"^\d{4}-\d\d-\d\d[T ](\d\d)", 1)
+    plain = F.when(F.try_to_timestamp("c").isNotNull(), F.when(hour == "", 0).otherwise(hour.try_cast("int")))
+    found = rows.select("c", times.written_hour(F.col("c")).alias("hour"), plain.alias("hour_"))
+    found = found.withColumns({"offset": times.has_offset(F.col("c")), "offset_": F.col("c").rlike(r"(Z|[+-]\d\d:?\d\d)$")})
+    assert found.where("hour is not null").count() > 50 and found.where("offset").count() > 500
+    assert found.where(~F.col("hour").eqNullSafe(F.col("hour_")) | ~F.col("offset").eqNullSafe(F.col("offset_"))).collect() == []
+    plan = spark._jvm.PythonSQLUtils.explainString(found.select("hour", "offset")._jdf.queryExecution(), "simple")
+    assert "RLIKE(c#" not in plan and "CASE WHEN" in plan.split("regexp_extract(c#")[0]
+
+
 def test_tag_counts(spark):
     values = ["", "[none]", "a|b", None]
     assert apply(spark, lambda c: texts.tag_count(c, empty_as_zero=False), "string", *values) == [1, 1, 2, 0]
