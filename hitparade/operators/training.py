@@ -105,8 +105,18 @@ def scaled(rows: DataFrame, columns=fixed.CLUSTER_FEATURES) -> DataFrame:
 
 
 def fit_clusters(rows: DataFrame, k: int = fixed.CLUSTERS, seed: int = fixed.SEED) -> PipelineModel:
+    """Clusters by Lloyd's steps. Blocks hold 8 bytes a value between steps, where MLlib's row solver holds an object for each row.
+
+    They are small, so that none takes up regions of a small heap of its own.
+    """
     kmeans = KMeans(
-        featuresCol="scaledFeatures", predictionCol="cluster", k=k, seed=seed, maxIter=fixed.CLUSTER_ITERATIONS
+        featuresCol="scaledFeatures",
+        predictionCol="cluster",
+        k=k,
+        seed=seed,
+        maxIter=fixed.CLUSTER_ITERATIONS,
+        solver="block",
+        maxBlockSizeInMB=0.25,
     )
     return _fitted(fixed.CLUSTER_FEATURES, kmeans, rows)
 

@@ -85,6 +85,19 @@ def test_fits_read_files_of_a_size_that_goes_by_rows(spark, monkeypatch):
     assert model.transform(rows).select("cluster").distinct().count() == 3
 
 
+def test_clusters_are_fitted_on_blocks(inputs, trained):
+    """As MLlib fits them on rows, from the same start; rows are held in blocks, not each in objects of its own."""
+    kmeans = trained.clustering.stages[-1]
+    assert kmeans.getSolver() == "block" and 0 < kmeans.getMaxBlockSizeInMB() <= 0.5
+    scaled = training.PipelineModel(trained.clustering.stages[:-1]).transform(inputs[0])
+    fits = [
+        KMeans(featuresCol="scaledFeatures", k=3, seed=fixed.SEED, maxIter=fixed.CLUSTER_ITERATIONS, solver=solver).fit(scaled)
+        for solver in ("row", "block")
+    ]
+    rows, blocks = (np.array(fit.clusterCenters()) for fit in fits)
+    assert np.allclose(rows, blocks, atol=1e-3) and np.isclose(fits[0].summary.trainingCost, kmeans.summary.trainingCost, rtol=1e-2)
+
+
 def test_split_is_a_partition_of_the_videos(inputs):
     fitting, held_out = (set(r.video_id for r in part.collect()) for part in training.train_test_split(inputs[1]))
     assert not fitting & held_out and len(fitting | held_out) == inputs[1].count()

@@ -502,7 +502,8 @@ def cluster_names(spark, sf_dir):
 @cache
 def _trained(application: str, sf_dir: str) -> Trained:
     spark = SparkSession.active()
-    return train(*inputs(cut_lineage(feature_rows(spark, sf_dir)), cut_lineage))
+    read = feature_rows(spark, sf_dir).select("video_id", *fixed.LONGEVITY_FEATURES)  # the clustering takes its own from these
+    return train(*inputs(cut_lineage(read), cut_lineage))
 
 
 def trained(spark: SparkSession, sf_dir: str) -> Trained:
