@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitparade.llm.stored import stored
+from hitparade.llm.stored import by_shuffle, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,11 +19,11 @@ def components(links: DataFrame) -> DataFrame:
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.join(by_shuffle(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = stored(large, "large-star")
         # Small star: neighbours below a node, and the node, are linked to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(by_shuffle(least), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small-star")
         now = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:

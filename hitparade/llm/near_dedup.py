@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hitparade.llm import words
 from hitparade.llm.components import components
-from hitparade.llm.stored import stored
+from hitparade.llm.stored import by_shuffle, stored
 
 #: A shingle's hash names one of 2**BUCKET_BITS registers and a value; a register keeps its smallest value as the number of
 #: leading zeros and MANTISSA_BITS bits after the first one: 16 bits in all.
@@ -141,7 +141,7 @@ def estimate(agreeing: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarr
 def _sides(pairs: DataFrame, table: DataFrame, key: str, *columns: str) -> DataFrame:
     """The pairs with the columns of table for a and for b: one join over both sides, so that table moves once."""
     asked = [pairs.select(F.col(side).alias(key), "a", "b", F.lit(side).alias("side")) for side in ("a", "b")]
-    joined = asked[0].unionByName(asked[1]).join(table, key)
+    joined = asked[0].unionByName(asked[1]).join(by_shuffle(table), key)
     of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{c}_{side}")
     return joined.groupBy("a", "b").agg(*(of(side, c) for c in columns for side in ("a", "b")))
 
@@ -192,7 +192,7 @@ def _texts(asked: DataFrame, documents: DataFrame) -> DataFrame:
     """asked (doc_id and other columns) with the texts. Up to SENT_ROWS rows of ids are sent to the texts; more are joined
     by a shuffle."""
     asked = stored(asked, "asked")
-    return _narrow(documents).join(F.broadcast(asked) if asked.count() <= SENT_ROWS else asked, "doc_id")
+    return _narrow(documents).join(F.broadcast(asked) if asked.count() <= SENT_ROWS else by_shuffle(asked), "doc_id")
 
 
 def _exploded(size: int):
@@ -219,7 +219,7 @@ def _prefix_pairs(rest: DataFrame, documents: DataFrame, size: int, percent: int
     often = found.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     own = Window.partitionBy("node", "text_hash")
     place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "shingle")) - 1
-    shared = found.join(often, "shingle").withColumn("place", place)
+    shared = found.join(by_shuffle(often), "shingle").withColumn("place", place)
     prefix = stored(shared.where(100 * F.col("place") <= (100 - percent) * F.col("size")), "prefixes")
     side = lambda s: prefix.select("shingle", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "label", "size", "place")))
     a, b = F.col("size_a"), F.col("size_b")
@@ -227,7 +227,7 @@ def _prefix_pairs(rest: DataFrame, documents: DataFrame, size: int, percent: int
     enough = (100 + percent) * room >= percent * (a + b)
     ratio = (100 * a >= percent * b) & (100 * b >= percent * a)
     across = (F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b"))
-    joined = side("a").join(side("b"), "shingle").where(across & ratio & enough)
+    joined = side("a").join(by_shuffle(side("b")), "shingle").where(across & ratio & enough)
     return joined.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
@@ -243,22 +243,22 @@ def _links(pairs: DataFrame, nodes: DataFrame, documents: DataFrame, size: int,
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """key, node and label of the members of buckets of three and more that are in several components."""
-    rows = members.where("n > 2").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    rows = members.where("n > 2").join(by_shuffle(labels), "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     several = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
-    return stored(rows.join(several.select("key"), "key"), "open")
+    return stored(rows.join(by_shuffle(several.select("key")), "key"), "open")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     """The labels (node, label) after more links: components that meet take the label of the smallest."""
     if links.isEmpty():
         return labels
-    of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+    of = lambda side: by_shuffle(labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")))
     label = lambda side: F.coalesce(F.col(f"label_{side}"), F.col(side)).alias(side)
     between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(label("a"), label("b"))
     found = components(between).select(F.col("node").alias("label"), F.col("label").alias("to"))
-    changed = labels.join(found, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    changed = labels.join(by_shuffle(found), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
     new = found.where("label != to").select(F.col("label").alias("node"), F.col("to").alias("label"))
-    new = new.join(labels.select("node"), "node", "left_anti")
+    new = new.join(by_shuffle(labels.select("node")), "node", "left_anti")
     return stored(changed.unionByName(new), "labels")
 
 
@@ -289,7 +289,7 @@ def components_of(documents: DataFrame, size: int = 5, percent: int = 80) -> Dat
     bands = nodes.select("node", F.posexplode(slices).alias("band", "slice"))
     bands = bands.select(F.xxhash64("slice", "band").alias("key"), "node")
     buckets = bands.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
-    members = stored(bands.join(buckets, "key"), "members")
+    members = stored(bands.join(by_shuffle(buckets), "key"), "members")
 
     pairs = members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     links = _links(pairs, nodes, documents, size, percent)
@@ -299,23 +299,23 @@ def components_of(documents: DataFrame, size: int = 5, percent: int = 80) -> Dat
     rest = _open(members, labels)
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     degrees = ends.groupBy("node").agg(F.count("*").alias("degree"))
-    ranked = rest.join(degrees, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    ranked = rest.join(by_shuffle(degrees), "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
     hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("last"), "label")).alias("hub"))
     hub = -F.col("hub.last")
-    pairs = rest.join(hubs, "key").where("label != hub.label")
+    pairs = rest.join(by_shuffle(hubs), "key").where("label != hub.label")
     pairs = pairs.select(F.least(hub, "node").alias("a"), F.greatest(hub, "node").alias("b")).distinct()
     labels = _merged(labels, _links(pairs, nodes, documents, size, percent))
 
     # What is left in several components is joined by its rarest shingles.
     rest = _open(members, labels).select("node", "label").distinct()
-    rest = stored(rest.join(nodes.select("node", "doc"), "node"), "open")
+    rest = stored(rest.join(by_shuffle(nodes.select("node", "doc")), "node"), "open")
     across = stored(_prefix_pairs(rest, documents, size, percent), "across")
     labels = _merged(labels, _links(across, nodes, documents, size, percent))
 
-    labelled = nodes.select("set_key", "doc", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = nodes.select("set_key", "doc", "node").join(by_shuffle(labels), "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = labelled.groupBy("label").agg(F.min("doc").alias("component"))
-    by_set = labelled.select("set_key", "label").join(smallest, "label").select("set_key", "component")
-    rows = found.select("doc_id", "n_shingles", "set_key").join(by_set, "set_key", "left")
+    by_set = labelled.select("set_key", "label").join(by_shuffle(smallest), "label").select("set_key", "component")
+    rows = found.select("doc_id", "n_shingles", "set_key").join(by_shuffle(by_set), "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component"))).otherwise(F.col("doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))

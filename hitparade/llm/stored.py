@@ -19,3 +19,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     delete_at_end(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """A side of a join that moves both sides by key, whatever size Spark expects. It takes a stored table for its compressed
+    files and exploded rows for the rows before, and would send tables of many times its threshold through the driver."""
+    return df.hint("merge")

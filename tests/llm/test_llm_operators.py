@@ -343,6 +343,26 @@ def test_near_dedup(edges, edge_rows, empty):
     assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 7, 9, 12, 14, 15] and ids.count(None) == 2
 
 
+def test_near_dedup_sends_no_table_uncounted(spark, documents, monkeypatch):
+    """Spark expects exploded rows and compressed files to be small, and would send bands and shingles of any test through the driver."""
+    plans = []
+
+    def spy(df, name, kept=near_dedup.stored):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(near_dedup, "stored", spy)
+    monkeypatch.setattr(components, "stored", spy)
+    monkeypatch.setattr(near_dedup, "SENT_ROWS", -1)
+    base = [f"b{i}" for i in range(100)]
+    near = [(i, " ".join([*base[:97], *(f"c{i}x{k}" for k in range(3))])) for i in range(6)]
+    found = near_dedup.components_of(documents([*near, (9, "another text of a few words")]), size=4)
+    assert rows(found, "doc_id", "component_id") == [*((i, 0) for i in range(6)), (9, 9)]
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("Join" in plan for plan in plans) > 5
+    assert not [plan for plan in plans if "BroadcastHashJoin" in plan]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_near_dedup_loses_no_link(documents, seed):
     """Chains of near copies on both sides of the threshold, short texts, copies, and a passage that many texts share."""
