@@ -86,6 +86,26 @@ def test_records_across_blocks_match_a_whole_file_reader(spark, tmp_path, seed):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_records_within_a_block_are_put_together_without_a_shuffle(spark, tmp_path):
+    texts = ["plain", "two\nlines", 'a "quoted" word', "x\n\n\ny", ',"\n",', "\n" * 20]
+    for country in ("US", "IN"):
+        write(tmp_path / f"{country}videos.csv", [row(f"{country}{i}", texts[i % 6], texts[i % 5]) for i in range(300)])
+    pattern = snapshots.flat_directory(tmp_path)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for size in ("3k", "100m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = snapshots.read_snapshots(spark, pattern)
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert "Window" not in plan and "REPARTITION" not in plan
+            found = {r.video_id: (r.title, r.description) for r in rows.collect()}
+            whole = spark.read.schema(RAW_SNAPSHOT).csv(pattern, header=True, escape='"', multiLine=True).collect()
+            assert len(whole) == 600 and found == {r.video_id: (r.title, r.description) for r in whole}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_a_quote_that_never_closes_does_not_swallow_its_file(spark, tmp_path):
     path = tmp_path / "USvideos.csv"
     lines = [f"v{i},17.14.11,t,ch,1,x,a,{i},1,1,1,l,False,True,False,d" for i in range(60)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hitparade.operators.cleaning import clean
 from hitparade.schemas import RAW_SNAPSHOT
-from hitparade.session import file_system
+from hitparade.session import file_system, shuffles_deleted
 from hitparade.sources.categories import category_names
 from hitparade.sources.snapshots import load_filter
 
@@ -122,7 +122,8 @@ def write_csv(rows: DataFrame, folder: str) -> str:
     """Observations as {country}videos.csv files with headers, several for a country; gives the pattern of their paths."""
     spark = rows.sparkSession
     written = f"{folder}/written"
-    rows.write.partitionBy("country").csv(written, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    with shuffles_deleted(spark):
+        rows.write.partitionBy("country").csv(written, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     return _renamed(spark, written, folder, "*/*.csv", lambda country: f"{country}videos.csv", lambda path: path.getParent().getName().partition("=")[2])
 
 
