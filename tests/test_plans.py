@@ -334,3 +334,32 @@ def test_scratch_tables_are_deleted(spark, shared):
 def test_normalised(spark):
     rows = spark.range(1).select(F.lit(float("nan")).alias("x"), F.to_date(F.lit("2018-01-02")).alias("d"))
     assert tuple(normalised(rows).first()) == (None, "2018-01-02")
+
+
+def test_steps_leave_no_shuffle_files(spark, tmp_path):
+    def shuffles():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {name for name in blocks.mkString(",").split(",") if name.startswith("shuffle_")}
+
+    rows, before = spark.range(1000).withColumn("country", F.col("id") % 3), shuffles()
+    with scratch(spark) as cut:
+        assert cut(rows.repartition(4, "id")).count() == 1000
+    assert cut_lineage(rows.repartition(4, "id")).count() == 1000
+    adapters.write_csv(rows.repartition(4, "id"), str(tmp_path / "files"))
+    with Publication(spark, str(tmp_path / "tables")) as new:
+        new.write(rows.repartition(4, "id"), "rows", ["country"])
+        new.replace_partitions(rows.repartition(4, "id"), "rows", ["country"])
+    # Counts above shuffle too, but a row for each task.
+    left = {name.split("_")[1] for name in shuffles() - before}
+    assert len(left) <= 2
+
+
+def test_files_of_the_first_load_are_gone_before_the_second(spark, monkeypatch):
+    from workload import queries
+
+    files, seen = [], []
+    written, days = adapters.write_csv, queries.run_days
+    monkeypatch.setattr(adapters, "write_csv", lambda rows, folder: files.append(folder) or written(rows, folder))
+    monkeypatch.setattr(queries, "run_days", lambda *a: seen.append([Path(f).exists() for f in files]) or days(*a))
+    assert QUERIES["batch_by_days"](spark, SMALL).count() > 0
+    assert seen == [[False, True]]
